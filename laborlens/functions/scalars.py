@@ -34,7 +34,7 @@ def month_label(anno, mes) -> Column:
 
 def digits_date(text, start: int = 5) -> Column:
     """Month start from the six YYYYMM characters of a file name."""
-    return F.try_to_date(F.concat(F.substring(_c(text), start, 6), F.lit("01")), F.lit("yyyyMMdd"))
+    return F.try_to_date(F.concat(F.substring(_c(text), start, 6), F.lit("01")), "yyyyMMdd")
 
 
 # --- codes -------------------------------------------------------------------
@@ -97,19 +97,17 @@ INDICATOR_NAMES = {
 # --- bands -------------------------------------------------------------------
 
 
-def band(x, cuts: list[int]) -> Column:
-    """Number of cuts at or below ``x``; NULL stays NULL."""
-    out = F.lit(len(cuts))
-    for i, cut in reversed(list(enumerate(cuts))):
-        out = F.when(_c(x) < cut, F.lit(i)).otherwise(out)
-    return F.when(_c(x).isNotNull(), out)
+def band(x: str, cuts: list[int]) -> Column:
+    """Number of cuts at or below column ``x``; NULL stays NULL."""
+    whens = " ".join(f"WHEN `{x}` < {cut} THEN {i}" for i, cut in enumerate(cuts))
+    return F.expr(f"CASE WHEN `{x}` IS NULL THEN NULL {whens} ELSE {len(cuts)} END")
 
 
-def age_band_7(age_months) -> Column:
+def age_band_7(age_months: str) -> Column:
     return band(age_months, S.AGE_CUTS_7)
 
 
-def age_band_13(age_months) -> Column:
+def age_band_13(age_months: str) -> Column:
     return band(age_months, S.AGE_CUTS_13)
 
 

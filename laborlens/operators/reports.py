@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from laborlens.functions import periods as P
 from laborlens.functions import scalars as X
 from laborlens.operators.reshape import to_wide
 
@@ -55,10 +56,9 @@ def bulletin_tables(tables: dict[str, DataFrame], catalogue: dict | None = None)
 
 def last_and_year_before(df: DataFrame) -> DataFrame:
     """Rows of the last month and of the same month a year before."""
-    last = df.agg(F.max("fecha").alias("_last"))
-    near = (F.col("fecha") == F.col("_last")) | (F.col("fecha") == F.add_months("_last", -12))
-    # The broadcast side is a one-row aggregate.
-    return df.join(F.broadcast(last), near).drop("_last")
+    last = df.agg(F.max("fecha").alias("last"))
+    two = last.select(F.explode(F.array("last", F.add_months("last", -12))).alias("fecha"))
+    return df.join(P.by_month(two), "fecha", "left_semi")
 
 
 def group_summary(long: DataFrame, group: str) -> DataFrame:
@@ -80,7 +80,7 @@ def selected_months(df: DataFrame, years: tuple[int, int], months: list[int]) ->
 
 def at_last_period(df: DataFrame) -> DataFrame:
     last = df.agg(F.max("periodo").alias("periodo"))
-    return df.join(F.broadcast(last), "periodo")  # one-row aggregate
+    return df.join(P.by_month(last), "periodo", "left_semi")
 
 
 def leaders(df: DataFrame, value: str, by: list[str]) -> DataFrame:

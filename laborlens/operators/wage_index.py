@@ -108,14 +108,16 @@ def base_means(real: DataFrame, base_year: int) -> DataFrame:
 
 def wage_index(mass: DataFrame, prices: DataFrame, base_year: int = 2018) -> DataFrame:
     """Indices (base-year mean = 100), their variations and the adjustment gap."""
-    real = deflated(mass, prices)
-    base = base_means(real, base_year).withColumn("_one", F.lit(1))
-    indexed = (
-        real.withColumn("_one", F.lit(1))
-        .join(P.by_month(base), "_one", "left")
-        .withColumns({name: X.ratio(src, f"base_{name}") * 100 for name, src in INDICES.items()})
-        .drop(*base.columns)
-    )
+    # One national series: as many rows as months.
+    real = deflated(mass, prices).withColumn("_serie", F.lit(0))
+    year = W.partitionBy("_serie")
+
+    def base(src: str) -> Column:
+        return F.avg(F.when(P.anno_of("pidx") == base_year, F.col(src))).over(year)
+
+    indexed = real.withColumns(
+        {name: X.ratio(src, base(src)) * 100 for name, src in INDICES.items()}
+    ).drop("_serie")
     return index_variations(indexed).withColumn(
         "brecha_ajuste", F.col("iilf_ajustado") - F.col("iilf")
     )

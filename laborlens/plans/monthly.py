@@ -87,5 +87,5 @@ def run_month_chain(
     enriched = tables.open_table(spark, f"{root}/enriched")
 
     out = turnover_tables(enriched, P.available_periods(enriched, None))
-    tables.write_table(out.repartition("tabla"), f"{root}/indicators")
+    tables.write_table(out, f"{root}/indicators")
     return tables.open_table(spark, f"{root}/indicators")

@@ -523,8 +523,13 @@ def fixed_long(spark, sf):
     return flows.roll_up_fixed(fixed_cells(spark, sf))
 
 
+def turnover(spark, sf, fill_flows=True):
+    cells = flows.turnover_cells(jobs(spark, sf), periods=roles.periods(spark, sf))
+    return flows.roll_up_turnover(cells, fill_flows=fill_flows)
+
+
 def indicators_fixed(spark, sf):
-    return indicators.indicators(stock_long(spark, sf), fixed_long(spark, sf))
+    return indicators.indicators_of(turnover(spark, sf))
 
 
 @query("D08_indicators_fixed", sql("SELECT * FROM fx_long", "fx_long"))
@@ -534,8 +539,19 @@ def d08(spark, sf):
 
 @query("D08_indicators_mobile", sql("SELECT * FROM mv_long", "mv_long"))
 def d08_mobile(spark, sf):
-    wide = reshape.flows_to_wide(flows.roll_up_mobile(mobile_cells(spark, sf)))
-    return rounded(indicators.indicators(stock_long(spark, sf), wide))
+    return rounded(indicators.indicators_of(turnover(spark, sf, fill_flows=False)))
+
+
+@query("D08_indicators_from_tables", sql("SELECT * FROM mv_long WHERE tabla IN ('total', 'sx_te')", "mv_long"))
+def d08_from_tables(spark, sf):
+    """From separate stock and mobile flow tables, as they are stored between stages."""
+    sets = {n: S.BREAKDOWNS[n] for n in ("total", "sx_te")}
+    others = [F.lit(None).cast(t).alias(c) for c, t in (
+        ("nacionalidad_final", "int"), ("region_final", "int"), ("seccion", "string"),
+        ("tamano_empresa_movil", "string"))]
+    stock = tables.stage(stocks.stocks(jobs(spark, sf), sets))
+    wide = reshape.flows_to_wide(flows.roll_up_mobile(mobile_cells(spark, sf), sets))
+    return rounded(indicators.indicators(stock, wide)).select("*", *others)
 
 
 def total_base(spark, sf):
@@ -574,7 +590,8 @@ def both_sources(spark, sf):
     """Own tables and a second source: values of June raised by one, ages as labels."""
     from laborlens.functions.scalars import AGE_LABELS
 
-    long = rounded(indicators_fixed(spark, sf))
+    # Both sources of a reconciliation are stored tables.
+    long = tables.stage(rounded(indicators_fixed(spark, sf)), ["tabla"])
     label = F.element_at(F.array(*[F.lit(t) for t in AGE_LABELS]), F.col("tramo_edad") + 1)
     own, reference = {}, {}
     for name, target in (("total", "general"), ("sx", "sexo"), ("te", "edad"), ("sector", "seccion")):
@@ -929,9 +946,11 @@ def d15(spark, sf):
 
 
 def participation(spark, sf):
+    # The seven tables read two stored results.
     c = credit(spark, sf)
     return tax_credit.participation_tables(
-        tax_credit.credit_by_class(c, unique_key=True), tax_credit.credit_by_firm(c)
+        tables.stage(tax_credit.credit_by_class(c, unique_key=True)),
+        tables.stage(tax_credit.credit_by_firm(c)),
     )
 
 
@@ -1061,7 +1080,7 @@ FROM fx_long WHERE tabla = '{source}' AND indicador IN ({_quoted(ind)}) AND valo
     ),
 )
 def d17(spark, sf):
-    long = rounded(indicators_fixed(spark, sf))
+    long = tables.stage(rounded(indicators_fixed(spark, sf)), ["tabla"])
     by_table = {n: long.filter(F.col("tabla") == n) for n in S.BREAKDOWNS}
     out = None
     for name, df in reports.bulletin_tables(by_table).items():

@@ -130,6 +130,61 @@ def flows_mobile(
     return events.groupBy("pidx", "tipo_flujo", *classes).agg(F.count("*").alias("n"))
 
 
+def turnover_cells(
+    jobs: DataFrame,
+    classes: list[str] | None = None,
+    periods: DataFrame | None = None,
+    calendar: bool = False,
+) -> DataFrame:
+    """Stock, entries and exits per month and classes, from one pass over the jobs.
+
+    The rows of ``stock_cells`` and ``flows_fixed`` side by side, without a
+    second read of the panel and without a join.
+    """
+    classes = S.CLASSES if classes is None else classes
+    state = year_apart(jobs, classes, periods, calendar)
+    one, none = F.lit(1).cast("byte"), F.lit(0).cast("byte")
+
+    def row(pidx: str, pt: Column, ent: Column, sal: Column) -> Column:
+        return F.struct(
+            F.col(pidx).alias("pidx"), pt.alias("pt"), ent.alias("ent"), sal.alias("sal")
+        )
+
+    here = row("pidx", one, F.when(is_entry(), one).otherwise(none), none)
+    gone = row("pidx_next", none, none, one)
+    rows = F.array(here, F.when(is_exit(), gone))
+    return (
+        state.select(*classes, F.explode(rows).alias("e"))
+        .filter("e is not null")
+        .groupBy(F.col("e.pidx").alias("pidx"), *classes)
+        .agg(
+            F.sum("e.pt").alias("pt"),
+            F.sum("e.ent").alias("pt_ent_12"),
+            F.sum("e.sal").alias("pt_sal_12"),
+        )
+    )
+
+
+def roll_up_turnover(
+    cells: DataFrame, sets: dict[str, list[str]] | None = None, fill_flows: bool = True
+) -> DataFrame:
+    """Stock and flows of every breakdown.
+
+    A cell without jobs has no stock (NULL). Flows are NULL where neither kind
+    occurs; a single absent kind is 0 with ``fill_flows`` (fixed domain) and
+    NULL without (mobile domain).
+    """
+    ent, sal = F.col("pt_ent_12"), F.col("pt_sal_12")
+    flows = {"pt": F.nullif("pt", F.lit(0))}
+    if fill_flows:
+        some = ent + sal > 0
+        flows |= {"pt_ent_12": F.when(some, ent), "pt_sal_12": F.when(some, sal)}
+    else:
+        flows |= {"pt_ent_12": F.nullif(ent, F.lit(0)), "pt_sal_12": F.nullif(sal, F.lit(0))}
+    rolled = roll_up(cells, sets or S.BREAKDOWNS, ["pt", "pt_ent_12", "pt_sal_12"])
+    return rolled.withColumns(flows)
+
+
 def roll_up_fixed(cells: DataFrame, sets: dict[str, list[str]] | None = None) -> DataFrame:
     return roll_up(cells, sets or S.BREAKDOWNS, ["pt_ent_12", "pt_sal_12"])
 

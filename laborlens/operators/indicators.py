@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from laborlens.functions import periods as P
 from laborlens.functions import scalars as X
@@ -78,11 +79,31 @@ def shifted_total(stock: DataFrame) -> DataFrame:
     return stock.select((F.col("pidx") + 12).alias("pidx"), F.col("pt").alias("pt_total_12"))
 
 
-def incidence(df: DataFrame, total_shifted: DataFrame) -> DataFrame:
+def own_total(df: DataFrame) -> DataFrame:
+    """``pt_total_12`` from the 'total' rows of the long table itself.
+
+    Each total row sends a copy twelve months on, and the rows of that month
+    read it in a window by month: cells move, the panel is not read again.
+    """
+    here = F.struct(F.col("pidx"), F.lit(False).alias("copy"))
+    later = F.struct((F.col("pidx") + 12).alias("pidx"), F.lit(True).alias("copy"))
+    rows = F.array(here, F.when(F.col("tabla") == "total", later))
+    others = [c for c in df.columns if c != "pidx"]
+    spread = (
+        df.select(F.explode(rows).alias("e"), *others)
+        .filter("e is not null")
+        .select("e.pidx", "e.copy", *others)
+    )
+    total = F.max(F.when(F.col("copy"), F.col("pt"))).over(W.partitionBy("pidx"))
+    return spread.withColumn("pt_total_12", total).filter(~F.col("copy")).drop("copy")
+
+
+def incidence(df: DataFrame, total_shifted: DataFrame | None = None) -> DataFrame:
     """Flows over the total stock of a year before."""
-    joined = df.join(P.by_month(total_shifted), "pidx", "left")
+    if total_shifted is not None:
+        df = df.join(P.by_month(total_shifted), "pidx", "left")
     inc_ent, inc_sal = X.ratio("pt_ent_12", "pt_total_12"), X.ratio("pt_sal_12", "pt_total_12")
-    return joined.withColumns(
+    return df.withColumns(
         {
             "inc_ent": inc_ent,
             "inc_sal": inc_sal,
@@ -122,20 +143,21 @@ def append_rotation_change(
     return long.unionByName(reshape.to_long(change, columns=cols))
 
 
-def indicators(stock: DataFrame, flows: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """All indicators in long form.
+def indicators_of(base: DataFrame) -> DataFrame:
+    """All indicators in long form, from stock and flows of all breakdowns.
 
-    ``stock`` and ``flows`` are the long roll-ups of all breakdowns (with
-    ``tabla``): each breakdown is one more partition key of the same windows, so
-    all tables come from one pass.
+    ``tabla`` names the breakdown and is one more partition key of the windows,
+    so all tables come from one pass.
     """
-    keys = keys or [c for c in stock.columns if c != "pt"]
-    base = join_stock_flows(stock, flows, keys)
-    totals = stock.filter("tabla = 'total'") if "tabla" in stock.columns else stock
-    wide = incidence(rates(base), shifted_total(totals))
-    by = [c for c in keys if c != "pidx"]
-    before = P.shifted("inc_rot", 12, by)
-    wide = wide.withColumn("inc_rot_12", before).withColumn(
+    by = [c for c in base.columns if c not in NOT_CLASSES]
+    wide = incidence(rates(own_total(base)))
+    wide = wide.withColumn("inc_rot_12", P.shifted("inc_rot", 12, by)).withColumn(
         "inc_var_trl", F.col("inc_rot") - F.col("inc_rot_12")
     )
     return reshape.to_long(wide)
+
+
+def indicators(stock: DataFrame, flows: DataFrame) -> DataFrame:
+    """The same from separate long tables of stocks and flows."""
+    keys = [c for c in stock.columns if c != "pt"]
+    return indicators_of(join_stock_flows(stock, flows, keys))

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,31 +35,23 @@ def migration_rates(
         stayed.alias("stayed"), F.when(stayed, F.col("before")).alias("before"),
     ).agg(F.count("*").alias("n"))
 
-    def entry(combo: list[str], pidx: str, source: str | None, measure: str, cond):
-        name = " x ".join(combo)
-        masked = [
-            (F.col(f"{source}.{a}" if source else a) if a in combo else F.lit(None)).alias(a)
-            for a in attrs
-        ]
-        counts = [(F.col("n") if measure == m else F.lit(0)).cast("long").alias(m) for m in COUNTS]
-        row = F.struct(F.lit(name).alias("desagregacion"), F.col(pidx).alias("pidx"), *masked, *counts)
-        return F.when(cond, row)
-
+    # Written as SQL text: four counts for each combination, of any number of columns.
     rows = []
     for combo in combos:
-        differs = reduce(
-            lambda a, b: a | b,
-            [F.coalesce(F.col(v) != F.col(f"before.{v}"), F.lit(False)) for v in combo],
-        )
-        moved = F.col("stayed") & differs
-        rows += [
-            entry(combo, "pidx", None, "L_t", F.col("has_past")),
-            entry(combo, "pidx_next", None, "L_t12", F.col("pidx_next").isNotNull()),
-            entry(combo, "pidx", None, "In", moved),
-            entry(combo, "pidx", "before", "Em", moved),
-        ]
+        differs = " OR ".join(f"coalesce({v} <> before.{v}, false)" for v in combo)
+        moved = f"stayed AND ({differs})"
+        for measure, pidx, source, cond in (
+            ("L_t", "pidx", "", "has_past"),
+            ("L_t12", "pidx_next", "", "pidx_next IS NOT NULL"),
+            ("In", "pidx", "", moved),
+            ("Em", "pidx", "before.", moved),
+        ):
+            fields = [f"'{' x '.join(combo)}' AS desagregacion", f"{pidx} AS pidx"]
+            fields += [f"{source + v if v in combo else 'NULL'} AS {v}" for v in attrs]
+            fields += [f"{'n' if m == measure else '0L'} AS {m}" for m in COUNTS]
+            rows.append(f"CASE WHEN {cond} THEN struct({', '.join(fields)}) END")
     counted = (
-        cells.select(F.explode(F.array(*rows)).alias("e"))
+        cells.select(F.explode(F.expr(f"array({', '.join(rows)})")).alias("e"))
         .filter("e is not null")
         .select("e.*")
         .groupBy("desagregacion", "pidx", *attrs)

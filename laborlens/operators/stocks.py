@@ -43,15 +43,13 @@ def roll_up(
 
 def _name_of(sets: dict[str, list[str]], keys: list[str]) -> Column:
     """Name of a grouping set from its id (a bit is 1 where the key is absent)."""
-    out = F.lit(None).cast("string")
+    optional = _optional(sets)
+    whens = []
     for name, cols in sets.items():
-        bits = sum(
-            1 << (len(keys) - 1 - i)
-            for i, k in enumerate(keys)
-            if k not in cols and k in _optional(sets)
-        )
-        out = F.when(F.col("_gid") == bits, F.lit(name)).otherwise(out)
-    return out
+        absent = [k in optional and k not in cols for k in keys]
+        bits = sum(1 << (len(keys) - 1 - i) for i, out in enumerate(absent) if out)
+        whens.append(f"WHEN {bits} THEN '{name}'")
+    return F.expr(f"CASE _gid {' '.join(whens)} END")
 
 
 def _optional(sets: dict[str, list[str]]) -> set[str]:

@@ -14,63 +14,83 @@ ACCURACY = 10_000
 MARGIN = 10 / ACCURACY
 
 
-def exact_median(df: DataFrame, value: str, by: str = "pidx", name: str = "mediana") -> DataFrame:
-    """Median per month without sorting a month in one task.
-
-    A quantile sketch brackets the median between two values far wider apart
-    than its rank error. Only values inside the bracket (about 0.2 % of the rows)
-    are counted one by one and ranked; smaller ones are counted as a block. The
-    result is exact, and the job fails if a bracket should miss.
+def bracket(value: str) -> list[Column]:
+    """Aggregates ``exact_median`` needs: count and two values around the median."""
+    around = [0.5 - MARGIN, 0.5 + MARGIN]
+    return [
+        F.count(value).alias("_n"),
+        F.percentile_approx(value, around, ACCURACY).alias("_q"),
+    ]
+
+
+def exact_median(
+    df: DataFrame, summary: DataFrame, value: str, by: str = "pidx", name: str = "mediana"
+) -> DataFrame:
+    """``summary`` (one row per month, with ``bracket``) plus the median of each month.
+
+    No month is sorted in one task. A quantile sketch has bracketed the median
+    between two values ten times wider apart than its rank error; only values
+    inside the bracket (about 0.2 % of the rows) are counted one by one and
+    ranked, smaller ones are counted as a block. The result is exact, and the
+    job fails if a bracket should miss.
     """
-    rows = df.select(by, F.col(value).alias("_v")).filter("_v is not null")
-    sketch = rows.groupBy(by).agg(
-        F.count("*").alias("_n"),
-        F.percentile_approx("_v", [0.5 - MARGIN, 0.5 + MARGIN], ACCURACY).alias("_q"),
-    )
-    lo, hi = F.col("_q")[0], F.col("_q")[1]
-    block = F.when(F.col("_v") >= lo, F.col("_v"))
+    carried = [c for c in summary.columns if c not in (by, "_q")]
+    bounds = summary.withColumns({"_lo": F.col("_q")[0], "_hi": F.col("_q")[1]}).drop("_q")
+    v = F.col("_v")
     counts = (
-        rows.join(P.by_month(sketch), by)
-        .filter(F.col("_v") <= hi)
-        .groupBy(by, "_n", block.alias("_v"))
-        .agg(F.count("*").alias("_k"))
+        df.select(by, F.col(value).alias("_v"))
+        .join(P.by_month(bounds), by)
+        .filter(v.isNull() | (v <= F.col("_hi")))
+        .groupBy(by, *carried, F.when(v >= F.col("_lo"), v).alias("_v"))
+        .agg(F.count(v).alias("_k"))
     )
-    w = W.partitionBy(by).orderBy(F.col("_v").asc_nulls_first())
+    w = W.partitionBy(by).orderBy(v.asc_nulls_first())
     ranked = counts.withColumn("_to", F.sum("_k").over(w)).withColumn("_from", F.col("_to") - F.col("_k"))
     first, second = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
 
     def at(rank: Column) -> Column:
-        return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), F.col("_v")))
-
-    a, b = at(first), at(second)
-    found = F.when(a.isNull() | b.isNull(), F.raise_error(F.lit("median outside its bracket")))
-    return ranked.groupBy(by).agg(F.coalesce(found.cast("double"), (a + b) / 2).alias(name))
+        return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), v))
+
+    missed = (F.col("_n") > 0) & (F.col("_a").isNull() | F.col("_b").isNull())
+    failed = F.raise_error(F.lit("median outside its bracket")).cast("double")
+    return (
+        ranked.groupBy(by, *carried)
+        .agg(at(first).alias("_a"), at(second).alias("_b"))
+        .withColumn(name, F.when(missed, failed).otherwise((F.col("_a") + F.col("_b")) / 2))
+        .drop("_a", "_b", "_n")
+    )
 
 
 def wage_mass(panel: DataFrame, unique_key: bool = False, median: str = "exact") -> DataFrame:
     """Jobs, wage mass, mean and median pay and days of every month.
 
-    ``median="approx"`` takes the sketch's answer and saves a pass.
+    The exact median reads the panel a second time; ``median="approx"`` takes the
+    sketch's answer instead.
     """
     jobs = P.with_pidx(panel).select("pidx", *S.JOB, "monto", "dias")
-    n = F.count("*") if unique_key else F.countDistinct(*S.JOB)
     zero = F.lit(0.0)
+    sketch = (
+        bracket("monto")
+        if median == "exact"
+        else [F.percentile_approx("monto", 0.5, ACCURACY).alias("salario_mediano")]
+    )
     summary = jobs.groupBy("pidx").agg(
-        n.alias("empleo_formal"),
+        F.count("*").alias("empleo_formal"),
         F.coalesce(F.sum("monto"), zero).alias("masa_salarial"),
         F.coalesce(F.sum(X.day_adjusted("monto", "dias")), zero).alias("masa_salarial_ajustada"),
         F.avg("monto").alias("salario_promedio"),
         F.avg(X.daily_wage("monto", "dias")).alias("salario_diario_promedio"),
         F.avg("dias").alias("dias_promedio"),
         F.coalesce(F.sum("dias"), F.lit(0)).alias("dias_totales"),
+        *sketch,
     )
     if median == "exact":
-        med = exact_median(jobs, "monto", name="salario_mediano")
-    else:
-        med = jobs.groupBy("pidx").agg(
-            F.percentile_approx("monto", 0.5, ACCURACY).alias("salario_mediano")
-        )
-    return summary.join(P.by_month(med), "pidx", "left")
+        summary = exact_median(jobs, summary, "monto", name="salario_mediano")
+    if unique_key:
+        return summary
+    # Kept apart: in one aggregation the distinct count would give every job its own sketch.
+    distinct = jobs.groupBy("pidx").agg(F.countDistinct(*S.JOB).alias("empleo_formal"))
+    return summary.drop("empleo_formal").join(P.by_month(distinct), "pidx")
 
 
 # Real series -> (nominal series, multiplier after deflation).

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from laborlens import schema as S
 from laborlens.functions import periods as P
-from laborlens.operators import clean, enrich, firm_size, flows, impute, indicators, stocks
+from laborlens.operators import clean, enrich, firm_size, flows, impute, indicators
 from laborlens.sources import lookups, tables
 
 
@@ -40,13 +40,8 @@ def turnover_tables(
 ) -> DataFrame:
     """Indicators of all breakdowns from an enriched panel, in long form."""
     jobs = tables.read_jobs(enriched, S.CLASSES, unique_key=True)
-    stock = stocks.stocks(jobs)
-    if mobile:
-        cells = flows.roll_up_mobile(flows.flows_mobile(jobs, periods=periods))
-        wide = indicators.reshape.flows_to_wide(cells)
-    else:
-        wide = flows.roll_up_fixed(flows.flows_fixed(jobs, periods=periods))
-    return indicators.indicators(stock, wide)
+    cells = flows.turnover_cells(jobs, periods=periods)
+    return indicators.indicators_of(flows.roll_up_turnover(cells, fill_flows=not mobile))
 
 
 def run_month_chain(

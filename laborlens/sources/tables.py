@@ -77,6 +77,17 @@ def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
+def stage(df: DataFrame, by: list[str] | None = None) -> DataFrame:
+    """The same rows, computed once and kept as a table in the shared scratch folder.
+
+    For results that several readers use, and to cut lineage between stages.
+    """
+    path = scratch_dir(df.sparkSession)
+    writer = df.write.mode("overwrite")
+    (writer.partitionBy(*by) if by else writer).parquet(path)
+    return open_table(df.sparkSession, path, schema=df.schema)
+
+
 def write_sorted(df: DataFrame, path: str, keys: list[str]) -> None:
     """Range-partitioned and sorted: row-group statistics serve key lookups."""
     df.repartitionByRange(*keys).sortWithinPartitions(*keys).write.mode("overwrite").parquet(path)

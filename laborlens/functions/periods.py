@@ -49,8 +49,8 @@ def with_pidx(df: DataFrame) -> DataFrame:
 def available_periods(df: DataFrame, desde: tuple[int, int] | None = S.START_PERIOD) -> DataFrame:
     """Distinct periods from a lower bound, in order, with their position.
 
-    Reads only (anno, mes): on a month-partitioned table this is a listing of
-    directories, otherwise a two-column scan with a map-side distinct.
+    Reads only (anno, mes): on a month-partitioned table no column is read from
+    the files, otherwise two are, with a map-side distinct.
     """
     if desde is not None:
         df = df.filter(from_period(desde))

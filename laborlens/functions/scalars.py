@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laborlens import schema as S
@@ -22,6 +22,12 @@ def parse_date(x) -> Column:
     return F.try_to_date(_c(x), "yyyy-MM-dd")
 
 
+def date_of(df: DataFrame, name: str) -> Column:
+    """Column ``name`` as a date, parsed when it is stored as text."""
+    text = dict(df.dtypes)[name] == "string"
+    return (parse_date(df[name]) if text else df[name]).alias(name)
+
+
 def months_since(fecha, anno, mes) -> Column:
     """Whole months from the month of ``fecha`` to (anno, mes); the day is ignored."""
     f = _c(fecha)

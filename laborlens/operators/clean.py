@@ -19,7 +19,9 @@ def of_type(df: DataFrame, tipo: int = 1) -> DataFrame:
 def join_dates(df: DataFrame, persons: DataFrame) -> DataFrame:
     """Birth and death dates of each worker; nothing else travels."""
     dates = persons.select(
-        F.col("person_id").alias("worker_id"), "fecha_nac", "fecha_def_cor_rc"
+        F.col("person_id").alias("worker_id"),
+        X.date_of(persons, "fecha_nac"),
+        X.date_of(persons, "fecha_def_cor_rc"),
     )
     return df.join(dates, "worker_id", "left")
 

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from laborlens import schema as S
 from laborlens.functions import periods as P
 from laborlens.functions import scalars as X
+from laborlens.operators.clean import cap_pay
 
 
 def impute_gaps(
@@ -73,6 +74,6 @@ def impute_gaps(
 def cap_and_impute(
     panel: DataFrame, caps: DataFrame, missing_cap: str = "null", calendar: bool = False
 ) -> DataFrame:
-    from laborlens.operators.clean import cap_pay
-
-    return impute_gaps(cap_pay(panel, caps, missing_cap), P.with_pidx(panel), calendar)
+    """Cap pay, then fill gaps with the capped pay of the neighbours."""
+    panel = P.with_pidx(panel)
+    return impute_gaps(cap_pay(panel, caps, missing_cap), panel, calendar)

@@ -14,18 +14,6 @@ from laborlens.operators import clean, enrich, firm_size, flows, impute, indicat
 from laborlens.sources import lookups, tables
 
 
-def clean_panel(
-    raw: DataFrame, persons: DataFrame, exclusions: DataFrame, caps: DataFrame, **options
-) -> DataFrame:
-    """Preprocess, cap pay and fill one-month gaps."""
-    desde = options.pop("desde", S.START_PERIOD)
-    missing_cap = options.pop("missing_cap", "null")
-    jobs = clean.preprocess(raw, persons, exclusions, desde, **options)
-    # Months come from the raw table: two columns, no join.
-    periods = P.available_periods(raw, desde)
-    return impute.impute_gaps(clean.cap_pay(jobs, caps, missing_cap), periods)
-
-
 def sized_panel(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Panel with the moving size of the firm, and the static size table."""
     heads = firm_size.headcount(panel, unique_key=True)
@@ -54,7 +42,10 @@ def run_month_chain(
     public_sector: DataFrame,
     nationality_mode: DataFrame,
     region_donor: DataFrame,
-    **options,
+    caps: DataFrame | None = None,
+    desde: tuple[int, int] = S.START_PERIOD,
+    missing_cap: str = "null",
+    mobile: bool = False,
 ) -> DataFrame:
     """All stages, each written below ``root`` and read back by the next.
 
@@ -65,22 +56,25 @@ def run_month_chain(
         (nationality_mode, "worker_id"), (region_donor, "firm_id"),
     ):
         lookups.require_unique(table, [key])
+    caps = lookups.pay_caps(spark) if caps is None else caps
 
-    panel = clean_panel(raw, persons, exclusions, lookups.pay_caps(spark), **options)
-    tables.write_periods(panel, f"{root}/panel")
-    panel = tables.open_table(spark, f"{root}/panel")
+    def stored(df: DataFrame, name: str, monthly: bool = True) -> DataFrame:
+        (tables.write_periods if monthly else tables.write_table)(df, f"{root}/{name}")
+        return tables.open_table(spark, f"{root}/{name}", schema=df.schema)
 
+    jobs = stored(clean.preprocess(raw, persons, exclusions, desde), "preprocessed")
+    panel = stored(impute.cap_and_impute(jobs, caps, missing_cap), "imputed")
     sized, static = sized_panel(panel)
-    tables.write_table(static, f"{root}/static_size")
-    static = tables.open_table(spark, f"{root}/static_size")
-
+    static = stored(static, "static_size", monthly=False)
     enriched = enrich.enrich(
-        sized, persons, firm_master, public_sector,
-        lookups.static_size_lookup(static), nationality_mode, region_donor,
+        sized,
+        lookups.persons_lookup(persons),
+        lookups.firm_master_lookup(firm_master),
+        lookups.public_sector_lookup(public_sector),
+        lookups.static_size_lookup(static),
+        lookups.nationality_mode_lookup(nationality_mode),
+        lookups.region_donor_lookup(region_donor),
     )
-    tables.write_periods(enriched, f"{root}/enriched")
-    enriched = tables.open_table(spark, f"{root}/enriched")
-
-    out = turnover_tables(enriched, P.available_periods(enriched, None))
-    tables.write_table(out, f"{root}/indicators")
-    return tables.open_table(spark, f"{root}/indicators")
+    enriched = stored(enriched, "enriched")
+    periods = P.available_periods(enriched, None)
+    return stored(turnover_tables(enriched, periods, mobile), "indicators", monthly=False)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from laborlens import schema as S
 from laborlens.functions import periods as P
-from laborlens.functions.scalars import cap_pesos
+from laborlens.functions.scalars import cap_pesos, date_of
 
 # Monthly value of the inflation-linked unit (UF), January to December.
 UF_BY_MONTH = {
@@ -66,7 +66,8 @@ def parameters(spark: SparkSession, path: str, schema=S.PARAMETERS) -> DataFrame
 
 def persons_lookup(df: DataFrame) -> DataFrame:
     return df.select(
-        "person_id", "sexo", "nacionalidad", "fecha_nac", "fecha_def_cor_rc",
+        "person_id", "sexo", "nacionalidad",
+        date_of(df, "fecha_nac"), date_of(df, "fecha_def_cor_rc"),
         "codigo_region", "codigo_comuna",
     )
 
@@ -97,7 +98,7 @@ def region_donor_lookup(df: DataFrame) -> DataFrame:
 
 
 def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The same rows; the job fails if two of them share a key.
+    """The table itself; raises when two rows share a key.
 
     Meant for lookup tables, where a repeated key would multiply panel rows. The
     check counts per key with map-side combine, so a hot key costs no more.

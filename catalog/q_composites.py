@@ -1101,10 +1101,12 @@ cte(
 @query(
     "D18_group_summary",
     sql(
-        """SELECT a.grupo, CAST(a.pt AS DOUBLE) AS nivel_actual, CAST(b.pt AS DOUBLE) AS nivel_12_meses,
-  round_even(a.var12_pt, 1) + 0.0 AS var_anual, round_even(a.inc12_pt, 2) + 0.0 AS incidencia
-FROM ssi_wide a JOIN ssi_wide b ON a.grupo = b.grupo AND b.pidx = a.pidx - 12
-WHERE a.pidx = (SELECT MAX(pidx) FROM ssi_wide)""",
+        """SELECT grupo, round_even(CAST(last(pt ORDER BY pidx) AS DOUBLE), 0) + 0.0 AS nivel_actual,
+  round_even(CAST(first(pt ORDER BY pidx) AS DOUBLE), 0) + 0.0 AS nivel_12_meses,
+  round_even(last(var12_pt ORDER BY pidx), 1) + 0.0 AS var_anual,
+  round_even(last(inc12_pt ORDER BY pidx), 2) + 0.0 AS incidencia
+FROM ssi_wide WHERE pidx IN ((SELECT MAX(pidx) FROM ssi_wide), (SELECT MAX(pidx) - 12 FROM ssi_wide))
+GROUP BY grupo""",
         "ssi_wide",
     ),
 )

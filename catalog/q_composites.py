@@ -580,35 +580,32 @@ def d08b(spark, sf):
 
 # --- reconciliation --------------------------------------------------------------------------------
 
-DIM_OF_TABLE = {"total": {}, "sx": {"sexo": "sexo"}, "te": {"tramo_edad": "edad"}, "sector": {"seccion": "seccion"}}
-AGE_LABEL = "CASE tramo_edad " + " ".join(
-    f"WHEN {i} THEN '{t}'" for i, t in enumerate(["0_14", "15_24", "25_34", "35_44", "45_54", "55_64", "65_mas"])
-) + " END"
+COMPARED = [(label, own, list(dims)) for label, (own, _, dims) in reconcile.CATALOGUE.items()]
 
 
 def both_sources(spark, sf):
-    """Own tables and a second source: values of June raised by one, ages as labels."""
+    """Own tables and a second source under its own names: June values one higher, ages as labels."""
     from laborlens.functions.scalars import AGE_LABELS
 
     # Both sources of a reconciliation are stored tables.
     long = tables.stage(rounded(indicators_fixed(spark, sf)), ["tabla"])
     label = F.element_at(F.array(*[F.lit(t) for t in AGE_LABELS]), F.col("tramo_edad") + 1)
     own, reference = {}, {}
-    for name, target in (("total", "general"), ("sx", "sexo"), ("te", "edad"), ("sector", "seccion")):
-        dims = list(DIM_OF_TABLE[name])
-        part = long.filter(F.col("tabla") == name).select("anno", "mes", "fecha", *dims, "indicador", "valor")
-        own[name] = part
-        other = reshape.recode_indicators(part).withColumn(
-            "valor", F.col("valor") + F.when(F.col("mes") == 6, 1).otherwise(0)
-        ).drop("fecha").withColumnsRenamed({"anno": "anno_dev.cur", "mes": "mes_dev.cur"})
-        if name == "te":
-            other = other.withColumn("edad", label).drop("tramo_edad")
-        reference[f"indicadores_{target}"] = other
+    for name, target, dims in reconcile.CATALOGUE.values():
+        own[name] = long.filter(F.col("tabla") == name).select(
+            "anno", "mes", "fecha", *dims, "indicador", "valor"
+        )
+        raised = F.col("valor") + F.when(F.col("mes") == 6, 1).otherwise(0)
+        other = reshape.recode_indicators(own[name]).withColumn("valor", raised).drop("fecha")
+        if "tramo_edad" in dims:
+            other = other.withColumn("tramo_edad", label)
+        reference[target] = other.withColumnsRenamed(
+            {"anno": "anno_dev.cur", "mes": "mes_dev.cur", **dims}
+        )
     return own, reference
 
 
-def compared_sql(name: str, label: str) -> str:
-    dims = list(DIM_OF_TABLE[name])
+def compared_sql(name: str, label: str, dims: list[str]) -> str:
     cols = "".join(f", {d}" for d in dims)
     live = "".join(f" AND {d} IS NOT NULL" for d in dims)
     return f"""SELECT '{label}' AS comparacion, valor, CASE WHEN mes = 6 THEN valor - (valor + 1) ELSE 0.0 END AS d{cols},
@@ -621,7 +618,7 @@ def compared_sql(name: str, label: str) -> str:
         f"""SELECT anno, mes, seccion, CASE indicador WHEN 'pt' THEN 'pt_cur' WHEN 'pt_ent_12' THEN 'pt_ent'
   WHEN 'pt_sal_12' THEN 'pt_sal' ELSE indicador END AS indicador, valor AS valor_ad,
   round(valor + CASE WHEN mes = 6 THEN 1 ELSE 0 END, 6) + 0.0 AS valor_rp, {R('d')}
-FROM ({compared_sql('sector', 'seccion')})""",
+FROM ({compared_sql('sector', 'seccion', ['seccion'])})""",
         "fx_long",
     ),
 )
@@ -638,8 +635,8 @@ def d09(spark, sf):
         "SELECT comparacion, COUNT(*) AS n_filas, COUNT(*) FILTER (d <> 0) AS n_dif_nz, "
         + R("MAX(abs(d))", "max_abs_d") + ", " + R("AVG(abs(d))", "mean_abs_d") + " FROM ("
         + " UNION ALL ".join(
-            f"SELECT comparacion, d FROM ({compared_sql(n, lab)})"
-            for n, lab in (("total", "general"), ("sx", "sexo"), ("te", "edad"), ("sector", "seccion"))
+            f"SELECT comparacion, d FROM ({compared_sql(own, label, dims)})"
+            for label, own, dims in COMPARED
         )
         + ") GROUP BY comparacion",
         "fx_long",
@@ -980,19 +977,25 @@ def d15_tables(spark, sf):
     return rounded(out)
 
 
+def amounts_sql(table: str, clp: str, usd: str) -> str:
+    return f"""SELECT '{table}' AS tabla, {ANNO_MES}, tamano_empresa_movil, {R('monto_clp', decimals=4)}, {R('monto_usd', decimals=4)},
+  {R('monto_clp / SUM(monto_clp) OVER (PARTITION BY pidx)', 'participacion_clp', 4)},
+  {R('monto_usd / SUM(monto_usd) OVER (PARTITION BY pidx)', 'participacion_usd', 4)}
+FROM (SELECT pidx, tamano_empresa_movil, SUM({clp}) AS monto_clp, SUM({usd}) AS monto_usd
+      FROM credit_firm GROUP BY ALL)"""
+
+
 @query(
     "D15_participation_amounts",
     sql(
-        f"""SELECT {ANNO_MES}, tamano_empresa_movil, {R('monto_clp', decimals=4)}, {R('monto_usd', decimals=4)},
-  {R('monto_clp / SUM(monto_clp) OVER (PARTITION BY pidx)', 'participacion_clp', 4)},
-  {R('monto_usd / SUM(monto_usd) OVER (PARTITION BY pidx)', 'participacion_usd', 4)}
-FROM (SELECT pidx, tamano_empresa_movil, SUM(cl_clp) AS monto_clp, SUM(cl_usd) AS monto_usd
-      FROM credit_firm GROUP BY ALL)""",
+        amounts_sql("cl_tamano", "cl_clp", "cl_usd") + " UNION ALL " + amounts_sql("ct_tamano", "ct_clp", "ct_usd"),
         "credit_firm",
     ),
 )
 def d15_amounts(spark, sf):
-    return rounded(participation(spark, sf)["cl_tamano"], 4)
+    built = participation(spark, sf)
+    both = [built[n].withColumn("tabla", F.lit(n)) for n in ("cl_tamano", "ct_tamano")]
+    return rounded(both[0].unionByName(both[1]), 4)
 
 
 # --- audit -------------------------------------------------------------------------------------------------------
@@ -1119,7 +1122,7 @@ def d18(spark, sf):
     "D19_latest_total_and_leader",
     sql(
         """, s AS (SELECT CAST(anno AS VARCHAR) || '-' || lpad(CAST(mes AS VARCHAR), 2, '0') AS periodo, seccion,
-  SUM(monto) AS valor FROM panel WHERE anno BETWEEN 1996 AND 2000 AND mes IN (3, 6, 9) GROUP BY ALL),
+  round(SUM(monto), 2) AS valor FROM panel WHERE anno BETWEEN 1996 AND 2000 AND mes IN (3, 6, 9) GROUP BY ALL),
 l AS (SELECT * FROM s WHERE periodo = (SELECT MAX(periodo) FROM s))
 SELECT periodo, round(SUM(valor), 2) + 0.0 AS total,
   (SELECT MIN(seccion) FROM l WHERE valor = (SELECT MAX(valor) FROM l)) AS lider,
@@ -1133,5 +1136,5 @@ FROM l GROUP BY periodo""",
 def d19(spark, sf):
     panel = roles.panel(spark, sf).select("anno", "mes", "seccion", "monto")
     chosen = reports.selected_months(panel, (1996, 2000), [3, 6, 9])
-    sums = chosen.groupBy("periodo", "seccion").agg(F.sum("monto").alias("valor"))
+    sums = chosen.groupBy("periodo", "seccion").agg(F.round(F.sum("monto"), 2).alias("valor"))
     return rounded(reports.latest_total_and_leader(sums, "seccion", "valor"), 2)

@@ -267,7 +267,7 @@ def shifted_total(spark, sf):
         f"""SELECT anno, mes, sexo, CASE indicador WHEN 'pt' THEN 'pt_cur' WHEN 'pt_ent_12' THEN 'pt_ent'
   WHEN 'pt_sal_12' THEN 'pt_sal' ELSE indicador END AS indicador, valor AS valor_ad,
   round(valor + CASE WHEN mes = 6 THEN 1 ELSE 0 END, 6) + 0.0 AS valor_rp, {R('d')}
-FROM ({compared_sql('sx', 'sexo')})""",
+FROM ({compared_sql('sx', 'sexo', ['sexo'])})""",
         "fx_long",
     ),
 )
@@ -330,6 +330,25 @@ def price_index_left(spark, sf):
     return rounded(rounded(real.select("pidx", "ipc", "masa_salarial_real"), 4, skip=("ipc",)))
 
 
+NATIONAL = ["iilf", "iilf_ajustado", "payroll_index", "wage_index", "labor_intensity_index",
+            "var_mensual_iilf", "var_anual_iilf"]
+
+
+@query(
+    "J21_master_table",
+    sql(
+        f"""SELECT m.pidx, {', '.join(R('m.' + c, c, 4) for c in NATIONAL)}, {R('ipc')}, u.utm AS utm
+FROM indexed_var m LEFT JOIN params u ON m.pidx = u.pidx""",
+        "indexed_var", "params",
+    ),
+)
+def master_table(spark, sf):
+    prices = roles.prices(spark, sf)
+    index = wage_index.wage_index(mass(spark, sf), prices, base_year=1998)
+    params = roles.parameters(spark, sf).select("pidx", "utm")
+    return rounded(rounded(wage_index.master_table(index, prices, params), 4, skip=("ipc", "utm")))
+
+
 @query("J22_attributes_of_three_sources", sql("SELECT * FROM audited", "audited"))
 def attributes_of_three_sources(spark, sf):
     return audited(spark, sf)

@@ -430,13 +430,13 @@ def date_from_name(spark, sf):
   WHEN v >= 1e9 THEN regexp_replace(CAST(round_even(v / 1e9, 1) AS VARCHAR), '\\.0$', '') || ' MM'
   WHEN v >= 1e6 THEN regexp_replace(CAST(round_even(v / 1e6, 1) AS VARCHAR), '\\.0$', '') || ' M'
   ELSE format('{:,}', CAST(round_even(v, 0) AS BIGINT)) END AS texto
-FROM (SELECT worker_id, SUM(monto) * CASE worker_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 1000 ELSE 1000000 END AS v
+FROM (SELECT worker_id, round(SUM(monto), 2) * CASE worker_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 1000 ELSE 1000000 END AS v
       FROM panel GROUP BY worker_id)""",
         "panel",
     ),
 )
 def magnitude_text(spark, sf):
-    sums = roles.panel(spark, sf).groupBy("worker_id").agg(F.sum("monto").alias("v"))
+    sums = roles.panel(spark, sf).groupBy("worker_id").agg(F.round(F.sum("monto"), 2).alias("v"))
     scale = F.expr("CASE worker_id % 3 WHEN 0 THEN 1 WHEN 1 THEN 1000 ELSE 1000000 END")
     return sums.select("worker_id", X.magnitude(F.col("v") * scale).alias("texto"))
 

@@ -35,7 +35,8 @@ CLASSES = [
 ]
 RECLASS_VARS = ["tamano_empresa_movil", "tramo_edad"]
 
-# The 14 breakdowns of stocks and flows (name -> class columns).
+# The 16 breakdowns of stocks and flows (name -> class columns). The
+# last two are published by the older generation of the statistics only.
 BREAKDOWNS = {
     "total": [],
     "sx": ["sexo"],
@@ -51,6 +52,8 @@ BREAKDOWNS = {
     "nc_sector": ["nacionalidad_final", "seccion"],
     "re_sector": ["region_final", "seccion"],
     "re_tamano": ["region_final", "tamano_empresa_movil"],
+    "tamano_sector": ["tamano_empresa_movil", "seccion"],
+    "sx_tamano_sector": ["sexo", "tamano_empresa_movil", "seccion"],
 }
 
 # The 15 breakdowns of public employment.

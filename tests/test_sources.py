@@ -23,6 +23,23 @@ def test_overwrite_touches_only_the_months_written(spark, tmp_path):
     assert rows == [(2020, 1, 1), (2020, 2, 9)]
 
 
+def test_large_month_is_written_by_several_tasks(spark, tmp_path):
+    root = str(tmp_path / "hot")
+    rows = spark.range(200_000).select(
+        F.lit(2020).alias("anno"), F.when(F.col("id") % 10 == 0, 2).otherwise(1).alias("mes"),
+        F.sha2(F.col("id").cast("string"), 256).alias("v"),
+    )
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    spark.conf.set(key, "500KB")
+    try:
+        tables.write_periods(rows.repartition(16), root)
+    finally:
+        spark.conf.unset(key)
+    files = tables.month_files(spark, root).groupBy("mes").count()
+    assert {r["mes"]: r["count"] for r in files.collect()}[1] > 1
+    assert tables.open_table(spark, root).count() == 200_000
+
+
 def test_months_from_directories_and_from_names(spark, tmp_path):
     root = str(tmp_path / "a")
     tables.write_periods(months_frame(spark, [(2020, 1, 1), (2021, 12, 2)]), root)

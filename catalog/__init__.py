@@ -1,6 +1,6 @@
 """Registered queries over the driver tables, with their check SQL."""
 
-from catalog.registry import ORACLES, QUERIES
+from catalog.registry import ORACLES, QUERIES, dates_as_text
 from catalog import (
     q_aggregates,
     q_composites,
@@ -13,4 +13,6 @@ from catalog import (
     q_windows,
 )
 
+dates_as_text()
+
 __all__ = ["ORACLES", "QUERIES"]

@@ -413,12 +413,12 @@ def period_labels(spark, sf):
     "X29_date_from_name",
     sql(
         """SELECT worker_id, firm_id, CAST(strptime(substring(f, 5, 6) || '01', '%Y%m%d') AS DATE) AS fecha
-FROM (SELECT *, 'trl_' || CAST(anno * 100 + mes AS VARCHAR) || '.parquet' AS f FROM panel)""",
+FROM (SELECT *, 'job_' || CAST(anno * 100 + mes AS VARCHAR) || '.parquet' AS f FROM panel)""",
         "panel",
     ),
 )
 def date_from_name(spark, sf):
-    name = F.concat(F.lit("trl_"), P.yyyymm("anno", "mes").cast("string"), F.lit(".parquet"))
+    name = F.concat(F.lit("job_"), P.yyyymm("anno", "mes").cast("string"), F.lit(".parquet"))
     return roles.panel(spark, sf).select("worker_id", "firm_id", X.digits_date(name).alias("fecha"))
 
 

@@ -17,8 +17,16 @@ MONTH_IN_NAME = r"_(\d{4})(\d{2})\.parquet$"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new, unused path below the shared folder the session names."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="laborlens-")
+    """A new, unused path below the shared folder the session names.
+
+    Without that setting a local session gets a temporary folder; a cluster must
+    name one, since its tasks share no local disk.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.conf.get("spark.master", "local").startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
+        base = tempfile.mkdtemp(prefix="laborlens-")
     return f"{base.rstrip('/')}/laborlens-{uuid.uuid4().hex}"
 
 

@@ -49,7 +49,7 @@ def test_months_from_directories_and_from_names(spark, tmp_path):
     import pyarrow as pa
     import pyarrow.parquet as pq
 
-    pq.write_table(pa.table({"v": [1]}), named / "trl_202003.parquet")
+    pq.write_table(pa.table({"v": [1]}), named / "job_202003.parquet")
     found = tables.month_files(spark, str(named)).collect()
     assert [(r.anno, r.mes) for r in found] == [(2020, 3)]
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import Window as W
 
 from catalog import roles
 from catalog.q_composites import (
@@ -142,7 +143,7 @@ FROM panel a JOIN panel b ON a.worker_id = b.worker_id AND a.firm_id = b.firm_id
     ),
 )
 def neighbours_inner(spark, sf):
-    w = P.W.partitionBy(*S.JOB).orderBy("pidx").rangeBetween(2, 2)
+    w = W.partitionBy(*S.JOB).orderBy("pidx").rangeBetween(2, 2)
     rows = gap_input(spark, sf).select(*KEYS, F.col("dias").alias("dias_ant"), F.max("dias").over(w).alias("dias_sig"))
     return rows.filter("dias_sig is not null")
 
@@ -166,7 +167,7 @@ GROUP BY a.firm_id, a.pidx""",
     ),
 )
 def range_look_back(spark, sf):
-    w = P.W.partitionBy("firm_id").orderBy("pidx").rangeBetween(-11, 0)
+    w = W.partitionBy("firm_id").orderBy("pidx").rangeBetween(-11, 0)
     return heads(spark, sf).select(
         "firm_id", "pidx", F.count("*").over(w).alias("meses"), F.sum("n_trabajadores").over(w).alias("suma")
     )

@@ -12,6 +12,11 @@ from laborlens.functions import scalars as X
 JOB_PERIOD = S.JOB + S.PERIOD + ["tipo_trabajador"]
 
 
+def _job_period(df: DataFrame) -> list[str]:
+    """Job-period key; the worker type is part of it unless it has been dropped."""
+    return [c for c in JOB_PERIOD if c in df.columns]
+
+
 def of_type(df: DataFrame, tipo: int = 1) -> DataFrame:
     return df.filter(F.col("tipo_trabajador") == tipo)
 
@@ -44,18 +49,19 @@ def max_declaration(df: DataFrame) -> DataFrame:
 
 def distinct_payments(df: DataFrame) -> DataFrame:
     """Drop exact repeats of a payment, whatever its declaration type."""
-    keys = JOB_PERIOD + ["tipo_pago", "monto", "dias", "codigo_mutual"]
+    keys = _job_period(df) + ["tipo_pago", "monto", "dias", "codigo_mutual"]
     return df.withColumn("tipo_pago", X.payment_type("tipo_pago")).select(*keys).distinct()
 
 
 def sum_payments(df: DataFrame) -> DataFrame:
     """Pay and days per job-period: leave counts zero, days stop at 30."""
+    keys = _job_period(df)
     amounts = df.select(
-        *JOB_PERIOD,
+        *keys,
         X.zero_on_leave("monto", "tipo_pago").cast("double").alias("monto"),
         X.zero_on_leave(F.col("dias").cast("int"), "tipo_pago").alias("dias"),
     )
-    return amounts.groupBy(*JOB_PERIOD).agg(
+    return amounts.groupBy(*keys).agg(
         F.sum("monto").alias("monto"),
         X.at_most(F.sum("dias"), 30).cast("int").alias("dias"),
     )
@@ -82,17 +88,20 @@ def preprocess(
     desde: tuple[int, int] = S.START_PERIOD,
     low: int = 15,
     high: int = 90,
+    tipo: int = 1,
 ) -> DataFrame:
     """Clean panel from raw contributions.
 
     Age and death depend on (worker, period) alone, which is part of the
     consolidation key, so the demographic join runs after the consolidation, on
-    one row per job-period instead of every payment row.
+    one row per job-period instead of every payment row. With a single worker
+    type left, the consolidation is keyed like the exclusions and both share a
+    shuffle.
     """
-    raw = of_type(raw).filter(P.from_period(desde))
+    raw = of_type(raw, tipo).filter(P.from_period(desde)).drop("tipo_trabajador")
     jobs = drop_excluded(consolidate_jobs(raw), exclusions)
     kept = alive(of_age(join_dates(jobs, persons), low, high))
-    return kept.drop("fecha_nac", "fecha_def_cor_rc")
+    return kept.withColumn("tipo_trabajador", F.lit(tipo)).drop("fecha_nac", "fecha_def_cor_rc")
 
 
 def cap_pay(df: DataFrame, caps: DataFrame, missing_cap: str = "null") -> DataFrame:

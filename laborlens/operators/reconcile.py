@@ -104,13 +104,21 @@ def compare_all(
 
 
 def summary(comparisons: dict[str, DataFrame]) -> DataFrame:
-    """Rows, nonzero differences, largest and mean absolute difference per comparison."""
+    """Rows, nonzero differences, largest and mean absolute difference per comparison.
+
+    A comparison without rows is listed with 0 rows and unknown differences.
+    """
     tagged = [
-        df.select(F.lit(name).alias("comparacion"), "d") for name, df in comparisons.items()
+        df.select(F.lit(name).alias("comparacion"), "d", F.lit(1).alias("row"))
+        for name, df in comparisons.items()
     ]
+    spark = tagged[0].sparkSession
+    listed = spark.createDataFrame(
+        [(name, None, 0) for name in comparisons], "comparacion string, d double, row int"
+    )
     d = F.abs("d")
-    return reduce(DataFrame.unionByName, tagged).groupBy("comparacion").agg(
-        F.count("*").alias("n_filas"),
+    return reduce(DataFrame.unionByName, tagged, listed).groupBy("comparacion").agg(
+        F.sum("row").alias("n_filas"),
         F.count_if(F.col("d") != 0).alias("n_dif_nz"),
         F.max(d).alias("max_abs_d"),
         F.avg(d).alias("mean_abs_d"),

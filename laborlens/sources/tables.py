@@ -102,9 +102,12 @@ def write_sorted(df: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def write_bucketed(df: DataFrame, table: str, buckets: int, keys: list[str] | None = None) -> None:
-    """Catalog table bucketed by job, so that gap and flow windows need no shuffle."""
+    """Catalog table bucketed by job, so that gap and flow windows need no shuffle.
+
+    Rows meet in their bucket before the write, which gives one file per bucket.
+    """
     keys = keys or S.JOB
-    df.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, "pidx").saveAsTable(table)
+    df.repartition(buckets, *keys).write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys, "pidx").saveAsTable(table)
 
 
 def keep_first(df: DataFrame, keys: list[str]) -> DataFrame:

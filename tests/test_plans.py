@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from catalog import q_composites as Q
 from catalog import roles
-from laborlens.operators import enrich, flows, public_jobs
+from laborlens.operators import clean, enrich, flows, public_jobs
 from laborlens.sources import tables
 
 WRITES = ("S0", "S1", "D08_indicators_from", "D09", "D15_part", "D17", "J17", "W09", "A18")
@@ -39,9 +39,25 @@ def test_flows_shuffle_the_panel_once(spark, sf):
         assert "SortMergeJoin" not in text
 
 
-def test_main_job_limits_before_the_shuffle(spark, sf):
-    text = plan(public_jobs.main_jobs(roles.panel(spark, sf)))
-    assert re.search(r"WindowGroupLimit .*Partial", text)
+def test_ranks_are_limited_before_the_shuffle(spark, sf):
+    for df in (
+        public_jobs.main_jobs(roles.panel(spark, sf)),
+        tables.keep_first(roles.raw(spark, sf), ["worker_id", "firm_id", "anno", "mes"]),
+    ):
+        assert re.search(r"WindowGroupLimit .*Partial", plan(df))
+
+
+def test_consolidation_and_exclusion_share_a_shuffle(spark, sf):
+    raw = tables.stage(roles.raw(spark, sf))
+    excluded = tables.stage(roles.exclusions(spark, sf))
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    spark.conf.set(key, "-1")
+    try:
+        text = plan(clean.preprocess(raw, roles.persons(spark, sf), excluded, (1996, 11)))
+    finally:
+        spark.conf.unset(key)
+    by_period = re.findall(r"Exchange hashpartitioning\(worker_id#\d+L, firm_id#\d+L, anno#\d+, mes#\d+, \d+\)", text)
+    assert len(by_period) == 2  # one for each side of the anti join
 
 
 def test_bucketed_panel_needs_no_shuffle_for_flows(spark, sf):
@@ -61,14 +77,28 @@ def test_scan_reads_needed_columns_and_pushes_filters(spark, sf):
 
 
 def test_hot_worker_is_split(spark):
-    """One worker holds most rows: the enrichment join is split at run time."""
+    """One worker and one firm hold most rows: both enrichment joins are split at run time."""
     n = 200_000
-    hot = spark.range(n).select(
-        F.when(F.col("id") % 10 < 6, F.lit(7)).otherwise(F.col("id")).alias("worker_id"),
-        (F.col("id") % 1000).alias("firm_id"), F.lit(2020).alias("anno"), F.lit(1).alias("mes"),
-        F.sha2(F.col("id").cast("string"), 256).alias("pad"),
+    i = F.col("id")
+
+    def hot(key):
+        return F.when(i % 10 < 6, F.lit(7)).otherwise(key)
+
+    def pad(name):
+        return F.sha2(i.cast("string"), 256).alias(name)
+
+    rows = spark.range(n)
+    panel = rows.select(
+        hot(i).alias("worker_id"), hot(i).alias("firm_id"), F.lit(2020).alias("anno"),
+        F.lit(1).alias("mes"), pad("pad"),
+    )
+    workers = rows.select(
+        i.alias("person_id"), F.lit(1).alias("sexo"), F.lit(1).alias("nacionalidad"),
+        F.lit("1980-01-01").cast("date").alias("fecha_nac"), F.lit(None).cast("date").alias("fecha_def_cor_rc"),
+        F.lit("13").alias("codigo_region"), pad("codigo_comuna"),
     )
-    workers = spark.range(n).select(F.col("id").alias("worker_id"), F.sha2(F.col("id").cast("string"), 256).alias("w"))
+    firms = rows.select(i.alias("firm_id"), pad("seccion"))
+    public = rows.filter("id % 2 = 0").select(i.alias("firm_id"), F.lit(1).alias("ep"))
     settings = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
@@ -80,10 +110,15 @@ def test_hot_worker_is_split(spark):
     try:
         for k, v in settings.items():
             spark.conf.set(k, v)
-        joined = hot.join(workers, "worker_id", "left")
-        rows = joined.collect()
-        assert len(rows) == n
-        assert "skew=true" in plan(joined)
+        joined = enrich.enrich(
+            panel, workers, firms, public,
+            rows.select(i.alias("firm_id"), F.lit("micro").alias("tamano")),
+            rows.select(i.alias("worker_id"), F.lit(1).alias("nc_moda")),
+            rows.select(i.alias("firm_id"), F.lit(5).alias("region_trabajador")),
+        )
+        done = joined.select("worker_id", "seccion", "codigo_comuna", "pad")
+        assert len(done.collect()) == n
+        assert plan(done).count("skew=true") >= 2
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)

@@ -91,8 +91,10 @@ def stage(df: DataFrame, by: list[str] | None = None) -> DataFrame:
     For results that several readers use, and to cut lineage between stages.
     """
     path = scratch_dir(df.sparkSession)
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
+    if by:
+        df.hint("rebalance", *by).write.partitionBy(*by).parquet(path)
+    else:
+        df.write.parquet(path)
     return open_table(df.sparkSession, path, schema=df.schema)
 
 

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from catalog import roles
 from catalog.q_composites import (
-    ANNO_MES,
     DATED,
     MASS_COLS,
     MIG,

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from catalog import roles
 from catalog.registry import R, cte, query, rounded, sql
 from laborlens import schema as S
-from laborlens.functions import periods as P
 from laborlens.operators import (
     audit,
     clean,

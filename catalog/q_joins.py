@@ -7,20 +7,16 @@ from pyspark.sql import Window as W
 
 from catalog import roles
 from catalog.q_composites import (
-    ALL,
     audited,
     both_sources,
     compared_sql,
-    credit,
     enriched,
     gap_input,
     heads,
     jobs,
     mass,
-    mobile_cells,
     national_stock,
     public_tables,
-    stock_long,
     total_base,
 )
 from catalog.registry import R, query, rounded, sql

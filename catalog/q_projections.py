@@ -10,7 +10,6 @@ from catalog.q_composites import (
     DATED,
     INC_COLS,
     RATE_COLS,
-    indicators_fixed,
     long_sql,
     mobile_cells,
     national_stock,

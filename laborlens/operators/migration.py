@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laborlens import schema as S
-from laborlens.functions import periods as P
 from laborlens.functions import scalars as X
 from laborlens.operators.flows import year_apart
 from laborlens.operators.reshape import with_calendar

@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 from catalog import q_composites as Q
 from catalog import roles
 from laborlens import schema as S
-from laborlens.functions import periods as P
 from laborlens.operators import firm_size, flows, impute, public_jobs, stocks
 
 

@@ -11,7 +11,6 @@ from laborlens.functions import scalars as X
 from laborlens.operators import (
     audit,
     clean,
-    enrich,
     firm_size,
     flows,
     grouped_stats,

@@ -7,9 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlens.llm import quality
+from laborlens.llm import bpe, quality, secrets
 from laborlens.llm.frames import read_table
 
+try:
+    import public_tokenizers
+except ImportError:  # the vocabularies are a parameter of the operators; only their queries need this package
+    public_tokenizers = None
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -19,6 +24,19 @@ def query(fn):
     return fn
 
 
+@query
+def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of each document; its owner is its source."""
+    return secrets.report(read_table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of each document's ids and of what they decode to."""
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.round_trip(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of each document; its host is its source."""

@@ -5,9 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from laborlens.llm import bpe, quality, secrets
+from laborlens.llm import bpe, packing, quality, secrets
 from laborlens.llm.frames import read_table
 
 try:
@@ -37,6 +36,13 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
 
 
+@query
+def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of 1024 tokens along the curve."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.pack(read_table(spark, sf_dir, "documents"), path, public_tokenizers.PATTERN)
+
+
 @query
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of each document; its host is its source."""

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from laborlens.llm import bpe, packing, quality, secrets
+from laborlens.llm import bpe, minhash, neighbours, packing, quality, secrets
 from laborlens.llm.frames import read_table
 
 try:
@@ -47,3 +48,15 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts and verdict of each document; its host is its source."""
     return quality.judge(read_table(spark, sf_dir, "documents")).drop("h", "n_lines")
+
+
+@query
+def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest found of every row whose id is divisible by 20, among all rows."""
+    return neighbours.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+@query
+def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose sets of three-word shingles have a similarity of 0.85 or more."""
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, similarity=85)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlens.llm import bpe, minhash, neighbours, packing, quality, secrets
+from laborlens.llm import bpe, language_model, lines, minhash, neighbours, packing, quality, secrets
 from laborlens.llm.frames import read_table
 
 try:
@@ -24,6 +24,12 @@ def query(fn):
     return fn
 
 
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document when later repeated runs of two or more lines go."""
+    return lines.report(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op3_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets of each document; its owner is its source."""
@@ -56,6 +62,13 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents; those whose CRC leaves 1 modulo 5 are held out."""
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))) % 5 == 1
+    return language_model.score(read_table(spark, sf_dir, "documents"), held_out)
+
+
 @query
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles have a similarity of 0.85 or more."""

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlens.llm import bpe, language_model, lines, minhash, neighbours, packing, quality, secrets
+from laborlens.llm import bpe, chunks, language_model, lines, minhash, neighbours, packing, quality, secrets, suffixes
 from laborlens.llm.frames import read_table
 
 try:
@@ -24,6 +24,12 @@ def query(fn):
     return fn
 
 
+@query
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document when chunks that stand earlier go, and the documents where they stay."""
+    return chunks.deduplicate(read_table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of each document when later repeated runs of two or more lines go."""
@@ -62,6 +68,12 @@ def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.search(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+@query
+def op8_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What stays of each document when each string of 200 bytes that stands more than once goes."""
+    return suffixes.remove_repeats(read_table(spark, sf_dir, "documents"), length=200)
+
+
 @query
 def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scores of all documents; those whose CRC leaves 1 modulo 5 are held out."""

@@ -12,12 +12,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laborlens.llm import bytesops as B
 from laborlens.llm.components import connected_components
 from laborlens.llm.frames import checkpoint, map_arrow
+from laborlens.llm.spans import keyed, packed, unpack
 
 #: Bands and registers in a band. A pair of similarity 0.8 is missed with a chance of 3e-6, one of 0.85 with 7e-9.
 BANDS, ROWS = 32, 5
@@ -135,110 +136,142 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for docs in B.documents(batches):
-            values, bounds = shingle_sets(docs, words)
-            sets = [values[a:b].tobytes() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
-            same = [  # another row of the same id may have another text
-                int(values[a:b].sum(dtype=np.uint64).view(np.int64)) == d
-                for a, b, d in zip(bounds[:-1], bounds[1:], docs.rows.column(2).to_pylist(), strict=True)
-            ]
-            out = pa.RecordBatch.from_arrays(
-                [docs.rows.column(0), docs.rows.column(1), pa.array(sets, pa.binary())], ["rep", "cluster", "shingles"]
-            )
-            yield out.filter(pa.array(same))
+        for batch in batches:
+            texts = pa.array([unpack(x.as_py()) for x in batch.column(5)], pa.binary())
+            names = ["rep", "cluster", "blocks", "n_shingles", "d1", "text"]
+            for docs in B.documents(iter([pa.RecordBatch.from_arrays([*batch.columns[:5], texts], names)])):
+                values, bounds = shingle_sets(docs, words)
+                parts = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+                # Another row of the same id may have another text.
+                same = [int(p.sum(dtype=np.uint64).view(np.int64)) == d for p, d in zip(parts, docs.rows[4].to_pylist(), strict=True)]
+                sets = pa.array([p.tobytes() for p in parts], pa.binary())
+                out = pa.RecordBatch.from_arrays([*docs.rows.columns[:4], sets], [*names[:4], "shingles"])
+                yield out.filter(pa.array(same, pa.bool_()))
 
     return run
 
 
-def _links(similarity: int):
-    """Confirmed links in each group, as a spanning forest."""
-
-    def close(sets: list[np.ndarray], side: np.ndarray | None) -> list[tuple[int, int]]:
-        n = len(sets)
-        bounds = np.r_[0, np.cumsum([len(s) for s in sets])]
-        values = np.concatenate(sets)
-        rows = registers(values, bounds)
-        size = np.diff(bounds)
-        limit = similarity / 100
-        maybe = np.zeros((n, n), bool)
-        for i in range(n - 1):
-            estimate, used = similarity_estimate(rows[i], rows[i + 1 :])
-            margin = 5 * np.sqrt(limit * (1 - limit) / np.maximum(used, 1)) + 1 / np.maximum(used, 1)
-            smaller, larger = np.minimum(size[i], size[i + 1 :]), np.maximum(size[i], size[i + 1 :])
-            maybe[i, i + 1 :] = (estimate >= limit - margin) & (100 * smaller >= similarity * larger)
+def _plausible(rows: np.ndarray, size: np.ndarray, similarity: int, side: np.ndarray | None) -> np.ndarray:
+    """Pairs (upper half of a matrix) whose registers and sizes allow the similarity, by a margin of five deviations."""
+    n, limit = len(rows), similarity / 100
+    maybe = np.zeros((n, n), bool)
+    for i in range(n - 1):
+        smaller, larger = np.minimum(size[i], size[i + 1 :]), np.maximum(size[i], size[i + 1 :])
+        near = 100 * smaller >= similarity * larger
         if side is not None:
-            maybe &= side[:, None] != side[None, :]
-        involved = np.flatnonzero(maybe.any(axis=0) | maybe.any(axis=1))
-        if not len(involved):
-            return []
-        # Sizes of intersections: products of 0/1 columns, one column a shingle that two sets share.
-        index = np.concatenate([np.full(size[i], k) for k, i in enumerate(involved)])
-        shingle = np.concatenate([sets[i] for i in involved])
-        shared, column, times = np.unique(shingle, return_inverse=True, return_counts=True)
-        rank = np.cumsum(times > 1) - 1
-        useful = times[column] > 1
-        column, index = rank[column[useful]], index[useful]
-        order = np.argsort(column, kind="stable")
-        column, index = column[order], index[order]
-        m = len(involved)
-        both = np.zeros((m, m), np.float32)
-        step = 8192
-        total = int(column[-1]) + 1 if len(column) else 0
-        for begin in range(0, total, step):
-            lo, hi = np.searchsorted(column, [begin, begin + step])
-            part = np.zeros((m, min(step, total - begin)), np.float32)
-            part[index[lo:hi], column[lo:hi] - begin] = 1
-            both += part @ part.T
-        inter = both.astype(np.int64)
-        union = size[involved][:, None] + size[involved][None, :] - inter
-        linked = maybe[np.ix_(involved, involved)] & (100 * inter >= similarity * union)
-        parent = list(range(m))
-
-        def root(x: int) -> int:
-            while parent[x] != x:
-                parent[x] = parent[parent[x]]
-                x = parent[x]
-            return x
-
-        out = []
-        for a, b in zip(*np.nonzero(linked), strict=True):
-            ra, rb = root(int(a)), root(int(b))
-            if ra != rb:
-                parent[ra] = rb
-                out.append((int(involved[a]), int(involved[b])))
-        return out
+            near &= side[i + 1 :] != side[i]
+        at = np.flatnonzero(near) + i + 1
+        if len(at):
+            estimate, used = similarity_estimate(rows[i], rows[at])
+            margin = 5 * np.sqrt(limit * (1 - limit) / np.maximum(used, 1)) + 1 / np.maximum(used, 1)
+            maybe[i, at] = estimate >= limit - margin
+    return maybe
+
+
+def _forest(linked: np.ndarray) -> list[tuple[int, int]]:
+    """Links that join as many rows as all of a matrix do."""
+    parent = list(range(len(linked)))
+
+    def root(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    out = []
+    for a, b in zip(*(x.tolist() for x in np.nonzero(linked)), strict=True):
+        ra, rb = root(a), root(b)
+        if ra != rb:
+            parent[ra] = rb
+            out.append((a, b))
+    return out
+
+
+def _confirmed(sets: list[np.ndarray], similarity: int, side: np.ndarray | None) -> np.ndarray:
+    """Pairs of sets that have the similarity."""
+    size = np.array([len(s) for s in sets])
+    rows = registers(np.concatenate(sets), np.r_[0, np.cumsum(size)])
+    maybe = _plausible(rows, size, similarity, side)
+    involved = np.flatnonzero(maybe.any(axis=0) | maybe.any(axis=1))
+    if not len(involved):
+        return maybe
+    # Sizes of intersections: products of 0/1 columns, one column a shingle that two sets share.
+    index = np.repeat(np.arange(len(involved)), size[involved])
+    shingle = np.concatenate([sets[i] for i in involved])
+    _, column, times = np.unique(shingle, return_inverse=True, return_counts=True)
+    rank, useful = np.cumsum(times > 1) - 1, times[column] > 1
+    column, index = rank[column[useful]], index[useful]
+    order = np.argsort(column, kind="stable")
+    column, index = column[order], index[order]
+    m, step = len(involved), 8192
+    both = np.zeros((m, m), np.float32)
+    total = int(column[-1]) + 1 if len(column) else 0
+    for begin in range(0, total, step):
+        lo, hi = np.searchsorted(column, [begin, begin + step])
+        part = np.zeros((m, min(step, total - begin)), np.float32)
+        part[index[lo:hi], column[lo:hi] - begin] = 1
+        both += part @ part.T
+    inter = both.astype(np.int64)
+    total = size[involved][:, None] + size[involved][None, :] - inter
+    maybe[np.ix_(involved, involved)] &= 100 * inter >= similarity * total
+    return maybe
+
+
+def _links(similarity: int, exact: bool):
+    """Links in each group of rows (group, i, j, block, rep, size, content), as a spanning forest.
+
+    The content is a set, and links are confirmed on it, or registers, and links are plausible ones. A group (i, j) with
+    two different blocks holds both, and only pairs across are compared.
+    """
+
+    def found(reps: list[int], sizes: list[int], contents: list[bytes], side: np.ndarray | None) -> list[tuple[int, int]]:
+        if exact:
+            return _forest(_confirmed([np.frombuffer(c, np.uint64) for c in contents], similarity, side))
+        rows = np.frombuffer(b"".join(contents), np.uint16).reshape(-1, REGISTERS)
+        return _forest(_plausible(rows, np.array(sizes), similarity, side))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key, reps, sets, sides = None, [], [], []
-
-        def flush() -> pa.RecordBatch | None:
-            if len(reps) < 2:
-                return None
-            side = np.array(sides) if key[1] != key[2] else None
-            pairs = close(sets, side)
-            if not pairs:
-                return None
-            a, b = zip(*pairs, strict=True)
-            return pa.RecordBatch.from_arrays(
-                [pa.array([reps[i] for i in a], pa.int64()), pa.array([reps[i] for i in b], pa.int64())], ["a", "b"]
-            )
+        key, held, out = None, [], []
+
+        def finish() -> None:
+            if len(held) > 1:
+                blocks, reps, sizes, contents = zip(*held, strict=True)
+                side = np.array(blocks) if key[1] != key[2] else None
+                out.extend((reps[a], reps[b]) for a, b in found(reps, sizes, contents, side))
+
+        def flush() -> pa.RecordBatch:
+            arrays = [pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)]
+            out.clear()
+            return pa.RecordBatch.from_arrays(arrays, ["a", "b"])
 
         for batch in batches:
-            columns = [batch.column(i).to_pylist() for i in range(6)]
-            for cluster, i, j, block, rep, shingles in zip(*columns, strict=True):
-                if key != (cluster, i, j):
-                    if key is not None and (out := flush()) is not None:
-                        yield out
-                    key, reps, sets, sides = (cluster, i, j), [], [], []
-                reps.append(rep)
-                sets.append(np.frombuffer(shingles, np.uint64))
-                sides.append(block)
-        if key is not None and (out := flush()) is not None:
-            yield out
+            columns = [batch.column(i).to_pylist() for i in range(7)]
+            for group, i, j, *row in zip(*columns, strict=True):
+                if key != (group, i, j):
+                    finish()
+                    key, held = (group, i, j), []
+                held.append(row)
+            yield flush()
+        finish()
+        yield flush()
 
     return run
 
 
+def _tiles(rows: DataFrame, group: str, content: str) -> DataFrame:
+    """Rows with ``blocks``, the number of blocks of their group, dealt out so that any two of a group meet once."""
+    block = F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    dealt = rows.select(group, "rep", "n_shingles", content, block.alias("block"), other.alias("other")).select(
+        group, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n_shingles", content
+    )
+    return dealt.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
+
+
+def _blocks() -> Column:
+    return F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+
+
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id and kept.
 
@@ -248,35 +281,30 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> Da
     Documents with equal sets are one node, whatever their number, so copies are never paired. Rows of one id are one
     document. Extra columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    rows = keyed(docs)
     schema = "doc_id long, n_shingles long, d1 long, d2 long, registers binary"
-    sketches = checkpoint(map_arrow(rows, _sketch(words), schema))
+    sketches = checkpoint(map_arrow(rows.drop("tag"), _sketch(words), schema))
     set_key = ["n_shingles", "d1", "d2"]
     nodes = sketches.filter("n_shingles > 0 and doc_id is not null").groupBy(*set_key).agg(
         F.min("doc_id").alias("rep"), F.first("registers").alias("registers")
     )
     nodes = checkpoint(nodes)
 
-    # Candidates: each node and the smallest of its bucket.
+    # Candidates: nodes of one bucket whose registers are close enough.
     bands = map_arrow(nodes.select("rep", "registers"), _bands, "band long, rep long")
-    buckets = bands.groupBy("band").agg(F.min("rep").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    pairs = bands.join(buckets, "band").select(F.col("rep").alias("a"), F.col("least").alias("b")).distinct()
-    clusters = checkpoint(connected_components(pairs).withColumnRenamed("component", "cluster"))
-
-    sizes = clusters.groupBy("cluster").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    members = clusters.join(sizes.filter("blocks > 0"), "cluster").join(nodes, F.col("node") == F.col("rep")).select(
-        "rep", "cluster", "blocks", "d1"
-    )
-    texts = members.join(rows.filter("doc_id is not null"), F.col("rep") == F.col("doc_id")).select("rep", "cluster", "d1", "text")
-    sets = map_arrow(texts, _sets(words), "rep long, cluster long, shingles binary")
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = sets.join(sizes, "cluster").select("cluster", "rep", "shingles", block.alias("block"), other.alias("other"))
-    tiles = dealt.select(
-        "cluster", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "shingles"
-    )
-    tiles = tiles.repartition("cluster", "i", "j").sortWithinPartitions("cluster", "i", "j")
-    links = map_arrow(tiles, _links(similarity), "a long, b long")
+    buckets = bands.groupBy("band").agg(F.count("*").alias("n"), _blocks()).filter("n > 1")
+    met = bands.join(buckets, "band").join(nodes.select("rep", "n_shingles", "registers"), "rep")
+    near = map_arrow(_tiles(met, "band", "registers"), _links(similarity, exact=False), "a long, b long")
+    clusters = checkpoint(connected_components(near).withColumnRenamed("component", "cluster"))
+
+    # Their full sets, by cluster of candidates.
+    sizes = clusters.groupBy("cluster").agg(_blocks())
+    members = clusters.join(sizes, "cluster").join(nodes, F.col("node") == F.col("rep"))
+    members = members.select("rep", "cluster", "blocks", "n_shingles", "d1")
+    texts = members.join(packed(rows.filter("doc_id is not null")), F.col("rep") == F.col("doc_id"))
+    texts = texts.select("rep", "cluster", "blocks", "n_shingles", "d1", "packed")
+    sets = map_arrow(texts, _sets(words), "rep long, cluster long, blocks int, n_shingles long, shingles binary")
+    links = map_arrow(_tiles(sets, "cluster", "shingles"), _links(similarity, exact=True), "a long, b long")
     groups = connected_components(links)
 
     named = nodes.join(groups, F.col("rep") == F.col("node"), "left").select(

@@ -18,25 +18,24 @@ def row_hash(text: str = "text", doc_id: str = "doc_id") -> Column:
     return F.xxhash64(F.col(doc_id), F.coalesce(F.col(text), F.lit("")))
 
 
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the folder that the cluster shares.
+def scratch(spark: SparkSession) -> str:
+    """The folder in ``spark.checkpoint.dir``, which the cluster shares. A session without it (tests, local runs) gets one
+    under its warehouse."""
+    return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
 
-    The folder is the one in ``spark.checkpoint.dir``; a session without it (tests, local runs) gets
-    one under the warehouse.
-    """
-    spark = df.sparkSession
-    context = spark.sparkContext
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a reliable checkpoint in :func:`scratch`."""
+    context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        root = spark.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(root or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints")
+        context.setCheckpointDir(scratch(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Like :func:`checkpoint`, but a compressed table, for many rows; it goes when the driver ends."""
     spark = df.sparkSession
-    root = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
-    path = f"{root}/staged-{uuid.uuid4().hex}"
+    path = f"{scratch(spark)}/staged-{uuid.uuid4().hex}"
     df.write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)

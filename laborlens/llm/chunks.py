@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from laborlens.llm import bytesops as B
-from laborlens.llm.frames import map_arrow, same
+from laborlens.llm.frames import map_arrow, same, stage
 from laborlens.llm.spans import KEY, cut, keyed, packed
 
 #: Bytes that the rolling hash remembers, distance within which a cut is the only one, and the longest chunk.
@@ -98,9 +98,10 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     chunks = map_arrow(docs, _chunk, "doc_id long, tag int, place long, digest long, check int")
     within = chunks.filter("digest is null").select(*KEY, "place", F.col("doc_id").alias("first"))
     once = chunks.filter("digest is not null")
-    # A digest in a third of all documents is combined in each task before it moves, and the join can split it.
+    # A digest in a third of all documents is combined in each task before it moves; the join, which reads the owners from
+    # a table, can split it.
     owners = once.groupBy("digest", "check").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
-    shared = once.join(owners, ["digest", "check"]).select(*KEY, "place", "first")
+    shared = once.join(stage(owners.drop("n")), ["digest", "check"]).select(*KEY, "place", "first")
     found = shared.filter(~same(F.col("doc_id"), F.col("first"))).unionByName(within)
     start = F.shiftright("place", 16)
     return found.select(*KEY, start.alias("start"), (start + F.col("place").bitwiseAND(0xFFFF)).alias("end"), "first")

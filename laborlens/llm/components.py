@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from laborlens.llm.frames import checkpoint
+from laborlens.llm.frames import checkpoint, split_join
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -25,12 +25,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
         before = state
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(
+        large = split_join(both, least, "u").filter("v > u").select(
             F.col("v").alias("u"), F.least("m", "u").alias("v")
         ).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         pairs = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
-        small = large.join(least, "u").select(pairs.alias("e")).select("e.u", "e.v").filter("u <> v").distinct()
+        small = split_join(large, least, "u").select(pairs.alias("e")).select("e.u", "e.v").filter("u <> v").distinct()
         now = checkpoint(small)
     stars = now.select(F.col("u").alias("node"), F.col("v").alias("component"))
     roots = now.select(F.col("v").alias("node"), F.col("v").alias("component"))

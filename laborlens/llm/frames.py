@@ -32,6 +32,15 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def split_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join with the result of an aggregation on the same key, so that Spark can split a key that very many rows share.
+
+    It splits a join only where both sides come straight from a shuffle, which an aggregate's result doesn't; from a
+    checkpoint it does.
+    """
+    return big.join(checkpoint(small), on, how)
+
+
 def stage(df: DataFrame) -> DataFrame:
     """Like :func:`checkpoint`, but a compressed table, for many rows; it goes when the driver ends."""
     spark = df.sparkSession

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from laborlens.llm import bytesops as B
 from laborlens.llm.components import connected_components
-from laborlens.llm.frames import checkpoint, map_arrow
+from laborlens.llm.frames import checkpoint, map_arrow, split_join
 from laborlens.llm.spans import keyed, packed, unpack
 
 #: Bands and registers in a band. A pair of similarity 0.8 is missed with a chance of 3e-6, one of 0.85 with 7e-9.
@@ -293,13 +293,13 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> Da
     # Candidates: nodes of one bucket whose registers are close enough.
     bands = map_arrow(nodes.select("rep", "registers"), _bands, "band long, rep long")
     buckets = bands.groupBy("band").agg(F.count("*").alias("n"), _blocks()).filter("n > 1")
-    met = bands.join(buckets, "band").join(nodes.select("rep", "n_shingles", "registers"), "rep")
+    met = split_join(bands, buckets, "band").join(nodes.select("rep", "n_shingles", "registers"), "rep")
     near = map_arrow(_tiles(met, "band", "registers"), _links(similarity, exact=False), "a long, b long")
     clusters = checkpoint(connected_components(near).withColumnRenamed("component", "cluster"))
 
     # Their full sets, by cluster of candidates.
     sizes = clusters.groupBy("cluster").agg(_blocks())
-    members = clusters.join(sizes, "cluster").join(nodes, F.col("node") == F.col("rep"))
+    members = split_join(clusters, sizes, "cluster").join(nodes, F.col("node") == F.col("rep"))
     members = members.select("rep", "cluster", "blocks", "n_shingles", "d1")
     texts = members.join(packed(rows.filter("doc_id is not null")), F.col("rep") == F.col("doc_id"))
     texts = texts.select("rep", "cluster", "blocks", "n_shingles", "d1", "packed")

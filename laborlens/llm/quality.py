@@ -117,6 +117,7 @@ def host_rates(counts: DataFrame) -> DataFrame:
     ``host`` and ``failed``.
     """
     hosts = counts.groupBy("host").agg(F.count("*").alias("n_docs"), F.sum(F.col("failed").cast("long")).alias("n_failed"))
+    hosts = checkpoint(hosts)  # read twice; and joined from a checkpoint, a large host can be split
     p = F.col("n_failed") / F.col("n_docs")
     # One row, whatever the number of hosts.
     m = hosts.agg(

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laborlens.llm.frames import checkpoint, row_hash, same
+from laborlens.llm.frames import checkpoint, row_hash, same, split_join
 
 #: Kinds in the order that breaks ties of the start.
 KINDS = ["assign", "access", "hex", "opaque"]
@@ -97,7 +97,7 @@ def scan(docs: DataFrame, owner: str = "source", example_owners: int = 3) -> Dat
     by_document = spans.groupBy("value", "owner", "doc_id", "h").agg(F.lit(1).alias("one"))
     by_owner = by_document.groupBy("value", "owner").agg(F.count("*").alias("n"))
     owned = by_owner.groupBy("value").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_owners"))
-    judged = spans.join(owned, "value").withColumn("live", F.col("n_owners") < example_owners)
+    judged = split_join(spans, owned, "value").withColumn("live", F.col("n_owners") < example_owners)
     kind = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind_no") + 1)
     judged = judged.filter(F.col("live") | (F.col("kind_no") < KINDS.index("opaque")))
     span = F.struct(

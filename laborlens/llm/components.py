@@ -27,7 +27,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         least = both.groupBy("u").agg(F.min("v").alias("m"))
         large = split_join(both, least, "u").filter("v > u").select(
             F.col("v").alias("u"), F.least("m", "u").alias("v")
-        ).distinct()
+        )
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         pairs = F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v"))))
         small = split_join(large, least, "u").select(pairs.alias("e")).select("e.u", "e.v").filter("u <> v").distinct()

@@ -36,9 +36,9 @@ def split_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> Data
     """Join with the result of an aggregation on the same key, so that Spark can split a key that very many rows share.
 
     It splits a join only where both sides come straight from a shuffle, which an aggregate's result doesn't; from a
-    checkpoint it does.
+    checkpoint it does. The hint keeps the driver from building a broadcast for each of many small joins.
     """
-    return big.join(checkpoint(small), on, how)
+    return big.join(checkpoint(small).hint("merge"), on, how)
 
 
 def stage(df: DataFrame) -> DataFrame:

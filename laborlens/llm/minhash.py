@@ -25,8 +25,9 @@ BANDS, ROWS = 32, 5
 REGISTERS = BANDS * ROWS
 MANTISSA = 10
 EMPTY = 0xFFFF
-#: Documents of a candidate group compared in one task; larger groups are cut into blocks that meet two by two.
-BLOCK = 512
+#: Documents compared in one task, by their registers and by their full sets; larger groups are cut into blocks that
+#: meet two by two.
+BUCKET_BLOCK, BLOCK = 2048, 512
 
 
 def shingle_sets(docs: B.Docs, words: int) -> tuple[np.ndarray, np.ndarray]:
@@ -84,16 +85,23 @@ def registers(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 def similarity_estimate(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Estimated similarity of one row of registers to each row of ``b``, and the number of registers it rests on.
 
-    Two different minima fall on one register with a chance of about 2**-MANTISSA / 3 (same leading zeros, same bits);
-    what agrees by that chance is taken off.
+    Two different minima fall on one register with a chance of about 2**-MANTISSA / 3 (same leading zeros, same bits), on
+    one byte of :func:`shortened` with 1 / 255; what agrees by that chance is taken off.
     """
-    used = (a != EMPTY) | (b != EMPTY)
+    short = b.dtype == np.uint8
+    empty, chance = (0, 1 / 255) if short else (EMPTY, 1 / (3 << MANTISSA))
+    used = (a != empty) | (b != empty)
     n = used.sum(axis=1)
     agree = ((a == b) & used).sum(axis=1)
-    chance = 1 / (3 << MANTISSA)
     return np.clip((agree / np.maximum(n, 1) - chance) / (1 - chance), 0, 1), n
 
 
+def shortened(rows: np.ndarray) -> np.ndarray:
+    """A byte of each register, 0 for an empty one: enough to estimate, and half as much to send."""
+    mixed = (rows.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(8)
+    return np.where(rows == EMPTY, 0, 1 + mixed % 255).astype(np.uint8)
+
+
 def band_hashes(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Row numbers and hashes of all bands with a filled register; the hash names the band."""
     bands = rows.reshape(len(rows), BANDS, ROWS)
@@ -117,9 +125,9 @@ def _sketch(words: int):
             yield pa.RecordBatch.from_arrays(
                 [
                     docs.rows.column(0), pa.array(size), B.as_signed(digest[0].copy()), B.as_signed(digest[1].copy()),
-                    pa.array([r.tobytes() for r in rows], pa.binary()),
+                    *(pa.array([r.tobytes() for r in x], pa.binary()) for x in (rows, shortened(rows))),
                 ],
-                ["doc_id", "n_shingles", "d1", "d2", "registers"],
+                ["doc_id", "n_shingles", "d1", "d2", "registers", "short"],
             )
 
     return run
@@ -220,14 +228,14 @@ def _confirmed(sets: list[np.ndarray], similarity: int, side: np.ndarray | None)
 def _links(similarity: int, exact: bool):
     """Links in each group of rows (group, i, j, block, rep, size, content), as a spanning forest.
 
-    The content is a set, and links are confirmed on it, or registers, and links are plausible ones. A group (i, j) with
+    The content is a set, and links are confirmed on it, or short registers, and links are plausible ones. A group (i, j) with
     two different blocks holds both, and only pairs across are compared.
     """
 
     def found(reps: list[int], sizes: list[int], contents: list[bytes], side: np.ndarray | None) -> list[tuple[int, int]]:
         if exact:
             return _forest(_confirmed([np.frombuffer(c, np.uint64) for c in contents], similarity, side))
-        rows = np.frombuffer(b"".join(contents), np.uint16).reshape(-1, REGISTERS)
+        rows = np.frombuffer(b"".join(contents), np.uint8).reshape(-1, REGISTERS)
         return _forest(_plausible(rows, np.array(sizes), similarity, side))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -268,8 +276,8 @@ def _tiles(rows: DataFrame, group: str, content: str) -> DataFrame:
     return dealt.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
-def _blocks() -> Column:
-    return F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")
+def _blocks(rows: int) -> Column:
+    return F.ceil(F.count("*") / rows).cast("int").alias("blocks")
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame:
@@ -282,24 +290,26 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> Da
     document. Extra columns are ignored.
     """
     rows = keyed(docs)
-    schema = "doc_id long, n_shingles long, d1 long, d2 long, registers binary"
-    sketches = checkpoint(map_arrow(rows.drop("tag"), _sketch(words), schema))
+    schema = "doc_id long, n_shingles long, d1 long, d2 long, registers binary, short binary"
+    sketches = map_arrow(rows.drop("tag"), _sketch(words), schema)
     set_key = ["n_shingles", "d1", "d2"]
     nodes = sketches.filter("n_shingles > 0 and doc_id is not null").groupBy(*set_key).agg(
-        F.min("doc_id").alias("rep"), F.first("registers").alias("registers")
+        F.min("doc_id").alias("rep"), F.first("registers").alias("registers"), F.first("short").alias("short")
     )
     nodes = checkpoint(nodes)
 
     # Candidates: nodes of one bucket whose registers are close enough.
     bands = map_arrow(nodes.select("rep", "registers"), _bands, "band long, rep long")
-    buckets = bands.groupBy("band").agg(F.count("*").alias("n"), _blocks()).filter("n > 1")
-    met = split_join(bands, buckets, "band").join(nodes.select("rep", "n_shingles", "registers"), "rep")
-    near = map_arrow(_tiles(met, "band", "registers"), _links(similarity, exact=False), "a long, b long")
+    buckets = bands.groupBy("band").agg(F.count("*").alias("n"), _blocks(BUCKET_BLOCK)).filter("n > 1")
+    met = split_join(bands, buckets, "band").join(
+        nodes.select("rep", "n_shingles", "short").hint("merge"), "rep"
+    )
+    near = map_arrow(_tiles(met, "band", "short"), _links(similarity, exact=False), "a long, b long")
     clusters = checkpoint(connected_components(near).withColumnRenamed("component", "cluster"))
 
     # Their full sets, by cluster of candidates.
-    sizes = clusters.groupBy("cluster").agg(_blocks())
-    members = split_join(clusters, sizes, "cluster").join(nodes, F.col("node") == F.col("rep"))
+    sizes = clusters.groupBy("cluster").agg(_blocks(BLOCK))
+    members = split_join(clusters, sizes, "cluster").join(nodes.hint("merge"), F.col("node") == F.col("rep"))
     members = members.select("rep", "cluster", "blocks", "n_shingles", "d1")
     texts = members.join(packed(rows.filter("doc_id is not null")), F.col("rep") == F.col("doc_id"))
     texts = texts.select("rep", "cluster", "blocks", "n_shingles", "d1", "packed")
@@ -310,7 +320,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> Da
     named = nodes.join(groups, F.col("rep") == F.col("node"), "left").select(
         *set_key, F.coalesce("component", "rep").alias("component")
     )
-    found = sketches.drop("registers").join(named, set_key, "left")
+    found = sketches.drop("registers", "short").join(named, set_key, "left")
     own = F.coalesce("component", "doc_id")
     component = F.when(F.col("n_shingles") > 0, own).otherwise(F.col("doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(

@@ -257,6 +257,7 @@ def test_minhash(documents, awkward):
 def test_minhash_blocks(spark, monkeypatch):
     """A large group of near copies around a hub, cut into small blocks."""
     monkeypatch.setattr(minhash, "BLOCK", 8)
+    monkeypatch.setattr(minhash, "BUCKET_BLOCK", 8)
     rng, base = random.Random(2), [f"w{i}" for i in range(120)]
     rows = [(100, " ".join(base))]
     for i in range(60):

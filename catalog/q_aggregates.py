@@ -209,7 +209,8 @@ def distinct_firms(spark, sf):
 def _two_panels(spark, sf):
     a = roles.panel(spark, sf).select("worker_id", "seccion", "monto", "mes")
     d = F.when(F.col("mes") == 6, F.col("monto")).otherwise(F.lit(0.0)).alias("d")
-    return {"sexo": a.filter("worker_id % 2 = 0").select(d), "otros": a.filter("worker_id % 2 = 1").select(d)}
+    label = F.when(F.col("worker_id") % 2 == 0, "sexo").otherwise("otros")
+    return a.select(label.alias("comparacion"), d)
 
 
 @query(
@@ -222,7 +223,7 @@ def _two_panels(spark, sf):
     ),
 )
 def difference_summary(spark, sf):
-    return rounded(reconcile.summary(_two_panels(spark, sf)), 4)
+    return rounded(reconcile.summary(_two_panels(spark, sf), ["sexo", "otros"]), 4)
 
 
 _NO_REGION = """panel p LEFT JOIN registries r ON p.worker_id = r.worker_id WHERE region_rep_2024 IS NULL"""
@@ -376,16 +377,16 @@ def union_with_missing_columns(spark, sf):
 @query(
     "U04_common_names",
     sql(
-        """SELECT 'seccion' AS tabla, COUNT(*) AS n FROM panel WHERE ep = 1""",
+        """SELECT 'seccion' AS tabla, COUNT(*) AS n FROM panel WHERE ep = 1 UNION ALL SELECT 'sexo', COUNT(*) FROM panel""",
         "panel",
     ),
 )
 def common_names(spark, sf):
     panel = roles.panel(spark, sf)
     first = {"sexo": panel, "seccion": panel.filter("ep = 1")}
-    second = {"seccion": panel, "region": panel}
-    both = [
+    second = {"seccion": panel, "region": panel, "sexo": panel}
+    one, other = [
         first[n].agg(F.count("*").alias("n")).withColumn("tabla", F.lit(n))
         for n in bundle.common_names(first, second)
     ]
-    return both[0]
+    return one.unionByName(other)

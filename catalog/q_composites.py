@@ -1,4 +1,4 @@
-"""D rows: domain operators. The SQL keeps the original form (self joins, anti joins, unions)."""
+"""D rows: domain operators, with check SQL written from their definitions."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog import roles
 from catalog.registry import R, cte, query, rounded, sql
 from laborlens import schema as S
+from laborlens.functions import scalars as X
 from laborlens.operators import (
     audit,
     clean,
@@ -156,20 +157,28 @@ def gap_input(spark, sf):
     return roles.panel(spark, sf).select("worker_id", "firm_id", "anno", "mes", "pidx", "monto", "dias")
 
 
+def filled(value: str, later: str, whole: bool = False) -> str:
+    """Value of a gap: half the sum of two positive neighbours, else the larger, an absent one counting 0."""
+    half = f"({value} + {later}) / 2.0"
+    half = f"CAST(round_even({half}, 0) AS INT)" if whole else half
+    either = f"COALESCE({value}, 0), COALESCE({later}, 0)"
+    return f"if(LEAST({either}) > 0, {half}, GREATEST({either}))"
+
+
+def gap_rows(source: str, place: str) -> str:
+    """Rows of ``source`` for the one step of ``place`` that a job leaves out, from its next row."""
+    return f"""SELECT worker_id, firm_id, {place} + 1 AS step, {filled('monto', 'monto_b')} AS monto,
+  {filled('dias', 'dias_b', whole=True)} AS dias
+FROM (SELECT *, LEAD({place}) OVER job AS place_b, LEAD(monto) OVER job AS monto_b, LEAD(dias) OVER job AS dias_b
+      FROM {source} WINDOW job AS (PARTITION BY worker_id, firm_id ORDER BY {place}))
+WHERE place_b = {place} + 2"""
+
+
+cte("placed", "SELECT panel.*, pos FROM panel JOIN numbered USING (pidx)", "panel", "numbered")
 cte(
     "imputed_rows",
-    """SELECT a.worker_id, a.firm_id, mid.pidx,
-  CASE WHEN COALESCE(a.monto, 0) > 0 AND COALESCE(b.monto, 0) > 0 THEN (a.monto + b.monto) / 2.0
-       ELSE GREATEST(COALESCE(a.monto, 0), COALESCE(b.monto, 0)) END AS monto,
-  CASE WHEN COALESCE(a.dias, 0) > 0 AND COALESCE(b.dias, 0) > 0
-         THEN CAST(CAST(a.dias + b.dias AS DOUBLE) / 2 AS INT)
-       ELSE GREATEST(COALESCE(a.dias, 0), COALESCE(b.dias, 0)) END AS dias
-FROM panel a JOIN numbered na ON a.pidx = na.pidx JOIN numbered mid ON mid.pos = na.pos + 1
-JOIN numbered nb ON nb.pos = na.pos + 2
-JOIN panel b ON a.worker_id = b.worker_id AND a.firm_id = b.firm_id AND b.pidx = nb.pidx
-WHERE NOT EXISTS (SELECT 1 FROM panel t WHERE t.worker_id = a.worker_id AND t.firm_id = a.firm_id
-                  AND t.pidx = mid.pidx)""",
-    "panel", "numbered",
+    f"SELECT g.worker_id, g.firm_id, n.pidx, g.monto, g.dias FROM ({gap_rows('placed', 'pos')}) g JOIN numbered n ON n.pos = g.step",
+    "placed",
 )
 cte(
     "imputed",
@@ -204,17 +213,9 @@ FROM panel p LEFT JOIN caps c ON p.anno = c.anno AND p.mes = c.mes""",
 @query(
     "D03_cap_and_impute",
     sql(
-        f"""SELECT worker_id, firm_id, {ANNO_MES}, CAST(pidx AS INT) AS pidx, {R('monto', decimals=3)}, dias, imp AS is_imputed
-FROM (SELECT worker_id, firm_id, pidx, monto, dias, FALSE AS imp FROM capped
-UNION ALL SELECT a.worker_id, a.firm_id, a.pidx + 1,
-  CASE WHEN COALESCE(a.monto, 0) > 0 AND COALESCE(b.monto, 0) > 0 THEN (a.monto + b.monto) / 2.0
-       ELSE GREATEST(COALESCE(a.monto, 0), COALESCE(b.monto, 0)) END,
-  CASE WHEN COALESCE(a.dias, 0) > 0 AND COALESCE(b.dias, 0) > 0
-         THEN CAST(CAST(a.dias + b.dias AS DOUBLE) / 2 AS INT)
-       ELSE GREATEST(COALESCE(a.dias, 0), COALESCE(b.dias, 0)) END, TRUE
-FROM capped a JOIN capped b ON a.worker_id = b.worker_id AND a.firm_id = b.firm_id AND b.pidx = a.pidx + 2
-WHERE NOT EXISTS (SELECT 1 FROM capped t WHERE t.worker_id = a.worker_id AND t.firm_id = a.firm_id
-                  AND t.pidx = a.pidx + 1))""",
+        f"""SELECT worker_id, firm_id, {ANNO_MES}, CAST(pidx AS INT) AS pidx, {R('monto', decimals=3)}, dias, is_imputed
+FROM (SELECT worker_id, firm_id, pidx, monto, dias, FALSE AS is_imputed FROM capped
+UNION ALL SELECT worker_id, firm_id, step, monto, dias, TRUE FROM ({gap_rows('capped', 'pidx')}))""",
         "capped",
     ),
 )
@@ -241,23 +242,21 @@ FROM (SELECT firm_id, SUM(n_trabajadores) AS pt, COUNT(DISTINCT pidx) AS t FROM
     "heads",
 )
 cte(
-    "spells",
-    """SELECT *, SUM(CASE WHEN prev IS NULL OR pidx - prev > 12 THEN 1 ELSE 0 END)
-    OVER (PARTITION BY firm_id ORDER BY pidx) AS grupo
-FROM (SELECT *, LAG(pidx) OVER (PARTITION BY firm_id ORDER BY pidx) AS prev FROM heads)""",
+    "firm_months",
+    """SELECT firm_id, CAST(pidx AS INT) AS pidx, n_trabajadores
+FROM (SELECT firm_id, unnest(range(first, last + 1)) AS pidx FROM
+      (SELECT firm_id, MIN(pidx) AS first, MAX(pidx) AS last FROM heads GROUP BY firm_id))
+LEFT JOIN heads USING (firm_id, pidx)""",
     "heads",
 )
 cte(
     "moving_size",
-    """SELECT firm_id, pidx, n_trabajadores AS pt, media_movil_12m, n_meses_utilizados,
-  CASE WHEN media_movil_12m < 5 THEN 'micro' WHEN media_movil_12m < 50 THEN 'pequena'
-       WHEN media_movil_12m < 200 THEN 'mediana' ELSE 'grande' END AS tamano_empresa_movil
-FROM (SELECT a.firm_id, a.pidx, a.n_trabajadores, a.grupo, AVG(b.n_trabajadores) AS media_movil_12m,
-        COUNT(b.pidx) AS n_meses_utilizados
-      FROM spells a JOIN spells b ON a.firm_id = b.firm_id AND a.grupo = b.grupo
-        AND b.pidx > a.pidx - 12 AND b.pidx <= a.pidx
-      GROUP BY a.firm_id, a.pidx, a.n_trabajadores, a.grupo)""",
-    "spells",
+    """SELECT firm_id, pidx, n_trabajadores AS pt, mean AS media_movil_12m, months AS n_meses_utilizados,
+  ['micro', 'pequena', 'mediana', 'grande'][1 + (mean >= 5)::INT + (mean >= 50)::INT + (mean >= 200)::INT] AS tamano_empresa_movil
+FROM (SELECT *, AVG(n_trabajadores) OVER year AS mean, COUNT(n_trabajadores) OVER year AS months FROM firm_months
+      WINDOW year AS (PARTITION BY firm_id ORDER BY pidx ROWS 11 PRECEDING))
+WHERE n_trabajadores IS NOT NULL""",
+    "firm_months",
 )
 
 
@@ -354,28 +353,38 @@ cte("firm_static", """SELECT firm_id, CASE WHEN SUM(n) * 1.0 / COUNT(*) = 1 THEN
   WHEN SUM(n) * 1.0 / COUNT(*) < 5 THEN 'micro' WHEN SUM(n) * 1.0 / COUNT(*) < 50 THEN 'pequena'
   WHEN SUM(n) * 1.0 / COUNT(*) < 200 THEN 'mediana' ELSE 'grande' END AS tamano
 FROM (SELECT firm_id, pidx, COUNT(*) AS n FROM panel GROUP BY ALL) GROUP BY firm_id""", "panel")
+def known(code: str, unknown: str) -> str:
+    return f"if({code} IN ({unknown}), NULL, {code})"
+
+
+cte(
+    "person_codes",
+    f"""SELECT * EXCLUDE (person_id, region), person_id AS worker_id, {known('nacionalidad', '88, 99')} AS nacionalidad_depurada,
+  {known('region', '17, 88, 99')} AS codigo_region_depurada
+FROM (SELECT *, CAST(round(TRY_CAST(codigo_region AS DOUBLE)) AS INT) AS region FROM persons)""",
+    "persons",
+)
+cte(
+    "donor_codes",
+    f"SELECT worker_id, moda AS nc_moda, {known('moda', '88, 99')} AS donated_nationality FROM nationality_mode",
+    "nationality_mode",
+)
+cte(
+    "firm_codes",
+    f"""SELECT firm_id, firm_master.* EXCLUDE (firm_id), public_sector.* EXCLUDE (firm_id, ep), COALESCE(ep, 0) AS ep,
+  tamano, region_trabajador, {known('region_trabajador', '88, 99')} AS donated_region
+FROM (SELECT DISTINCT firm_id FROM panel) LEFT JOIN firm_master USING (firm_id) LEFT JOIN public_sector USING (firm_id)
+LEFT JOIN firm_static USING (firm_id) LEFT JOIN region_donor USING (firm_id)""",
+    "panel", "firm_master", "public_sector", "firm_static", "region_donor",
+)
 cte(
     "enriched0",
-    """SELECT s.worker_id, s.firm_id, s.anno, s.mes, s.pidx, s.monto, s.dias, r.sexo, r.nacionalidad,
-  r.fecha_nac, r.fecha_def_cor_rc, r.codigo_region, r.codigo_comuna,
-  CAST((s.anno * 12 + s.mes) - (year(r.fecha_nac) * 12 + month(r.fecha_nac)) AS INT) AS edad_meses,
-  m.seccion, m.division, m.comuna_cut, e.razon_social_unidad_legal, e.seccion_ciiu4cl_prin,
-  e.sector_institucional, e.subsector_institucional, COALESCE(e.ep, 0) AS ep, u.tamano,
-  nc.moda AS nc_moda, rg.region_trabajador,
-  CASE WHEN r.nacionalidad IN (88, 99) THEN NULL ELSE r.nacionalidad END AS nacionalidad_depurada,
-  CASE WHEN TRY_CAST(r.codigo_region AS INT) IN (17, 88, 99) THEN NULL
-       ELSE TRY_CAST(r.codigo_region AS INT) END AS codigo_region_depurada,
-  CASE WHEN r.nacionalidad NOT IN (88, 99) AND r.nacionalidad IS NOT NULL THEN r.nacionalidad
-       WHEN nc.moda IN (88, 99) THEN NULL ELSE nc.moda END AS nacionalidad_final,
-  CASE WHEN TRY_CAST(r.codigo_region AS INT) NOT IN (17, 88, 99) AND r.codigo_region IS NOT NULL
-         THEN TRY_CAST(r.codigo_region AS INT)
-       WHEN rg.region_trabajador IN (88, 99) THEN NULL ELSE rg.region_trabajador END AS region_final
-FROM panel s LEFT JOIN persons r ON s.worker_id = r.person_id
-LEFT JOIN firm_master m ON s.firm_id = m.firm_id LEFT JOIN public_sector e ON s.firm_id = e.firm_id
-LEFT JOIN firm_static u ON s.firm_id = u.firm_id
-LEFT JOIN nationality_mode nc ON s.worker_id = nc.worker_id
-LEFT JOIN region_donor rg ON s.firm_id = rg.firm_id""",
-    "panel", "persons", "firm_master", "public_sector", "firm_static", "nationality_mode", "region_donor",
+    """SELECT worker_id, firm_id, anno, mes, pidx, monto, dias, person_codes.* EXCLUDE (worker_id),
+  CAST(date_diff('month', fecha_nac, make_date(anno, mes, 1)) AS INT) AS edad_meses, firm_codes.* EXCLUDE (firm_id, donated_region),
+  nc_moda, COALESCE(nacionalidad_depurada, donated_nationality) AS nacionalidad_final,
+  COALESCE(codigo_region_depurada, donated_region) AS region_final
+FROM (SELECT worker_id, firm_id, anno, mes, pidx, monto, dias FROM panel) LEFT JOIN person_codes USING (worker_id) LEFT JOIN donor_codes USING (worker_id) LEFT JOIN firm_codes USING (firm_id)""",
+    "panel", "person_codes", "donor_codes", "firm_codes",
 )
 cte(
     "enriched",
@@ -541,16 +550,12 @@ def d08_mobile(spark, sf):
     return rounded(indicators.indicators_of(turnover(spark, sf, fill_flows=False)))
 
 
-@query("D08_indicators_from_tables", sql("SELECT * FROM mv_long WHERE tabla IN ('total', 'sx_te')", "mv_long"))
+@query("D08_indicators_from_tables", sql("SELECT * FROM mv_long", "mv_long"))
 def d08_from_tables(spark, sf):
     """From separate stock and mobile flow tables, as they are stored between stages."""
-    sets = {n: S.BREAKDOWNS[n] for n in ("total", "sx_te")}
-    others = [F.lit(None).cast(t).alias(c) for c, t in (
-        ("nacionalidad_final", "int"), ("region_final", "int"), ("seccion", "string"),
-        ("tamano_empresa_movil", "string"))]
-    stock = tables.stage(stocks.stocks(jobs(spark, sf), sets))
-    wide = reshape.flows_to_wide(flows.roll_up_mobile(mobile_cells(spark, sf), sets))
-    return rounded(indicators.indicators(stock, wide)).select("*", *others)
+    stock = stocks.stocks(jobs(spark, sf), S.BREAKDOWNS)
+    wide = reshape.flows_to_wide(flows.roll_up_mobile(mobile_cells(spark, sf), S.BREAKDOWNS))
+    return rounded(indicators.indicators(stock, wide))
 
 
 def total_base(spark, sf):
@@ -583,66 +588,54 @@ COMPARED = [(label, own, list(dims)) for label, (own, _, dims) in reconcile.CATA
 
 
 def both_sources(spark, sf):
-    """Own tables and a second source under its own names: June values one higher, ages as labels."""
+    """The indicators, and a second source made of each row: June values one higher, regions as text, ages as labels."""
     from laborlens.functions.scalars import AGE_LABELS
 
-    # Both sources of a reconciliation are stored tables.
-    long = tables.stage(rounded(indicators_fixed(spark, sf)), ["tabla"])
-    label = F.element_at(F.array(*[F.lit(t) for t in AGE_LABELS]), F.col("tramo_edad") + 1)
-    own, reference = {}, {}
-    for name, target, dims in reconcile.CATALOGUE.values():
-        own[name] = long.filter(F.col("tabla") == name).select(
-            "anno", "mes", "fecha", *dims, "indicador", "valor"
-        )
-        raised = F.col("valor") + F.when(F.col("mes") == 6, 1).otherwise(0)
-        other = reshape.recode_indicators(own[name]).withColumn("valor", raised).drop("fecha")
-        if "tramo_edad" in dims:
-            other = other.withColumn("tramo_edad", label)
-        reference[target] = other.withColumnsRenamed(
-            {"anno": "anno_dev.cur", "mes": "mes_dev.cur", **dims}
-        )
-    return own, reference
+    long = rounded(indicators_fixed(spark, sf)).drop("fecha")
+    long = reshape.recode_indicators(long.withColumn("first_name", F.col("indicador")))
+    label = F.lit(None).cast("string")
+    for code, text in enumerate(AGE_LABELS):
+        label = F.when(F.col("tramo_edad") == code, text).otherwise(label)
+    same = [c for c in long.columns if c not in ("valor", "tramo_edad", "indicador", "first_name")]
+    raised = F.col("valor") + F.when(F.col("mes") == 6, 1).otherwise(0)
+    sources = F.array(
+        F.struct(F.lit(True).alias("own"), *same, F.col("first_name").alias("indicador"), F.lit(None).cast("string").alias("edad"), "tramo_edad", "valor"),
+        F.struct(F.lit(False).alias("own"), *same, "indicador", label.alias("edad"),
+                 F.lit(None).cast("int").alias("tramo_edad"), raised.alias("valor")),
+    )
+    both = long.select(F.explode(sources).alias("s")).select("s.*")
+    age = F.coalesce("tramo_edad", X.age_label_code("edad"))
+    return both.withColumn("tramo_edad", age.cast("int")).drop("edad")
 
 
-def compared_sql(name: str, label: str, dims: list[str]) -> str:
-    cols = "".join(f", {d}" for d in dims)
-    live = "".join(f" AND {d} IS NOT NULL" for d in dims)
-    return f"""SELECT '{label}' AS comparacion, valor, CASE WHEN mes = 6 THEN valor - (valor + 1) ELSE 0.0 END AS d{cols},
-  anno, mes, indicador FROM fx_long WHERE tabla = '{name}' AND valor IS NOT NULL{live}"""
+def compared_sql() -> str:
+    """Rows of all comparisons: each value with its June twin, where the table's classes are known."""
+    parts = []
+    for label, name, dims in COMPARED:
+        live = "".join(f" AND {d} IS NOT NULL" for d in dims)
+        parts.append(f"SELECT '{label}' AS comparacion, * FROM fx_long WHERE tabla = '{name}' AND valor IS NOT NULL{live}")
+    return f"""SELECT comparacion, anno, mes, {ALL}, CASE indicador WHEN 'pt' THEN 'pt_cur' WHEN 'pt_ent_12' THEN 'pt_ent'
+  WHEN 'pt_sal_12' THEN 'pt_sal' ELSE indicador END AS indicador, valor AS valor_ad,
+  round(valor + (mes = 6)::INT, 6) + 0.0 AS valor_rp, round(valor - (valor + (mes = 6)::INT), 6) + 0.0 AS d
+FROM ({" UNION ALL ".join(parts)})"""
 
 
-@query(
-    "D09_compare",
-    sql(
-        f"""SELECT anno, mes, seccion, CASE indicador WHEN 'pt' THEN 'pt_cur' WHEN 'pt_ent_12' THEN 'pt_ent'
-  WHEN 'pt_sal_12' THEN 'pt_sal' ELSE indicador END AS indicador, valor AS valor_ad,
-  round(valor + CASE WHEN mes = 6 THEN 1 ELSE 0 END, 6) + 0.0 AS valor_rp, {R('d')}
-FROM ({compared_sql('sector', 'seccion', ['seccion'])})""",
-        "fx_long",
-    ),
-)
+@query("D09_compare", sql(compared_sql(), "fx_long"))
 def d09(spark, sf):
-    own, reference = both_sources(spark, sf)
-    return rounded(
-        reconcile.compare(own["sector"], reference["indicadores_seccion"], {"seccion": "seccion"})
-    )
+    return rounded(reconcile.fold(both_sources(spark, sf)))
 
 
 @query(
     "D09_summary",
     sql(
         "SELECT comparacion, COUNT(*) AS n_filas, COUNT(*) FILTER (d <> 0) AS n_dif_nz, "
-        + R("MAX(abs(d))", "max_abs_d") + ", " + R("AVG(abs(d))", "mean_abs_d") + " FROM ("
-        + " UNION ALL ".join(
-            f"SELECT comparacion, d FROM ({compared_sql(own, label, dims)})"
-            for label, own, dims in COMPARED
-        )
-        + ") GROUP BY comparacion",
+        + R("MAX(abs(d))", "max_abs_d") + ", " + R("AVG(abs(d))", "mean_abs_d") + f" FROM ({compared_sql()}) GROUP BY comparacion",
         "fx_long",
     ),
 )
 def d09_summary(spark, sf):
-    return rounded(reconcile.summary(reconcile.compare_all(*both_sources(spark, sf))))
+    compared = reconcile.fold(both_sources(spark, sf))
+    return rounded(reconcile.summary(compared, list(reconcile.CATALOGUE)))
 
 
 # --- public employment --------------------------------------------------------------------------------
@@ -657,10 +650,9 @@ FROM public_rows GROUP BY pidx, {PUB}""",
 )
 cte(
     "main_jobs",
-    """SELECT * FROM (SELECT *, MIN(rk) OVER (PARTITION BY worker_id, pidx) AS best FROM (
-  SELECT *, (dense_rank() OVER (PARTITION BY worker_id, pidx ORDER BY monto DESC)) * 1e12
-    + (dense_rank() OVER (PARTITION BY worker_id, pidx ORDER BY dias DESC)) * 1e6
-    + dense_rank() OVER (PARTITION BY worker_id, pidx ORDER BY firm_id) AS rk FROM public_rows)) WHERE rk = best""",
+    """SELECT * FROM public_rows j WHERE NOT EXISTS (SELECT 1 FROM public_rows better
+  WHERE better.worker_id = j.worker_id AND better.pidx = j.pidx
+    AND ROW(better.monto, better.dias, -better.firm_id) > ROW(j.monto, j.dias, -j.firm_id))""",
     "public_rows",
 )
 cte("person_cells", f"SELECT pidx, {PUB}, COUNT(*) AS pt FROM main_jobs GROUP BY pidx, {PUB}", "main_jobs")
@@ -945,8 +937,8 @@ def participation(spark, sf):
     # The seven tables read two stored results.
     c = credit(spark, sf)
     return tax_credit.participation_tables(
-        tables.stage(tax_credit.credit_by_class(c, unique_key=True)),
-        tables.stage(tax_credit.credit_by_firm(c)),
+        tax_credit.credit_by_class(c, unique_key=True),
+        tax_credit.credit_by_firm(c),
     )
 
 
@@ -1069,28 +1061,39 @@ def _quoted(names) -> str:
     return ", ".join(f"'{n}'" for n in names)
 
 
+# The published indicators of each table, listed here once more for the check.
+_GENERAL = """t_ent var1_t_ent var12_t_ent t_sal var1_t_sal var12_t_sal t_rot var1_t_rot var12_t_rot t_rot_neta
+t_per var1_t_per var12_t_per""".split()
+_CLASSES = "t_ent var12_t_ent t_sal var12_t_sal t_rot var12_t_rot t_rot_neta inc_rot_neta t_per var12_t_per".split()
+_CUADROS = [
+    ("general", "total", "NULL", _GENERAL), ("seccion", "sector", "seccion", _CLASSES), ("tamano", "tamano", "tamano_empresa_movil", _CLASSES),
+    ("sexo", "sx", "sexo", _CLASSES), ("nacionalidad", "nc", "nacionalidad_final", _CLASSES), ("region", "re", "region_final", _CLASSES),
+    ("tramos", "te", "tramo_edad", _CLASSES),
+]
+
+
 @query(
     "D17_bulletin_tables",
     sql(
         " UNION ALL ".join(
-            f"""SELECT '{name}' AS cuadro, anno, mes, {f"CAST({sort} AS VARCHAR)" if sort else "NULL"} AS clase, indicador, valor
+            f"""SELECT '{name}' AS cuadro, anno, mes, CAST({clase} AS VARCHAR) AS clase, indicador, valor
 FROM fx_long WHERE tabla = '{source}' AND indicador IN ({_quoted(ind)}) AND valor IS NOT NULL"""
-            for name, (source, sort, ind, public) in reports.BULLETIN.items()
-            if not public
-        ),
-        "fx_long",
+            for name, source, clase, ind in _CUADROS
+        )
+        + f""" UNION ALL SELECT 'ep', CAST(pidx // 12 AS INT), CAST(pidx % 12 + 1 AS INT), NULL, indicador, {R('valor', 'valor')}
+FROM (UNPIVOT (SELECT pidx, CAST(pt AS DOUBLE) AS pt,
+  CAST(pt AS DOUBLE) / LAG(pt, 1) OVER (ORDER BY pidx) - 1 AS var1_pt, CAST(pt AS DOUBLE) / LAG(pt, 12) OVER (ORDER BY pidx) - 1 AS var12_pt
+  FROM (SELECT pidx FROM jobs WHERE ep = 1 UNION SELECT pidx_t FROM entries WHERE ep = 1 UNION SELECT pidx_t FROM exits WHERE ep = 1)
+  LEFT JOIN (SELECT pidx, COUNT(*) AS pt FROM jobs WHERE ep = 1 GROUP BY pidx) USING (pidx)) ON pt, var1_pt, var12_pt INTO NAME indicador VALUE valor)""",
+        "fx_long", "jobs", "entries", "exits",
     ),
 )
 def d17(spark, sf):
-    long = tables.stage(rounded(indicators_fixed(spark, sf)), ["tabla"])
-    by_table = {n: long.filter(F.col("tabla") == n) for n in S.BREAKDOWNS}
-    out = None
-    for name, df in reports.bulletin_tables(by_table).items():
-        sort = reports.BULLETIN[name][1]
-        clase = F.col(sort).cast("string") if sort else F.lit(None).cast("string")
-        part = df.select(F.lit(name).alias("cuadro"), "anno", "mes", clase.alias("clase"), "indicador", "valor")
-        out = part if out is None else out.unionByName(part)
-    return out
+    """Seven tables from the classes' breakdowns, the eighth from that by public employer, of one pass."""
+    classes = [*S.CLASSES, "ep"]
+    cells = flows.turnover_cells(jobs(spark, sf, classes), classes, roles.periods(spark, sf))
+    rolled = flows.roll_up_turnover(cells, S.BREAKDOWNS | {"ep": ["ep"]})
+    return rounded(reports.bulletin(indicators.indicators_of(rolled)))
 
 
 cte(

@@ -173,13 +173,13 @@ def range_look_back(spark, sf):
     "J11_moving_size_left",
     sql(
         f"""SELECT p.worker_id, p.firm_id, p.pidx, pt, {R('media_movil_12m')}, tamano_empresa_movil
-FROM supplier_panel p LEFT JOIN (SELECT * FROM moving_size WHERE pidx % 7 <> 0) m
+FROM supplier_panel p LEFT JOIN moving_size m
   ON p.firm_id = m.firm_id AND p.pidx = m.pidx""",
         "supplier_panel", "moving_size",
     ),
 )
 def moving_size_left(spark, sf):
-    moving = firm_size.moving_size(heads(spark, sf)).filter("pidx % 7 <> 0")
+    moving = firm_size.moving_size(heads(spark, sf))
     sized = firm_size.with_moving_size(roles.supplier_panel(spark, sf), moving)
     return rounded(sized.drop("anno", "mes"))
 
@@ -258,19 +258,13 @@ def shifted_total(spark, sf):
     return total_base(spark, sf).join(P.by_month(total), "pidx", "left")
 
 
-@query(
-    "J17_two_sources_inner",
-    sql(
-        f"""SELECT anno, mes, sexo, CASE indicador WHEN 'pt' THEN 'pt_cur' WHEN 'pt_ent_12' THEN 'pt_ent'
-  WHEN 'pt_sal_12' THEN 'pt_sal' ELSE indicador END AS indicador, valor AS valor_ad,
-  round(valor + CASE WHEN mes = 6 THEN 1 ELSE 0 END, 6) + 0.0 AS valor_rp, {R('d')}
-FROM ({compared_sql('sx', 'sexo', ['sexo'])})""",
-        "fx_long",
-    ),
-)
+@query("J17_two_sources_inner", sql(f"SELECT * FROM ({compared_sql()}) WHERE comparacion = 'sexo'", "fx_long"))
 def two_sources_inner(spark, sf):
-    own, reference = both_sources(spark, sf)
-    return rounded(reconcile.compare(own["sx"], reference["indicadores_sexo"], {"sexo": "sexo"}))
+    """The comparison by sex alone, as an inner join of two tables would give it."""
+    only = {"sexo": reconcile.CATALOGUE["sexo"]}
+    both = both_sources(spark, sf)
+    others = [F.lit(None).cast(t).alias(c) for c, t in both.dtypes if c in S.CLASSES and c != "sexo"]
+    return rounded(reconcile.fold(both, only)).select("*", *others)
 
 
 @query(

@@ -165,34 +165,37 @@ def _bundle(spark, sf):
     }
 
 
-@query(
-    "S11_write_bundle",
-    sql(
-        """SELECT 'sexo' AS tabla, CAST(sexo AS VARCHAR) AS clase, COUNT(*) AS n FROM panel GROUP BY ALL
-UNION ALL SELECT 'seccion', seccion, COUNT(*) FROM panel GROUP BY ALL""",
-        "panel",
-    ),
+_BUNDLE_SQL = sql(
+    """SELECT 'sexo' AS tabla, CAST(sexo AS VARCHAR) AS clase, COUNT(*) AS n FROM panel GROUP BY ALL
+UNION ALL SELECT 'seccion', seccion, COUNT(*) FROM panel GROUP BY ALL
+UNION ALL SELECT 'trabajadores', CAST(worker_id AS VARCHAR), COUNT(*) FROM panel GROUP BY ALL""",
+    "panel",
 )
+
+
+def _read_all(spark, root, names, fmt):
+    parts = [
+        df.select(F.lit(name).alias("tabla"), F.col(df.columns[0]).cast("string").alias("clase"), F.col("n").cast("long").alias("n"))
+        for name, df in bundle.read_bundle(spark, root, names, fmt).items()
+    ]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query("S11_write_bundle", _BUNDLE_SQL)
 def write_bundle(spark, sf):
     root = tables.scratch_dir(spark)
     built = _bundle(spark, sf)
-    skipped = bundle.write_bundle(built, root, max_rows=100)
-    kept = bundle.read_bundle(spark, root, [n for n in built if n not in skipped])
-    parts = [
-        df.select(F.lit(name).alias("tabla"), F.col(df.columns[0]).cast("string").alias("clase"), "n")
-        for name, df in kept.items()
-    ]
-    return parts[0].unionByName(parts[1]) if len(parts) == 2 else parts[0]
+    bundle.write_bundle(built, root)
+    return _read_all(spark, root, list(built), "parquet")
 
 
-@query(
-    "S12_read_bundle",
-    sql("SELECT worker_id, COUNT(*) AS n FROM panel GROUP BY worker_id", "panel"),
-)
+@query("S12_read_bundle", _BUNDLE_SQL)
 def read_bundle(spark, sf):
+    """The same bundle as text files, read in another order."""
     root = tables.scratch_dir(spark)
-    bundle.write_bundle(_bundle(spark, sf), root)
-    return bundle.read_bundle(spark, root, ["seccion", "trabajadores"])["trabajadores"]
+    built = _bundle(spark, sf)
+    bundle.write_bundle(built, root, "csv")
+    return _read_all(spark, root, sorted(built), "csv")
 
 
 @query(

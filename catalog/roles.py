@@ -191,7 +191,7 @@ def geographic(spark: SparkSession, sf: str) -> DataFrame:
 
 def _region_text(c: Column) -> Column:
     return (
-        F.when(c % 9 == 0, "17.0").when(c % 9 == 1, "99").when(c % 9 == 2, "x").when(c % 9 == 3, None)
+        F.when(c % 9 == 0, "17.0").when(c % 27 == 4, "16.5").when(c % 27 == 5, "17.6").when(c % 9 == 1, "99").when(c % 9 == 2, "x").when(c % 9 == 3, None)
         .otherwise((F.col("c_nationkey") % 16).cast("string"))
     )
 
@@ -388,7 +388,8 @@ _DEATH_TEXT = (
     "AS DATE) AS VARCHAR) WHEN 1 THEN '--' END"
 )
 _REGION_TEXT = (
-    "CASE c_custkey % 9 WHEN 0 THEN '17.0' WHEN 1 THEN '99' WHEN 2 THEN 'x' WHEN 3 THEN NULL "
+    "CASE WHEN c_custkey % 9 = 0 THEN '17.0' WHEN c_custkey % 27 = 4 THEN '16.5' WHEN c_custkey % 27 = 5 THEN '17.6' "
+    "WHEN c_custkey % 9 = 1 THEN '99' WHEN c_custkey % 9 = 2 THEN 'x' WHEN c_custkey % 9 = 3 THEN NULL "
     "ELSE CAST(c_nationkey % 16 AS VARCHAR) END"
 )
 cte(

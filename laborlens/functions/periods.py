@@ -67,7 +67,7 @@ def available_periods(df: DataFrame, desde: tuple[int, int] | None = S.START_PER
 
 
 def by_month(df: DataFrame) -> DataFrame:
-    """Broadcast a table with one row per calendar month.
+    """Broadcast a table with one row per calendar month; tables from outside go through :func:`one_per_month` first.
 
     Its size is bounded by the calendar (years 1 to 9999 are 120,000 rows of a
     few numbers, about 3 MB), not by the panel. Without the hint the panel would
@@ -76,6 +76,15 @@ def by_month(df: DataFrame) -> DataFrame:
     return F.broadcast(df)
 
 
+def one_per_month(df: DataFrame, keys: list[str]) -> DataFrame:
+    """A month table given by the caller, for :func:`by_month`: rows that repeat are one, two different rows of a month
+    make the job fail, since each would multiply the panel's rows."""
+    rest = [c for c in df.columns if c not in keys]
+    months = df.distinct().groupBy(*keys).agg(F.count("*").alias("_n"), *[F.first(c).alias(c) for c in rest])
+    clear = F.assert_true(F.col("_n") == 1, "a month has two different rows").isNull()
+    return months.filter(clear).select(*df.columns)
+
+
 def period_links(periods: DataFrame, calendar: bool = False, lag: int = 12) -> DataFrame:
     """One row per month: ``pidx``, ``pos`` and the month shown ``lag`` steps later.
 

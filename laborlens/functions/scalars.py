@@ -47,8 +47,8 @@ def digits_date(text, start: int = 5) -> Column:
 
 
 def int_code(x) -> Column:
-    """Integer behind a code string that may read '17.0'; NULL when not a number."""
-    return _c(x).try_cast("double").try_cast("int")
+    """Integer behind a code string that may read '17.0', rounded half away from zero; NULL when not a number."""
+    return F.round(_c(x).try_cast("double")).try_cast("int")
 
 
 def known_code(x, unknown: list[int]) -> Column:

@@ -105,7 +105,8 @@ def preprocess(
 
 
 def cap_pay(df: DataFrame, caps: DataFrame, missing_cap: str = "null") -> DataFrame:
-    """Limit pay to the cap of its month. ``caps`` holds one row per month."""
-    return df.join(P.by_month(caps), S.PERIOD, "left").withColumn(
+    """Limit pay to the cap of its month. ``caps`` holds one row per month, or the job fails."""
+    months = P.one_per_month(caps.select(*S.PERIOD, "tope"), S.PERIOD)
+    return df.join(P.by_month(months), S.PERIOD, "left").withColumn(
         "monto", X.capped("monto", "tope", missing_cap)
     ).drop("tope")

@@ -25,7 +25,7 @@ def year_apart(
     Adds ``has_past`` and ``pidx_next`` (whether those periods exist),
     ``was_here`` and ``stays`` (whether the job exists there) and, on request,
     ``before``: the job's attributes a year back. Needs unique (worker, firm,
-    period).
+    period). Rows of months that ``periods`` lacks stay, without past or future.
 
     This takes the place of a self join of the panel with itself: one shuffle by
     job, with value frames on the period position. A window partition is one
@@ -40,7 +40,7 @@ def year_apart(
         extra.append(F.first(F.struct(*attrs)).over(back).alias("before"))
     return (
         jobs.select(*S.JOB, "pidx", *attrs)
-        .join(P.by_month(links), "pidx")
+        .join(P.by_month(links), "pidx", "left")
         .select(
             *S.JOB,
             "pidx",

@@ -17,7 +17,7 @@ def impute_gaps(
 ) -> DataFrame:
     """Panel plus one row per single-period gap, flagged ``is_imputed``.
 
-    Needs a unique (worker, firm, period). A gap is a job seen at positions p
+    Needs a unique (worker, firm, period). Rows of months that ``periods`` lacks come out as they are. A gap is a job seen at positions p
     and p+2 and not at p+1; edge periods come out as they are. One shuffle by
     job: each observed row carries its successor and is exploded into itself and
     the row that follows it. A job has at most one row per month, so a window
@@ -32,7 +32,7 @@ def impute_gaps(
     w = W.partitionBy(*S.JOB).orderBy("pos")
     seen = (
         panel.select(*S.JOB, "pidx", *carried, "monto", "dias")
-        .join(P.by_month(links), "pidx")
+        .join(P.by_month(links), "pidx", "left")
         .select(
             "*",
             F.lead("pos").over(w).alias("next_pos"),

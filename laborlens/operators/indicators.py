@@ -101,7 +101,7 @@ def own_total(df: DataFrame) -> DataFrame:
 def incidence(df: DataFrame, total_shifted: DataFrame | None = None) -> DataFrame:
     """Flows over the total stock of a year before."""
     if total_shifted is not None:
-        df = df.join(P.by_month(total_shifted), "pidx", "left")
+        df = df.join(P.by_month(P.one_per_month(total_shifted, ["pidx"])), "pidx", "left")
     inc_ent, inc_sal = X.ratio("pt_ent_12", "pt_total_12"), X.ratio("pt_sal_12", "pt_total_12")
     return df.withColumns(
         {

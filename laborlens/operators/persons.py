@@ -64,7 +64,7 @@ def persons(
 
     The sources are stacked and folded by person: one shuffle in place of the
     two full joins, the anti join and the union it stands for. Rows without an
-    id are kept apart by source, as an equality join keeps them.
+    id match nothing, and each stays a row of its own.
     """
     record = F.struct(*FIELDS)
 
@@ -96,12 +96,12 @@ def persons(
     def of(source: str):
         return F.max(F.when(F.col("source") == source, F.col("rec"))).alias(source)
 
-    apart = F.when(F.col("person_id").isNull(), F.col("source")).alias("apart")
-    folded = (
-        demo.unionByName(geo).unionByName(late).unionByName(donor)
-        .groupBy("person_id", apart)
-        .agg(of("demo"), of("geo"), of("late"), of("donor"))
+    sources = ["demo", "geo", "late", "donor"]
+    stacked = demo.unionByName(geo).unionByName(late).unionByName(donor)
+    nobody = stacked.filter("person_id is null").select(
+        "person_id", *[F.when(F.col("source") == s, F.col("rec")).alias(s) for s in sources]
     )
+    folded = stacked.filter("person_id is not null").groupBy("person_id").agg(*[of(s) for s in sources]).unionByName(nobody)
     in_first = F.col("demo").isNotNull() | F.col("geo").isNotNull()
 
     def pick(field: str, first: str):

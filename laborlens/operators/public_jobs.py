@@ -56,7 +56,7 @@ def variations(df: DataFrame, by: list[str], calendar: bool = False) -> DataFram
 
 def with_total(df: DataFrame, total: DataFrame) -> DataFrame:
     totals = total.select("pidx", F.col("pt").alias("pt_tot"))
-    return df.join(P.by_month(totals), "pidx", "left")
+    return df.join(P.by_month(P.one_per_month(totals, ["pidx"])), "pidx", "left")
 
 
 def incidences(df: DataFrame, total: DataFrame, by: list[str]) -> DataFrame:

@@ -85,39 +85,56 @@ def compare(
     return joined.withColumn("d", F.col("valor_ad") - F.col("valor_rp"))
 
 
-def compare_all(
-    own: dict[str, DataFrame], reference: dict[str, DataFrame], catalogue: dict | None = None
-) -> dict[str, DataFrame]:
-    """Every comparison of the catalogue for which both tables exist."""
-    out = {}
-    for label, (ad, rp, dims) in (catalogue or CATALOGUE).items():
-        if ad not in own or rp not in reference:
-            continue
-        first = {"region": (dims_as_text("region_final"), dims_as_text("region_trabajador"))}
-        before_own, before_ref = first.get(label, (None, None))
-        if "edad" in dims.values():
-            before_ref = age_codes
-        out[label] = compare(
-            own[ad], reference[rp], dims, own_first=before_own, reference_first=before_ref
-        )
-    return out
-
-
-def summary(comparisons: dict[str, DataFrame]) -> DataFrame:
+def own_names(reference: DataFrame) -> DataFrame:
+    """A long table of the second source under the first one's names and codes.
+
+    Columns that a source lacks stay away. Ages come as labels and regions as text, as :func:`age_codes` and
+    :func:`dims_as_text` say; rows with an age that is no label have no code.
+    """
+    renames = {rp: ad for _, _, dims in CATALOGUE.values() for ad, rp in dims.items()}
+    out = reference.withColumnsRenamed({k: v for k, v in renames.items() if k in reference.columns})
+    out = out.withColumnsRenamed({"anno_dev.cur": "anno", "mes_dev.cur": "mes"})
+    return out.withColumn("tramo_edad", X.age_label_code("tramo_edad")) if "tramo_edad" in out.columns else out
+
+
+def fold(both: DataFrame, catalogue: dict | None = None) -> DataFrame:
+    """Every comparison from one stack of the two sources: comparacion, anno, mes, classes, indicador, values and ``d``.
+
+    ``both`` has tabla, anno, mes, the class columns, indicador, valor and ``own`` (whose row it is), with one row of
+    each source per cell. A cell is the rows that agree on all keys, so one shuffle takes the place of a join for each
+    table. Rows without a value or with an unknown class of their table take no part.
+    """
+    catalogue = catalogue or CATALOGUE
+    classes = list(dict.fromkeys(d for _, _, dims in catalogue.values() for d in dims))
+    label = F.lit(None).cast("string")
+    for name, (table, _, dims) in catalogue.items():
+        known = reduce(lambda a, d: a & F.col(d).isNotNull(), dims, F.col("tabla") == table)
+        label = F.when(known, name).otherwise(label)
+    named = recode_indicators(both.filter("valor is not null")).withColumn("comparacion", label)
+    cells = named.filter("comparacion is not null").groupBy("comparacion", "anno", "mes", *classes, "indicador")
+    side = lambda own, name: F.max(F.when(F.col("own") == own, F.col("valor"))).alias(name)
+    met = cells.agg(side(True, "valor_ad"), side(False, "valor_rp"))
+    met = met.filter("valor_ad is not null and valor_rp is not null")
+    return met.withColumn("d", F.col("valor_ad") - F.col("valor_rp"))
+
+
+def compare_all(own: DataFrame, reference: DataFrame, catalogue: dict | None = None) -> DataFrame:
+    """Every comparison of two long tables, the second under its own names; see :func:`fold`."""
+    second = own_names(reference).withColumn("own", F.lit(False))
+    first = own.drop("fecha").withColumn("own", F.lit(True))
+    return fold(first.unionByName(second.drop("fecha")), catalogue)
+
+
+def summary(compared: DataFrame, labels: list[str]) -> DataFrame:
     """Rows, nonzero differences, largest and mean absolute difference per comparison.
 
-    A comparison without rows is listed with 0 rows and unknown differences.
+    A label without rows is listed with 0 rows and unknown differences.
     """
-    tagged = [
-        df.select(F.lit(name).alias("comparacion"), "d", F.lit(1).alias("row"))
-        for name, df in comparisons.items()
-    ]
-    spark = tagged[0].sparkSession
-    listed = spark.createDataFrame(
-        [(name, None, 0) for name in comparisons], "comparacion string, d double, row int"
-    )
+    spark = compared.sparkSession
+    listed = spark.createDataFrame([(name, None, 0) for name in labels], "comparacion string, d double, row int")
     d = F.abs("d")
-    return reduce(DataFrame.unionByName, tagged, listed).groupBy("comparacion").agg(
+    rows = compared.select("comparacion", "d", F.lit(1).alias("row")).unionByName(listed)
+    return rows.groupBy("comparacion").agg(
         F.sum("row").alias("n_filas"),
         F.count_if(F.col("d") != 0).alias("n_dif_nz"),
         F.max(d).alias("max_abs_d"),

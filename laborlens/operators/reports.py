@@ -17,9 +17,9 @@ GENERAL = [
 ]
 BY_CLASS = [
     "t_ent", "var12_t_ent", "t_sal", "var12_t_sal", "t_rot", "var12_t_rot",
-    "t_rot_neta", "inc_trln", "t_per", "var12_t_per",
+    "t_rot_neta", "inc_rot_neta", "t_per", "var12_t_per",
 ]
-PUBLIC = ["pt_cur", "var1_pt_cur", "var12_pt_cur"]
+PUBLIC = ["pt", "var1_pt", "var12_pt"]
 
 # Bulletin table -> (its breakdown, sort column, indicators, only public).
 BULLETIN = {
@@ -45,13 +45,23 @@ def bulletin_table(
     return long.filter(keep).orderBy(*order)
 
 
-def bulletin_tables(tables: dict[str, DataFrame], catalogue: dict | None = None) -> dict[str, DataFrame]:
-    """All bulletin tables whose breakdown is available."""
-    return {
-        name: bulletin_table(tables[source], indicators, sort, public)
-        for name, (source, sort, indicators, public) in (catalogue or BULLETIN).items()
-        if source in tables
-    }
+def bulletin(long: DataFrame, catalogue: dict | None = None) -> DataFrame:
+    """All bulletin tables from one long table, in one pass: cuadro, anno, mes, clase (as text), indicador, valor.
+
+    ``long`` has ``tabla`` and the class columns of the catalogue; a column that is absent fails.
+    """
+    catalogue = catalogue or BULLETIN
+    listed = [(t, source, i, public) for t, (source, _, indicators, public) in catalogue.items() for i in indicators]
+    # A row for each published indicator: its size is that of the catalogue.
+    wanted = long.sparkSession.createDataFrame(listed, "cuadro string, tabla string, indicador string, public boolean")
+    rows = long.filter(F.col("valor").isNotNull()).join(F.broadcast(wanted), ["tabla", "indicador"])
+    label = F.lit(None).cast("string")
+    for table, (_, sort, _, _) in catalogue.items():
+        if sort:
+            label = F.when(F.col("cuadro") == table, F.col(sort).cast("string")).otherwise(label)
+    if any(public for *_, public in listed):
+        rows = rows.filter(~F.col("public") | (F.col("ep") == 1))
+    return rows.select("cuadro", "anno", "mes", label.alias("clase"), "indicador", "valor")
 
 
 def last_and_year_before(df: DataFrame) -> DataFrame:

@@ -20,7 +20,7 @@ FIRM_CLASSES = ["tamano_empresa_movil", "seccion"]
 def with_parameters(panel: DataFrame, params: DataFrame) -> DataFrame:
     """Tax unit and dollar of the month; a month without parameters gets NULL."""
     months = params.select("pidx", "utm", "usd")
-    return P.with_pidx(panel).join(P.by_month(months), "pidx", "left")
+    return P.with_pidx(panel).join(P.by_month(P.one_per_month(months, ["pidx"])), "pidx", "left")
 
 
 def credits(panel: DataFrame, params: DataFrame) -> DataFrame:

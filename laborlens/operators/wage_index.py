@@ -115,7 +115,7 @@ COMPONENTS = ["payroll_index", "wage_index", "labor_intensity_index"]
 
 def deflated(mass: DataFrame, prices: DataFrame) -> DataFrame:
     """Real series; a month without a price index gives NULL."""
-    joined = mass.join(P.by_month(prices.select("pidx", "ipc")), "pidx", "left")
+    joined = mass.join(P.by_month(P.one_per_month(prices.select("pidx", "ipc"), ["pidx"])), "pidx", "left")
     return joined.withColumns({r: X.deflate(n, "ipc", k) for r, (n, k) in REAL.items()})
 
 
@@ -169,7 +169,7 @@ def adjusted_variations(df: DataFrame, series: list[str], by: list[str]) -> Data
 def join_monthly(df: DataFrame, *tables: DataFrame) -> DataFrame:
     """Left joins of monthly series (macro indicators, nowcasts, monthly product)."""
     for t in tables:
-        df = df.join(P.by_month(t), "pidx", "left")
+        df = df.join(P.by_month(P.one_per_month(t, ["pidx"])), "pidx", "left")
     return df
 
 

@@ -1,28 +1,21 @@
 """The monthly production chain: raw contributions to published indicators.
 
-Every stage is lazy; stage boundaries are tables written by month, which also
-cut the lineage, so a lost executor costs the tasks of one stage at most.
+Stages are tables, those of jobs by month, which also cut the lineage: a lost
+executor costs the tasks of one stage at most.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from laborlens import schema as S
 from laborlens.functions import periods as P
-from laborlens.operators import clean, enrich, firm_size, flows, impute, indicators
+from laborlens.operators import clean, enrich, firm_size, flows, impute, indicators, stocks
+from laborlens.plans.session import tune
 from laborlens.sources import lookups, tables
 
 
-def sized_panel(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Panel with the moving size of the firm, and the static size table."""
-    heads = firm_size.headcount(panel, unique_key=True)
-    return (
-        firm_size.with_moving_size(panel, firm_size.moving_size(heads)),
-        firm_size.static_size(heads),
-    )
-
-
 def turnover_tables(
     enriched: DataFrame, periods: DataFrame | None = None, mobile: bool = False
 ) -> DataFrame:
@@ -49,8 +42,15 @@ def run_month_chain(
 ) -> DataFrame:
     """All stages, each written below ``root`` and read back by the next.
 
-    Returns the indicator table. Lookups must have unique keys.
+    Raw rows and exclusions may have the administrative column names and ids of
+    any numeric type. A run replaces what an earlier one left below ``root``.
+    Stored are preprocessed, imputed, headcount, static_size, enriched, stocks,
+    flows_fixed, flows_mobile and the indicators of the fixed or mobile domain.
+    Returns the indicators. Lookups must have unique keys, caps unique months.
     """
+    tune(spark)
+    ids = {c: F.col(c).cast("long") for c in S.JOB}
+    raw, exclusions = S.canonical(raw).withColumns(ids), S.canonical(exclusions).withColumns(ids)
     for table, key in (
         (persons, "person_id"), (firm_master, "firm_id"), (public_sector, "firm_id"),
         (nationality_mode, "worker_id"), (region_donor, "firm_id"),
@@ -59,13 +59,14 @@ def run_month_chain(
     caps = lookups.pay_caps(spark) if caps is None else caps
 
     def stored(df: DataFrame, name: str, monthly: bool = True) -> DataFrame:
-        (tables.write_periods if monthly else tables.write_table)(df, f"{root}/{name}")
+        (tables.replace_periods if monthly else tables.write_table)(df, f"{root}/{name}")
         return tables.open_table(spark, f"{root}/{name}", schema=df.schema)
 
     jobs = stored(clean.preprocess(raw, persons, exclusions, desde), "preprocessed")
     panel = stored(impute.cap_and_impute(jobs, caps, missing_cap), "imputed")
-    sized, static = sized_panel(panel)
-    static = stored(static, "static_size", monthly=False)
+    heads = stored(firm_size.headcount(panel, unique_key=True), "headcount", monthly=False)
+    sized = firm_size.with_moving_size(panel, firm_size.moving_size(heads))
+    static = stored(firm_size.static_size(heads), "static_size", monthly=False)
     enriched = enrich.enrich(
         sized,
         lookups.persons_lookup(persons),
@@ -77,4 +78,8 @@ def run_month_chain(
     )
     enriched = stored(enriched, "enriched")
     periods = P.available_periods(enriched, None)
+    jobs = tables.read_jobs(enriched, S.CLASSES, unique_key=True)
+    stored(stocks.stock_cells(jobs), "stocks", monthly=False)
+    stored(flows.flows_fixed(jobs, periods=periods), "flows_fixed", monthly=False)
+    stored(flows.flows_mobile(jobs, periods=periods), "flows_mobile", monthly=False)
     return stored(turnover_tables(enriched, periods, mobile), "indicators", monthly=False)

@@ -5,17 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def write_bundle(
-    tables: dict[str, DataFrame], root: str, fmt: str = "parquet", max_rows: int | None = None
-) -> list[str]:
-    """Write each table under its name; returns the names skipped by ``max_rows``."""
-    skipped = []
+def write_bundle(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") -> None:
+    """Write each table under its name, whatever its size."""
     for name, df in tables.items():
-        if max_rows is not None and df.limit(max_rows + 1).count() > max_rows:
-            skipped.append(name)
-            continue
         df.write.mode("overwrite").option("header", True).format(fmt).save(f"{root}/{name}")
-    return skipped
 
 
 def read_bundle(

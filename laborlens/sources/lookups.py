@@ -103,7 +103,8 @@ def require_unique(df: DataFrame, keys: list[str]) -> DataFrame:
     Meant for lookup tables, where a repeated key would multiply panel rows. The
     check counts per key with map-side combine, so a hot key costs no more.
     """
-    repeated = df.groupBy(*keys).count().filter("count > 1")
+    known = df.dropna(subset=keys)  # a null key matches no row
+    repeated = known.groupBy(*keys).count().filter("count > 1")
     if not repeated.isEmpty():
         raise ValueError(f"keys {keys} are not unique")
     return df

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,16 +16,11 @@ MONTH_IN_NAME = r"_(\d{4})(\d{2})\.parquet$"
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """A new, unused path below the shared folder the session names.
+    """A new, unused path below ``spark.checkpoint.dir``, or below the warehouse where that is unset.
 
-    Without that setting a local session gets a temporary folder; a cluster must
-    name one, since its tasks share no local disk.
+    Both are folders that the cluster shares.
     """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base is None:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-        base = tempfile.mkdtemp(prefix="laborlens-")
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_scratch"
     return f"{base.rstrip('/')}/laborlens-{uuid.uuid4().hex}"
 
 
@@ -81,6 +75,17 @@ def write_periods(df: DataFrame, root: str, by: tuple[str, ...] = ("anno", "mes"
     )
 
 
+def replace_periods(df: DataFrame, root: str, by: tuple[str, ...] = ("anno", "mes")) -> None:
+    """Like :func:`write_periods`, but months that ``df`` lacks go: a stage of one run holds that run's months only."""
+    (
+        df.hint("rebalance", *by)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
+        .partitionBy(*by)
+        .parquet(root)
+    )
+
+
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

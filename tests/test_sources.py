@@ -1,7 +1,5 @@
 """Writers, readers and the whole chain, on fresh folders."""
 
-import os
-
 from pyspark.sql import functions as F
 
 from catalog import roles
@@ -61,12 +59,11 @@ def test_merge_schema(spark, tmp_path):
     assert set(tables.open_table(spark, root, merge_schema=True).columns) == {"id", "a", "b", "p"}
 
 
-def test_bundle_by_name_and_row_guard(spark, tmp_path):
+def test_bundle_by_name(spark, tmp_path):
     root = str(tmp_path / "bundle")
     built = {"small": spark.range(3), "large": spark.range(11)}
-    assert bundle.write_bundle(built, root, max_rows=10) == ["large"]
-    assert os.path.isdir(f"{root}/small") and not os.path.exists(f"{root}/large")
-    assert bundle.read_bundle(spark, root, ["small"])["small"].count() == 3
+    bundle.write_bundle(built, root)
+    assert {n: df.count() for n, df in bundle.read_bundle(spark, root, ["large", "small"]).items()} == {"small": 3, "large": 11}
     assert bundle.common_names(built, {"large": None}) == ["large"]
     parts = bundle.split(spark.createDataFrame([("a", 1), ("b", 2)], "tabla string, v int"), ["a"])
     assert [tuple(r) for r in parts["a"].collect()] == [(1,)]
@@ -116,3 +113,25 @@ def test_whole_chain(spark, sf, tmp_path):
     keys = enriched.groupBy("worker_id", "firm_id", "anno", "mes").count()
     assert keys.filter("count > 1").isEmpty()
     assert set(S.BREAKDOWNS) == {r.tabla for r in out.select("tabla").distinct().collect()}
+    for name in ("headcount", "stocks", "flows_fixed", "flows_mobile"):
+        assert tables.open_table(spark, f"{root}/{name}").count() > 0
+
+
+def test_chain_takes_administrative_names_and_leaves_no_stale_month(spark, sf, tmp_path):
+    back = {v: k for k, v in S.SOURCE_NAMES.items()}
+    raw = roles.raw(spark, sf).withColumn("worker_id", F.col("worker_id").cast("double"))
+    raw = raw.withColumnsRenamed({c: back[c] for c in raw.columns if c in back})
+    root = str(tmp_path / "rerun")
+
+    def run(desde):
+        return monthly.run_month_chain(
+            spark, root, raw=raw, exclusions=roles.exclusions(spark, sf), persons=roles.persons(spark, sf),
+            firm_master=roles.firm_master(spark, sf), public_sector=roles.public_sector(spark, sf),
+            nationality_mode=roles.nationality_mode(spark, sf), region_donor=roles.region_donor(spark, sf),
+            caps=roles.periods(spark, sf).select("anno", "mes", F.lit(60000).alias("tope")), desde=desde,
+        )
+
+    run((1996, 11))
+    out = run((1998, 1))
+    assert tables.open_table(spark, f"{root}/enriched").agg(F.min("anno")).first()[0] == 1998
+    assert out.agg(F.min("anno")).first()[0] >= 1998

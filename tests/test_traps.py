@@ -357,8 +357,8 @@ def test_compare_null_dimensions(spark):
 
 
 def test_empty_comparison_summary(spark):
-    empty = spark.createDataFrame([], "d double")
-    assert [tuple(r) for r in reconcile.summary({"x": empty}).collect()] == [("x", 0, 0, None, None)]
+    empty = spark.createDataFrame([], "comparacion string, d double")
+    assert [tuple(r) for r in reconcile.summary(empty, ["x"]).collect()] == [("x", 0, 0, None, None)]
 
 
 def test_exact_median_with_ties_and_unknown_months(spark):
@@ -405,10 +405,11 @@ def test_leaders_keep_ties(spark):
 
 
 def test_public_bulletin_table(spark):
-    rows = [(2020, 1, 1, "pt_cur", 5.0), (2020, 1, 0, "pt_cur", 6.0), (2020, 1, 1, "t_ent", 1.0), (2020, 2, 1, "pt_cur", None)]
+    rows = [(2020, 1, 1, "pt", 5.0), (2020, 1, 0, "pt", 6.0), (2020, 1, 1, "t_ent", 1.0), (2020, 2, 1, "pt", None)]
     df = spark.createDataFrame(rows, "anno int, mes int, ep int, indicador string, valor double")
-    out = reports.bulletin_tables({"ep": df})["ep"]
-    assert values(out, "ep", "indicador", "valor") == [(1, "pt_cur", 5.0)]
+    df = df.withColumn("tabla", F.lit("ep"))
+    out = reports.bulletin(df, {"ep": reports.BULLETIN["ep"]})
+    assert values(out, "cuadro", "indicador", "valor") == [("ep", "pt", 5.0)]
 
 
 def test_contingency_counts_unknown(spark):
@@ -426,3 +427,55 @@ def test_magnitude_text(spark):
 def test_canonical_names(spark):
     df = spark.createDataFrame([(1, 2)], "id_ine_id_trabajador long, seccion_ciiu4cl int")
     assert S.canonical(df).columns == ["worker_id", "seccion"]
+
+
+def test_bulletin_lists_every_indicator(spark, sf):
+    """Each indicator of the catalogue occurs; a name that no result has would not."""
+    from catalog import QUERIES
+
+    rows = QUERIES["D17_bulletin_tables"](spark, sf).select("cuadro", "indicador").distinct().collect()
+    found = {(r.cuadro, r.indicador) for r in rows}
+    assert found == {(t, i) for t, (_, _, names, _) in reports.BULLETIN.items() for i in names}
+
+
+def test_months_before_the_list_of_periods_stay(spark):
+    rows = [(1, 1, 2015, 1, 10.0, 30), (1, 1, 2017, 1, 20.0, 30), (1, 1, 2017, 3, 40.0, 30)]
+    panel = spark.createDataFrame(rows, "worker_id long, firm_id long, anno int, mes int, monto double, dias int")
+    months = spark.createDataFrame([(2017, 1), (2017, 2), (2017, 3)], "anno int, mes int")
+    listed = P.available_periods(months)
+    out = impute.impute_gaps(panel, listed)
+    assert sorted(values(out, "anno", "mes", "monto", "is_imputed")) == [
+        (2015, 1, 10.0, False), (2017, 1, 20.0, False), (2017, 2, 30.0, True), (2017, 3, 40.0, False),
+    ]
+    cells = flows.turnover_cells(panel.withColumn("sexo", F.lit(1)), ["sexo"], listed)
+    assert cells.agg(F.sum("pt")).first()[0] == 3
+
+
+def test_a_month_given_twice_fails(spark):
+    panel = spark.createDataFrame([(1, 1, 2020, 1, 10.0)], "worker_id long, firm_id long, anno int, mes int, monto double")
+    twice = spark.createDataFrame([(2020, 1, 5), (2020, 1, 5)], "anno int, mes int, tope int")
+    assert clean.cap_pay(panel, twice).count() == 1
+    with pytest.raises(Exception, match="two different rows"):
+        clean.cap_pay(panel, twice.unionByName(twice.withColumn("tope", F.lit(7)))).collect()
+
+
+def test_persons_without_an_id_stay_apart(spark):
+    demo = spark.createDataFrame(
+        [(None, 1, 1, "2000-01-01", None), (None, 2, 1, "1990-01-01", None), (7, 1, 1, "1980-01-01", None)],
+        "person_id long, sexo int, nacionalidad int, fecha_nac string, fecha_def_cor_rc string",
+    )
+    geo = spark.createDataFrame([(None, "13", "1"), (7, "5", "2")], "person_id long, codigo_region string, codigo_comuna string")
+    late = spark.createDataFrame(
+        [(None, 1, 1, None, None, "8", "3")],
+        "person_id long, sexo_rc int, nacionalidad_rc int, fecha_nac_cor_rc string, fecha_def_cor_rc string, "
+        "codigo_region_rc string, codigo_comuna_rc string",
+    )
+    donor = spark.createDataFrame([], "worker_id long, sexo_final int")
+    out = persons.persons(demo, geo, late, donor)
+    assert out.filter("person_id is null").count() == 4
+    assert lookups.require_unique(out, ["person_id"]).count() == 5
+
+
+def test_codes_round_half_away(spark):
+    df = spark.createDataFrame([("17.6",), ("16.5",), ("17.0",), ("-1.5",), ("x",), (None,)], "c string")
+    assert values(df.select(X.int_code("c").alias("c")), "c") == [(18,), (17,), (17,), (-2,), (None,), (None,)]

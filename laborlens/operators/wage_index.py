@@ -12,6 +12,8 @@ from laborlens.functions import scalars as X
 
 ACCURACY = 10_000
 MARGIN = 10 / ACCURACY
+#: Ranges of equal width that a bracket is cut into.
+RANGES = 1024
 
 
 def bracket(value: str) -> list[Column]:
@@ -28,11 +30,14 @@ def exact_median(
 ) -> DataFrame:
     """``summary`` (one row per month, with ``bracket``) plus the median of each month.
 
-    No month is sorted in one task. A quantile sketch has bracketed the median
-    between two values ten times wider apart than its rank error; only values
-    inside the bracket (about 0.2 % of the rows) are counted one by one and
-    ranked, smaller ones are counted as a block. The result is exact, and the
-    job fails if a bracket should miss.
+    No month is sorted or ranked in one task. A quantile sketch has bracketed
+    the median between two values ten times wider apart than its rank error.
+    Values inside the bracket (about 0.2 % of the rows) are counted one by one,
+    smaller ones as a block. Counts are summed over a fixed number of ranges of
+    the bracket, whose running sum names the one or two ranges that hold the
+    median, and only the values of those are ranked, each range by itself. The
+    result is exact, as the sketch's error is bounded; should a bracket miss
+    all the same, the job fails rather than give another value.
     """
     carried = [c for c in summary.columns if c not in (by, "_q")]
     bounds = summary.withColumns({"_lo": F.col("_q")[0], "_hi": F.col("_q")[1]}).drop("_q")
@@ -41,21 +46,31 @@ def exact_median(
         df.select(by, F.col(value).alias("_v"))
         .join(P.by_month(bounds), by)
         .filter(v.isNull() | (v <= F.col("_hi")))
-        .groupBy(by, *carried, F.when(v >= F.col("_lo"), v).alias("_v"))
+        .groupBy(by, "_n", "_lo", "_hi", F.when(v >= F.col("_lo"), v).alias("_v"))
         .agg(F.count(v).alias("_k"))
     )
-    w = W.partitionBy(by).orderBy(v.asc_nulls_first())
-    ranked = counts.withColumn("_to", F.sum("_k").over(w)).withColumn("_from", F.col("_to") - F.col("_k"))
+    step = (F.col("_hi") - F.col("_lo")) / RANGES
+    place = F.when(step > 0, F.least(F.floor((v - F.col("_lo")) / step), F.lit(RANGES - 1))).otherwise(0)
+    counts = counts.withColumn("_range", F.when(v.isNull(), -1).otherwise(place).cast("int"))
     first, second = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    # RANGES + 1 rows a month at most reach this window.
+    months = W.partitionBy(by).orderBy("_range")
+    sums = counts.groupBy(by, "_n", "_range").agg(F.sum("_k").alias("_s")).withColumn("_end", F.sum("_s").over(months))
+    start = F.col("_end") - F.col("_s")
+    wanted = sums.filter((start <= second) & (first < F.col("_end"))).select(by, "_range", start.alias("_before"))
+    w = W.partitionBy(by, "_range").orderBy(v.asc_nulls_first())
+    ranked = counts.join(P.by_month(wanted), [by, "_range"])
+    ranked = ranked.withColumn("_to", F.col("_before") + F.sum("_k").over(w)).withColumn("_from", F.col("_to") - F.col("_k"))
 
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), v))
 
     missed = (F.col("_n") > 0) & (F.col("_a").isNull() | F.col("_b").isNull())
     failed = F.raise_error(F.lit("median outside its bracket")).cast("double")
+    middle = ranked.groupBy(by).agg(at(first).alias("_a"), at(second).alias("_b"))
     return (
-        ranked.groupBy(by, *carried)
-        .agg(at(first).alias("_a"), at(second).alias("_b"))
+        summary.select(by, *carried)
+        .join(P.by_month(middle), by, "left")
         .withColumn(name, F.when(missed, failed).otherwise((F.col("_a") + F.col("_b")) / 2))
         .drop("_a", "_b", "_n")
     )

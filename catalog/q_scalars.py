@@ -444,15 +444,15 @@ def magnitude_text(spark, sf):
 @query(
     "X30_percent_text",
     sql(
-        """SELECT firm_id, printf('%.1f', round_even(p * 100, 1)) || '%' AS texto FROM (
-SELECT firm_id, COUNT(*) / CAST(SUM(COUNT(*)) OVER () AS DOUBLE) AS p FROM panel GROUP BY firm_id)""",
+        """SELECT firm_id, pidx, printf('%.1f', round_even(p * 100, 1)) || '%' AS texto FROM (
+SELECT firm_id, pidx, COUNT(*) / CAST(SUM(COUNT(*)) OVER (PARTITION BY firm_id) AS DOUBLE) AS p FROM panel GROUP BY firm_id, pidx)""",
         "panel",
     ),
 )
 def percent_text(spark, sf):
-    firms = roles.panel(spark, sf).groupBy("firm_id").agg(F.count("*").alias("n")).withColumn("u", F.lit(1))
-    p = tax_credit.share(firms, "n", "p", by=("u",))
-    return p.select("firm_id", X.percent("p").alias("texto"))
+    months = roles.panel(spark, sf).groupBy("firm_id", "pidx").agg(F.count("*").alias("n"))
+    p = tax_credit.share(months, "n", "p", by=("firm_id",))
+    return p.select("firm_id", "pidx", X.percent("p").alias("texto"))
 
 
 @query(

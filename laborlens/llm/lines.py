@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from laborlens.llm.frames import checkpoint, row_hash, same
+from laborlens.llm.frames import checkpoint, row_hash, same, split_join
 
 
 def _windows(docs: DataFrame, run: int, min_chars: int) -> DataFrame:
@@ -44,10 +44,10 @@ def repeated_windows(docs: DataFrame, run: int = 2, min_chars: int = 40) -> Data
     # Two places at least: a fingerprint whose first and last place agree has no partner.
     prints = windows.groupBy("fingerprint").agg(F.min(where).alias("first"), F.max(where).alias("last"))
     shared = prints.filter(~same(F.col("first"), F.col("last"))).select("fingerprint")
-    matched = checkpoint(windows.join(shared, "fingerprint", "left_semi"))
+    matched = checkpoint(split_join(windows, shared, "fingerprint", "left_semi"))
     here = F.struct("doc_id", "h", "start")
     first = matched.groupBy("fingerprint", "place", "extent").agg(F.min(here).alias("first"))
-    later = matched.join(first, ["fingerprint", "place", "extent"])
+    later = split_join(matched, first, ["fingerprint", "place", "extent"])
     return later.filter(~same(here, F.col("first"))).select("doc_id", "h", "start")
 
 

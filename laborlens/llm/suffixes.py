@@ -244,15 +244,16 @@ def repeated_spans(docs: DataFrame, texts: DataFrame, length: int = 200) -> Data
     ``docs`` are :func:`spans.keyed` rows and ``texts`` the same ones packed.
     """
     anchors = map_arrow(docs, _anchors(length), "doc_id long, tag int, place long, print long, around long")
-    # Counting combines in each task before it moves, and the join splits a print that very many rows share.
+    # Counting combines in each task before it moves. Joins read their aggregates from tables: only then can Spark split
+    # a print that very many rows share.
     prints = anchors.groupBy("print").agg(F.count("*").alias("n"), F.min("around").alias("lo"), F.max("around").alias("hi"))
-    prints = prints.filter("n > 1").select("print", (F.col("lo") != F.col("hi")).alias("mixed"))
+    prints = stage(prints.filter("n > 1").select("print", (F.col("lo") != F.col("hi")).alias("mixed")))
     unmixed = lambda c: F.when(F.col("mixed"), F.col(c)).alias(c)  # noqa: E731  what is settled needs no hashes
     shared = stage(anchors.join(prints, "print").select(*KEY, "place", "mixed", unmixed("print"), unmixed("around")))
 
     mixed = shared.filter("mixed").drop("mixed")
-    around = mixed.groupBy("print", "around").agg(F.count("*").alias("n"), F.min("doc_id").alias("first"))
-    crowds = around.groupBy("print").agg(F.count("*").alias("m"))
+    around = stage(mixed.groupBy("print", "around").agg(F.count("*").alias("n"), F.min("doc_id").alias("first")))
+    crowds = stage(around.groupBy("print").agg(F.count("*").alias("m")))
     around = stage(around.join(crowds, "print"))
     known = mixed.join(around, ["print", "around"])
     begin, more = F.shiftright("place", 16), F.shiftright("place", 8).bitwiseAND(255)

@@ -18,30 +18,47 @@ from laborlens.llm import bytesops as B
 from laborlens.llm.frames import map_arrow, same, stage
 from laborlens.llm.spans import KEY, cut, keyed, packed
 
-#: Bytes that the rolling hash remembers, distance within which a cut is the only one, and the longest chunk.
-GEAR_BYTES, NEAR, LONGEST = 32, 28, 1024
+#: Bytes that the rolling hash remembers, those that decide on cuts, distance within which a cut is the only one, and the
+#: longest chunk. Cuts inside a passage are the same everywhere from CUT_BYTES + NEAR after its start to NEAR before its end.
+GEAR_BYTES, CUT_BYTES, NEAR, LONGEST = 32, 12, 10, 1024
 
 _GEAR = (B.BYTE_VALUE >> np.uint64(32)).astype(np.uint32)
 
 
-def gear_hashes(data: np.ndarray) -> np.ndarray:
-    """Rolling hash after each byte: h = (h << 1) + gear[byte], of which 32 bits remember 32 bytes.
+def gear_hashes(data: np.ndarray, memory: int = GEAR_BYTES) -> np.ndarray:
+    """Rolling hash after each byte: h = (h << 1) + gear[byte], of which 32 bits remember 32 bytes; of ``memory`` bytes.
 
     Summed by doubling: the hash of 2n bytes is that of the last n plus that of the n before, shifted by n.
     """
-    h = _GEAR[data]
-    span = 1
-    while span < GEAR_BYTES:
+    h, out = _GEAR[data], None
+    span, done = 1, 0
+    while True:
+        if memory & span:
+            if out is None:
+                out = h.copy()
+            else:
+                out[done:] += h[:-done] << np.uint32(done)
+            done += span
+        if 2 * span > memory:
+            return out
         longer = h.copy()
         longer[span:] += h[:-span] << np.uint32(span)
         h = longer
         span *= 2
-    return h
+
+
+def chunk_checks(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """31 bits of each chunk's length and gear hash, without what the hash remembers from before a short chunk."""
+    h = gear_hashes(data)
+    size = end - start
+    before = np.where(start > 0, h[start - 1], np.uint32(0)) << np.minimum(size, 31).astype(np.uint32)
+    own = h[end - 1] - np.where(size < GEAR_BYTES, before, np.uint32(0))
+    return (own.astype(np.uint64) * np.uint64(31) + size.astype(np.uint64)) & np.uint64(0x7FFFFFFF)
 
 
 def boundaries(docs: B.Docs, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the chunks of all documents, in order."""
-    h = gear_hashes(data).astype(np.uint64) << np.uint64(32) | np.arange(len(data), dtype=np.uint64)
+    h = gear_hashes(data, CUT_BYTES).astype(np.uint64) << np.uint64(32) | np.arange(len(data), dtype=np.uint64)
     least = np.full(len(h), np.iinfo(np.uint64).max, np.uint64)
     n = len(h) - 2 * NEAR
     if n > 0:
@@ -53,7 +70,7 @@ def boundaries(docs: B.Docs, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     cuts = np.flatnonzero(least == h) + 1
     # A cut's surroundings lie in one document, or the cut would depend on what follows it in the buffer.
     owner = np.searchsorted(docs.starts, cuts - 1, side="right") - 1
-    warm = GEAR_BYTES + NEAR
+    warm = CUT_BYTES + NEAR
     inside = (cuts - warm >= docs.starts[owner]) & (cuts + NEAR <= docs.ends[owner])
     full = np.flatnonzero(docs.lengths > 0)
     edges = np.unique(np.concatenate([docs.starts[full], cuts[inside]]))
@@ -80,7 +97,7 @@ def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         start, end = boundaries(docs, data)
         owner = np.searchsorted(docs.starts, start, side="right") - 1
         digest = B.Prefix(data).spans(start, end)
-        check = (gear_hashes(data)[end - 1].astype(np.uint64) * np.uint64(31) + (end - start).astype(np.uint64)) & np.uint64(0x7FFFFFFF)
+        check = chunk_checks(data, start, end)
         in_document = B.mix(digest + B.mix(owner.astype(np.uint64) + np.uint64(3)))
         again = np.ones(len(start), bool)
         again[np.unique(in_document, return_index=True)[1]] = False
@@ -107,15 +124,17 @@ def repeated_chunks(docs: DataFrame) -> DataFrame:
     return found.select(*KEY, start.alias("start"), (start + F.col("place").bitwiseAND(0xFFFF)).alias("end"), "first")
 
 
-def deduplicate(docs: DataFrame, shortest: int = 80, with_text: bool = False) -> DataFrame:
+def deduplicate(docs: DataFrame, shortest: int = 80, with_text: bool = False, whole: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and shared_with.
 
     Of equal chunks the first stays: that of the smallest doc_id and place. Others go where they make up runs of
-    ``shortest`` bytes or more, so that a phrase in common costs no document its text. shared_with lists the doc_ids where
+    ``shortest`` bytes or more, so that a phrase in common costs no document its text; with ``whole`` also where they make
+    up a whole document, however short. A passage goes without up to about 40 bytes at its ends, which its surroundings
+    cut. shared_with lists the doc_ids where
     what was removed stays. Null text is empty. Rows of one id are one document: what they share among each other stays;
     rows without an id keep what they share with rows that have none. Chunks are told apart by 95 bits. with_text adds
     kept_text. Extra columns are ignored.
     """
     rows = keyed(docs)
-    out = cut(packed(rows), repeated_chunks(rows), shortest, with_text)
+    out = cut(packed(rows), repeated_chunks(rows), shortest, with_text, whole)
     return out.drop("tag")

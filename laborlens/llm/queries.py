@@ -29,7 +29,7 @@ def query(fn):
 @query
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What stays of each document when chunks that stand earlier go, and the documents where they stay."""
-    return chunks.deduplicate(read_table(spark, sf_dir, "documents"))
+    return chunks.deduplicate(read_table(spark, sf_dir, "documents"), whole=True)
 
 
 @query

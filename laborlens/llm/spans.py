@@ -48,11 +48,13 @@ def union(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return starts[first], reach[np.r_[first[1:] - 1, len(starts) - 1]]
 
 
-def cut(texts: DataFrame, spans: DataFrame, shortest: int = 0, with_text: bool = False) -> DataFrame:
+def cut(
+    texts: DataFrame, spans: DataFrame, shortest: int = 0, with_text: bool = False, whole: bool = False
+) -> DataFrame:
     """Rows of ``texts`` (packed) without the bytes that ``spans`` (key, start, end) cover.
 
     doc_id, tag, n_bytes, n_removed, n_spans and kept_sha256; with_text adds kept_text, in which a character that lost some
-    of its bytes goes as a whole. Runs of spans shorter than ``shortest`` bytes stay. Spans with a column ``first``, an
+    of its bytes goes as a whole. Runs of spans shorter than ``shortest`` bytes stay, unless ``whole`` is set and the run is all of the text. Spans with a column ``first``, an
     id, add shared_with: the ids of what is cut, without the row's own.
     """
     linked = "first" in spans.columns
@@ -72,10 +74,11 @@ def cut(texts: DataFrame, spans: DataFrame, shortest: int = 0, with_text: bool =
                 parts, at, gone = [], 0, 0
                 if starts.is_valid and len(starts):
                     a, b = union(starts.values.to_numpy(), ends.values.to_numpy())
-                    long = b - a >= shortest
+                    long = (b - a >= shortest) | (whole & (b - a == len(data)))
                     if linked:
                         within = long[np.searchsorted(a, starts.values.to_numpy(), side="right") - 1]
-                        ids = np.unique(first.values.to_numpy(zero_copy_only=False)[within])
+                        # A row without an id that repeats itself names no document.
+                        ids = np.unique(first.values.filter(pa.array(within)).drop_null().to_numpy())
                     a, b = a[long].tolist(), b[long].tolist()
                 else:
                     a, b, ids = [], [], np.zeros(0, np.int64)

@@ -392,6 +392,34 @@ def test_planted_passage_is_caught(spark):
     assert all(1 in r.shared_with for r in got.values() if r.n_removed)
 
 
+def test_short_words_are_caught(spark):
+    """51 words of 3 to 5 letters, with other words around them, over many seeds."""
+    rows = []
+    for seed in range(400):
+        rng = random.Random(seed)
+        some = lambda n: " ".join("".join(rng.choice("abcdefghijklmnop") for _ in range(rng.randint(3, 5))) for _ in range(n))
+        passage = some(51)
+        rows += [(2 * seed, f"{some(60)} {passage} {some(60)}"), (2 * seed + 1, f"{some(61)} {passage} {some(59)}")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: r for r in chunks.deduplicate(docs).collect()}
+    assert {i for i, r in got.items() if r.n_removed} == {i for i, _ in rows if i % 2}
+    assert all(r.doc_id - 1 in r.shared_with for r in got.values() if r.n_removed)
+
+
+def test_short_chunks_match_anywhere():
+    rng = np.random.RandomState(2)
+    chunk = rng.randint(0, 256, 20).astype(np.uint8)
+    data = np.concatenate([chunk, rng.randint(0, 256, 50).astype(np.uint8), chunk])
+    checks = chunks.chunk_checks(data, np.array([0, 70]), np.array([20, 90]))
+    assert checks[0] == checks[1]
+
+
+def test_short_copies_go(spark):
+    rows = [(1, "a short text"), (2, "a short text"), (3, "a short text and more"), (4, ""), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert {r.doc_id: r.n_removed for r in chunks.deduplicate(docs, whole=True).collect()} == {1: 0, 2: 12, 3: 0, 4: 0, 5: 0}
+
+
 def test_empty_tables(spark, empty):
     held = F.lit(False)
     for out in (

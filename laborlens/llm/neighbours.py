@@ -2,7 +2,8 @@
 
 Vectors are hashed by Gaussian projections cut into cells; a bucket is one cell of each projection of a table. A query
 visits buckets in the order of their estimated success, the chance that a neighbour at the expected distance lies there,
-until the chances add up to the target. Candidates of all tables are ranked by the exact measure.
+until the chances add up to the target; if it met too few candidates, it is compared with all. Candidates of all tables
+are ranked by the exact measure.
 """
 
 from __future__ import annotations
@@ -205,7 +206,8 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, probing: Probing =
     the smaller vec_id; a row is no candidate of its own. Vectors that are null, zero or hold null or non-finite
     components take no part; repeated rows count once; an empty table gives an empty result; extra columns are ignored.
     Equal vectors are one candidate that stands for its k+1 smallest ids, which is all a result can hold of them. Large
-    buckets are dealt out in blocks, each of which meets all queries that visit the bucket.
+    buckets are dealt out in blocks, each of which meets all queries that visit the bucket. A query whose buckets hold
+    fewer than ``k`` candidates, or than there are, is compared with all vectors.
     """
     spark = vectors.sparkSession
     double = F.transform("embedding", lambda x: x.cast("double"))
@@ -274,11 +276,27 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, probing: Probing =
     dealt = placed.join(blocks, "bucket").select("bucket", place_of.alias("block"), F.lit(0).alias("kind"), "v", "ids")
     every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     asking = probed.join(blocks, "bucket").select("bucket", every.alias("block"), F.lit(1).alias("kind"), "v", "ids")
-    together = dealt.unionByName(asking).repartition("bucket", "block").sortWithinPartitions("bucket", "block", "kind")
-    found = map_arrow(together, meet, "query_id long, score double, vec_id long")
-    ranked = found.groupBy("query_id").agg(
-        F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))), 1, k).alias("top")
-    )
-    return ranked.select("query_id", F.posexplode("top").alias("pos", "x")).select(
+
+    def ranked(dealt: DataFrame, asking: DataFrame) -> DataFrame:
+        """query_id and its k best among the candidates of the blocks that it is dealt to."""
+        together = dealt.unionByName(asking).repartition("bucket", "block").sortWithinPartitions("bucket", "block", "kind")
+        found = map_arrow(together, meet, "query_id long, score double, vec_id long")
+        return found.groupBy("query_id").agg(
+            F.slice(F.array_sort(F.collect_set(F.struct((-F.col("score")).alias("s"), "vec_id", "score"))), 1, k).alias("top")
+        )
+
+    best = checkpoint(ranked(dealt, asking))
+    # Queries that met fewer candidates than there are, and than k, meet all classes, in blocks as well.
+    total = classes.agg(F.sum(F.size("ids")).alias("ids"), F.count("*").alias("n")).first()
+    enough = best.filter(F.size("top") >= min(k, total["ids"] - 1))
+    short = checkpoint(asked.join(enough.select("query_id").hint("merge"), F.get("ids", F.lit(0)) == F.col("query_id"), "left_anti"))
+    if total["ids"] > 1 and not short.isEmpty():
+        blocks = -(-total["n"] // probing.block_rows)
+        bucket, place_of = F.lit(0).cast("long").alias("bucket"), F.pmod(F.xxhash64("v"), F.lit(blocks)).cast("int")
+        every = F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))
+        dealt = classes.select(bucket, place_of.alias("block"), F.lit(0).alias("kind"), "v", "ids")
+        asking = short.select(bucket, every.alias("block"), F.lit(1).alias("kind"), "v", "ids")
+        best = enough.unionByName(ranked(dealt, asking))
+    return best.select("query_id", F.posexplode("top").alias("pos", "x")).select(
         "query_id", (F.col("pos") + 1).alias("rank"), F.col("x.vec_id").alias("vec_id"), F.col("x.score").alias("score")
     )

@@ -209,6 +209,15 @@ def test_neighbours_awkward(spark):
     assert neighbours.search(one, F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_neighbours_all_if_fewer(spark):
+    """A table of 15 rows gives each query all 14 others, though the buckets of most don't hold them all."""
+    x = np.random.RandomState(15).randn(15, 16)
+    vectors = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = neighbours.search(vectors, F.lit(True), probing=neighbours.Probing(block_rows=4)).orderBy("query_id", "rank").collect()
+    want = [(q, r, int(v)) for q in range(15) for r, v in enumerate([v for v in np.argsort(-(x @ x[q])) if v != q], 1)]
+    assert [(r.query_id, r.rank, r.vec_id) for r in got] == want
+
+
 def test_suffixes(some):
     rows = pairs(some)
     want = [

@@ -96,3 +96,27 @@ steps AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, s.b FROM reach r JOIN steps s ON r.b = s.a)
 SELECT doc_id, COALESCE(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM (SELECT a AS doc_id, MIN(b) AS component_id FROM reach GROUP BY a) LEFT JOIN sizes USING (doc_id)"""
+
+
+_TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+
+def _terms(table: str, key: str) -> str:
+    lower = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"SELECT {key}, unnest(regexp_extract_all({lower}, '{_TERM}')) AS term FROM {table}"
+
+
+LEXICAL_SEARCH = f"""WITH terms AS ({_terms('documents', 'doc_id')}),
+tfs AS (SELECT doc_id, term, COUNT(*) AS tf FROM terms GROUP BY ALL),
+lengths AS (SELECT doc_id, SUM(tf)::BIGINT AS n FROM tfs GROUP BY ALL),
+totals AS (SELECT COUNT(*) AS docs, SUM(n)::BIGINT AS total FROM lengths),
+norms AS (SELECT doc_id, 100 - 90 + ((90 * n * docs) // total) AS m FROM lengths, totals),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, COUNT(*) AS df FROM tfs GROUP BY ALL), totals),
+asked AS (SELECT DISTINCT item_id, term FROM ({_terms('benchmark', 'item_id')})),
+scores AS (
+  SELECT item_id, doc_id, SUM(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score
+  FROM asked JOIN weights USING (term) JOIN tfs USING (term) JOIN norms USING (doc_id) GROUP BY ALL),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS nth FROM scores WHERE score > 0)
+SELECT item_id, CAST(nth AS INTEGER) AS rank, doc_id, score FROM ranked WHERE nth <= 10"""

@@ -1,15 +1,19 @@
-"""Registered queries of the ten operators, each over its whole table, and their check SQL where there is one."""
+"""Registered queries of the operators, each over its whole table, and their check SQL where there is one."""
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from laborlens.llm import bpe, check_sql, chunks, language_model, lines, minhash, neighbours, packing, quality, secrets, suffixes
-from laborlens.llm.frames import read_table
+from laborlens.llm import (
+    bpe, check_sql, chunks, language_model, lexical, lines, minhash, neighbours, packing, periodic, quality, secrets, suffixes,
+    token_store,
+)
+from laborlens.llm.frames import read_table, scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 #: The others have hashes, tokens, trained weights or recall below one in their results, or are too slow in SQL.
@@ -18,6 +22,7 @@ ORACLES: dict[str, str] = {
     "op3_secret_scans": check_sql.secret_scans(secrets.ASSIGN, secrets.ACCESS, secrets.HEX, secrets.OPAQUE),
     "op6_quality_rules": check_sql.QUALITY_RULES,
     "op10_minhash": check_sql.MINHASH,
+    "op11_lexical_search": check_sql.LEXICAL_SEARCH,
 }
 
 
@@ -88,3 +93,25 @@ def op9_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups of documents whose sets of three-word shingles have a similarity of 0.85 or more."""
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents"), words=3, similarity=85)
+
+
+@query
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten highest-scoring documents of each benchmark item, among all documents."""
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of periodic words of each document, a tenth of which are made periodic first."""
+    return periodic.report(periodic.make_periodic(read_table(spark, sf_dir, "documents")))
+
+
+@query
+def op13_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Place, number and checksum of each document's ids, as read from the files that hold those of all documents."""
+    path = f"{scratch(spark)}/tokens-{uuid.uuid4().hex}"
+    tokenizer = public_tokenizers.path("byte_bpe_50k.json")
+    token_store.write(read_table(spark, sf_dir, "documents"), path, tokenizer, public_tokenizers.PATTERN)
+    found = token_store.read_documents(spark, path)
+    return found.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))

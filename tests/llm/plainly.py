@@ -122,3 +122,70 @@ def base_scores(rows):
     return [
         (len(ws), sum(count[w] > 0 for w in ws), total, sum(math.log10((count[w] + 0.5) / below) for w in ws)) for ws in tokens
     ]
+
+
+TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
+
+
+def lexical(rows, items, most=10):
+    """(item, rank, doc_id, score) of all items; rows and items of (id, text)."""
+
+    def terms(text):
+        return TERM.findall((text or "").encode().translate(LOWER).decode())
+
+    docs = [(i, collections.Counter(terms(t))) for i, t in rows]
+    docs = [(i, c) for i, c in docs if c]
+    total = sum(sum(c.values()) for _, c in docs)
+    df = collections.Counter(t for _, c in docs for t in c)
+    asked = collections.defaultdict(set)
+    for i, t in items:
+        asked[i] |= set(terms(t))
+    out = []
+    for item, own in asked.items():
+        scored = []
+        for i, c in docs:
+            m = 10 + 90 * sum(c.values()) * len(docs) // total
+            score = 0
+            for t in own & set(c):
+                w = math.floor(1000 * math.log((2 * len(docs) + 2) / (2 * df[t] + 1)))
+                score += w * (10**9 * c[t] // (1000 * c[t] + 8 * m))
+            if score > 0:
+                scored.append((-score, i is None, i))
+        scored.sort(key=lambda x: (x[0], x[1], x[2] or 0))
+        out += [(item, k + 1, i, -s) for k, (s, _, i) in enumerate(scored[:most])]
+    return out
+
+
+def periodic(words, least=12):
+    """(start, length, period) of all runs of a list of words, by trying every period."""
+    found = {}
+    for q in range(1, len(words) // 2 + 1):
+        i = 0
+        while i + q < len(words):
+            j = i
+            while j + q < len(words) and words[j] == words[j + q]:
+                j += 1
+            if j + q - i >= max(least, 2 * q):
+                found.setdefault((i, j + q), q)
+            i = max(j, i + 1)
+    return sorted(((s, e - s, q) for (s, e), q in found.items()), key=lambda r: (r[0], r[2]))
+
+
+def made_periodic(doc_id, text):
+    w, h = words(text), zlib.crc32(b"" if doc_id is None else str(doc_id).encode())
+    if h % 10 or not w:
+        return w
+    n, g = len(w), h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return w[:a] + [w[a + (i - a) % p] for i in range(a, n)]
+
+
+def periodic_report(doc_id, text):
+    w = made_periodic(doc_id, text)
+    runs = periodic(w)
+    gone = {i for s, n, q in runs for i in range(s + q, s + n)}
+    best = min(runs, key=lambda r: (-r[1], r[0], r[2]), default=None)
+    listed = "".join(f"{s},{n},{q}\n" for s, n, q in runs)
+    kept = b" ".join(x for i, x in enumerate(w) if i not in gone)
+    return (doc_id, len(runs), *(best or (None,) * 3), 1000 * best[1] // best[2] if best else None, sha(listed), sha(kept))

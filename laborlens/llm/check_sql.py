@@ -3,12 +3,26 @@
 LINE_DEDUP = """WITH lines AS (
   SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i
   FROM (SELECT doc_id, string_split(COALESCE(text, ''), chr(10)) AS l FROM documents)),
-pairs AS (
-  SELECT *, row_number() OVER (PARTITION BY line, next ORDER BY doc_id, i) AS nth
-  FROM (SELECT *, LEAD(line) OVER (PARTITION BY doc_id ORDER BY i) AS next FROM lines)
-  WHERE next IS NOT NULL AND length(line) + length(next) >= 40),
-gone AS (SELECT doc_id, i FROM pairs WHERE nth > 1 UNION SELECT doc_id, i + 1 FROM pairs WHERE nth > 1),
-marked AS (SELECT l.*, g.i IS NOT NULL AS gone FROM lines l LEFT JOIN gone g USING (doc_id, i)),
+filled AS (
+  SELECT *, row_number() OVER d AS k, length(line) AS n, SUM(length(line)) OVER d AS upto
+  FROM lines WHERE line <> '' WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+near AS (
+  SELECT a.doc_id, a.k AS s, b.k AS e FROM filled a JOIN filled b
+  ON a.doc_id = b.doc_id AND b.k BETWEEN a.k AND a.k + 39 AND b.upto - a.upto + a.n >= 40),
+windows AS (
+  SELECT doc_id, s, MIN(e) AS e FROM near GROUP BY doc_id, s UNION SELECT doc_id, MAX(s) AS s, e FROM near GROUP BY doc_id, e),
+texts AS (
+  SELECT w.doc_id, s, e, string_agg(line, chr(10) ORDER BY k) AS t
+  FROM windows w JOIN filled f ON w.doc_id = f.doc_id AND k BETWEEN s AND e GROUP BY ALL),
+later AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY doc_id, s) AS nth FROM texts) WHERE nth > 1),
+gone AS (SELECT DISTINCT f.doc_id, f.i FROM filled f JOIN later w ON f.doc_id = w.doc_id AND f.k BETWEEN w.s AND w.e),
+flagged AS (
+  SELECT l.*, CASE WHEN l.line <> '' THEN g.i IS NOT NULL END AS flag FROM lines l LEFT JOIN gone g ON l.doc_id = g.doc_id AND l.i = g.i),
+marked AS (
+  SELECT doc_id, line, i, CASE WHEN before IS NULL AND after IS NULL THEN FALSE ELSE COALESCE(before, TRUE) AND COALESCE(after, TRUE) END AS gone
+  FROM (SELECT *, last_value(flag IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS before,
+    first_value(flag IGNORE NULLS) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS after
+    FROM flagged)),
 edged AS (SELECT *, gone AND NOT COALESCE(LAG(gone) OVER (PARTITION BY doc_id ORDER BY i), FALSE) AS opens FROM marked)
 SELECT doc_id, COUNT(*) AS n_lines, COUNT(*) FILTER (gone) AS n_removed, COUNT(*) FILTER (opens) AS n_runs,
   sha256(COALESCE(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256

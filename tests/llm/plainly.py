@@ -47,20 +47,32 @@ def base_secrets(text):
     return [f"{kind}:{start}:{end}" for start, _, end, kind in sorted(out)]
 
 
-def line_dedup(rows, run=2, min_chars=40):
+def line_dedup(rows, min_chars=40):
     """doc_id -> (n_lines, n_removed, digest); rows of (doc_id, text) with distinct ids."""
     seen, out = set(), {}
     for doc_id, text in sorted(rows):
         lines = (text or "").split("\n")
-        gone = [False] * len(lines)
-        for s in range(len(lines) - run + 1):
-            window = tuple(lines[s : s + run])
-            if sum(map(len, window)) < min_chars:
-                continue
-            if window in seen:
-                gone[s : s + run] = [True] * run
-            seen.add(window)
-        out[doc_id] = (len(lines), sum(gone), sha("\n".join(x for x, g in zip(lines, gone) if not g)))
+        filled = [i for i, x in enumerate(lines) if x]
+        gone = dict.fromkeys(filled, False)
+        for s in range(len(filled)):
+            # Every stretch of enough characters; those longer than it takes hold nothing else than shorter ones from either end.
+            for e in range(s, min(len(filled), s + min_chars)):
+                stretch = tuple(lines[i] for i in filled[s : e + 1])
+                size = sum(map(len, stretch))
+                if size < min_chars:
+                    continue
+                if size - len(stretch[-1]) < min_chars or size - len(stretch[0]) < min_chars:
+                    if stretch in seen:
+                        gone |= dict.fromkeys(filled[s : e + 1], True)
+                    seen.add(stretch)
+                else:
+                    break
+        flags = []
+        for i, x in enumerate(lines):
+            before = [gone[j] for j in filled if j <= i][-1:]
+            after = [gone[j] for j in filled if j >= i][:1]
+            flags.append(bool(before or after) and all(before + after))
+        out[doc_id] = (len(lines), sum(flags), sha("\n".join(x for x, g in zip(lines, flags) if not g)))
     return out
 
 
@@ -78,6 +90,40 @@ def repeats(texts, length=200):
     return out
 
 
+def gear_cuts(data, gear, memory=12, near=14, longest=1024):
+    """Ends of the chunks of a text: where the hash of the last bytes is the smallest (first of equal ones) on both sides."""
+    h = [0] * len(data)
+    for i in range(memory - 1, len(data)):
+        for b in data[i - memory + 1 : i + 1]:
+            h[i] = (h[i] << 1) + gear[b] & 0xFFFFFFFF
+    cuts = []
+    for i in range(memory + near - 1, len(data) - near):
+        around = [(h[j], j) for j in range(i - near, i + near + 1)]
+        if min(around) == (h[i], i):
+            cuts.append(i + 1)
+    out, at = [], 0
+    for c in [*cuts, len(data)] if data else []:
+        while c - at > longest:
+            at += longest
+            out.append(at)
+        if c > at:
+            out.append(c)
+            at = c
+    return out
+
+
+def pieces(data, ends, shortest):
+    """Starts and ends of the stretches of chunks of ``shortest`` bytes, by start."""
+    starts = [0, *ends[:-1]] if ends else []
+    out = set()
+    for s in starts:
+        far = [e for e in ends if e - s >= shortest]
+        if far:
+            out.add((s, far[0]))
+    out |= {max((s, ends[-1]) for s in starts if ends[-1] - s >= shortest)} if ends and ends[-1] >= shortest else set()
+    return sorted(out)
+
+
 def shingles(text, n):
     w = words(text, lower=True)
     return frozenset(zip(*(w[i:] for i in range(n)))) if len(w) >= n else frozenset([tuple(w)] if w else [])

@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from laborlens.llm import (
-    bpe, chunks, components, language_model, lines, minhash, neighbours, packing, quality, queries, secrets, suffixes,
+    bpe, chunks, components, language_model, lines, minhash, neighbours, packing, quality, queries, secrets, spans,
+    suffixes,
 )
 
 RANKS, JSON = P.path("byte_bpe_50k.tiktoken"), P.path("byte_bpe_50k.json")
@@ -342,25 +343,29 @@ def test_probabilities_add_up():
 
 def test_chunks(documents, awkward):
     for df in (documents, awkward.dropDuplicates(["doc_id"])):
-        seen, want = {}, {}
-        for i, t in sorted((i, t or "") for i, t in pairs(df)):
-            parts = _chunks_of(t)
-            marks = []
-            for k, part in enumerate(parts):
-                marks.append(seen.setdefault(part, (i, k)) != (i, k))
-            kept, k = b"", 0
-            while k < len(parts):
-                end = k
-                while end < len(parts) and marks[end] == marks[k]:
-                    end += 1
-                run = b"".join(parts[k:end])
-                kept += b"" if marks[k] and len(run) >= 80 else run
-                k = end
-            want[i] = (len(t.encode()), len(t.encode()) - len(kept), plainly.sha(kept))
+        seen, want = set(), {}
+        for i, t in sorted((i, (t or "").encode()) for i, t in pairs(df)):
+            gone = bytearray(len(t))
+            for a, b in plainly.pieces(t, plainly.gear_cuts(t, chunks._GEAR.tolist()), 80):
+                if t[a:b] in seen:
+                    gone[a:b] = b"\x01" * (b - a)
+                seen.add(t[a:b])
+            want[i] = (len(t), sum(gone), plainly.sha(bytes(x for x, g in zip(t, gone) if not g)))
         got = {r.doc_id: (r.n_bytes, r.n_removed, r.kept_sha256) for r in chunks.deduplicate(df).collect()}
         assert got == want
 
 
+def test_what_goes_stands_earlier(documents):
+    """Each removed piece is found, as one string, in the document named or before in its own."""
+    texts = {i: (t or "").encode() for i, t in pairs(documents)}
+    found = chunks.repeated_pieces(spans.keyed(documents)).collect()
+    assert len(found) > 100
+    for r in found:
+        piece = texts[r.doc_id][r.start : r.end]
+        assert len(piece) >= 80
+        assert 0 <= texts[r.first].find(piece) and (r.first < r.doc_id or texts[r.doc_id].find(piece) < r.start)
+
+
 def _chunks_of(text):
     import pyarrow as pa
 

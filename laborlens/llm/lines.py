@@ -1,8 +1,10 @@
 """Line deduplication by winnowing, in built-in functions only.
 
-Lines are hashed. Of each window of ``run`` consecutive lines the smallest hash is selected as its fingerprint, so that any
-two equal runs of that many lines share a fingerprint at the same place. Positions are joined on fingerprints; a match is
-extended to both sides over its window, and windows that overlap make up longer runs. What is repeated later is deleted.
+Lines are hashed. A window is the shortest stretch of lines from one line on, or up to one line, that has a least number of
+characters: a long line alone, or several short ones. Of each window the line with the smallest hash is selected as its
+fingerprint, so that any two equal stretches of that many characters share a fingerprint at the same place, and a long line
+always is one. Positions are joined on fingerprints; those that stand once drop out. A match is extended from its fingerprint
+to both sides over its window, and windows that touch make up longer runs. What is repeated later is deleted.
 """
 
 from __future__ import annotations
@@ -12,97 +14,141 @@ from pyspark.sql import functions as F
 
 from laborlens.llm.frames import checkpoint, row_hash, same, split_join
 
+#: Names that the result adds.
+ADDED = ["kept_text", "n_lines", "n_removed", "n_runs"]
 
-def _windows(docs: DataFrame, run: int, min_chars: int) -> DataFrame:
-    """doc_id, h, start, and of each window the fingerprint, its place in the window and the hash of all its lines."""
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("h"), lines.alias("lines"))
-    rows = rows.filter(F.size("lines") >= run).select(
+
+def _lines(text: str = "text") -> Column:
+    return F.split(F.coalesce(F.col(text), F.lit("")), "\n", -1)
+
+
+def _filled(lines: str) -> Column:
+    """Places of the lines that are not empty."""
+    return F.filter(F.sequence(F.lit(0), F.size(lines) - 1), lambda i: F.length(F.get(lines, i)) > 0)
+
+
+def _windows(docs: DataFrame, min_chars: int) -> DataFrame:
+    """doc_id, h, start and size (in non-empty lines) of each window, its fingerprint, and the hash of what lies to the left
+    and to the right of it."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("h"), _lines().alias("lines"))
+    filled = F.filter("lines", lambda x: F.length(x) > 0)
+    rows = rows.select("doc_id", "h", filled.alias("lines")).filter(F.size("lines") > 0).select(
         "doc_id", "h", F.transform("lines", lambda x: F.xxhash64(x)).alias("hashes"),
-        F.transform("lines", lambda x: F.length(x)).alias("chars"),
+        F.transform("lines", lambda x: F.least(F.length(x), F.lit(min_chars))).alias("chars"),
     )
 
-    def window(s: Column) -> Column:
-        place = F.sequence(F.lit(0), F.lit(run - 1))
-        least = F.array_min(
-            F.transform(place, lambda d: F.struct(F.get("hashes", s + d).alias("fingerprint"), d.alias("place")))
-        )
-        inside = F.aggregate(F.slice("chars", s + 1, run), F.lit(0), lambda a, x: a + x)
-        return F.struct(
-            s.alias("start"), least["fingerprint"].alias("fingerprint"), least["place"].alias("place"),
-            F.xxhash64(F.slice("hashes", s + 1, run)).alias("extent"), (inside >= min_chars).alias("counts"),
+    def needed(chars: Column) -> Column:
+        """How many of these lines have the characters together; null if they don't."""
+        start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
+        end = F.aggregate(
+            chars, start,
+            lambda a, x: F.when(a["sum"] >= min_chars, a).otherwise(F.struct((a["sum"] + x).alias("sum"), (a["n"] + 1).alias("n"))),
         )
-
-    starts = F.sequence(F.lit(0), F.size("hashes") - run)
-    return rows.select("doc_id", "h", F.explode(F.transform(starts, window)).alias("w")).select("doc_id", "h", "w.*")
+        return F.when(end["sum"] >= min_chars, end["n"])
+
+    # A line has one character at least, so no window has more than min_chars lines.
+    def onward(s: Column) -> Column:
+        n = needed(F.slice("chars", s + 1, min_chars))
+        return F.struct(s.alias("start"), F.when(F.get("chars", s) >= min_chars, 1).otherwise(n).alias("size"))
+
+    def back(e: Column) -> Column:
+        begin = F.greatest(e - (min_chars - 1), F.lit(0))
+        n = needed(F.reverse(F.slice("chars", begin + 1, e - begin + 1)))
+        n = F.when(F.get("chars", e) < min_chars, n)
+        return F.struct((e - n + 1).alias("start"), n.alias("size"))
+
+    def selected(w: Column) -> Column:
+        alone = F.struct(F.get("hashes", w["start"]).alias("value"), F.lit(0).alias("at"))
+        least = F.array_min(F.transform(
+            F.sequence(F.lit(0), w["size"] - 1), lambda d: F.struct(F.get("hashes", w["start"] + d).alias("value"), d.alias("at"))
+        ))
+        return F.when(w["size"] == 1, alone).otherwise(least)
+
+    places = F.sequence(F.lit(0), F.size("hashes") - 1)
+    all_of = F.array_distinct(F.concat(F.transform(places, onward), F.transform(places, back)))
+    found = rows.withColumn("windows", F.filter(all_of, lambda w: w["size"].isNotNull()))
+    found = found.select("doc_id", "h", "hashes", F.explode(F.transform("windows", lambda w: F.struct(
+        w["start"].alias("start"), w["size"].alias("size"), selected(w).alias("print")
+    ))).alias("w"))
+    left = F.xxhash64(F.slice("hashes", F.col("w.start") + 1, F.col("w.print.at")))
+    right = F.xxhash64(F.slice("hashes", F.col("w.start") + F.col("w.print.at") + 2, F.col("w.size") - F.col("w.print.at") - 1))
+    single = F.col("w.size") == 1
+    return found.select(
+        "doc_id", "h", "w.start", "w.size", F.col("w.print.value").alias("fingerprint"),
+        (F.col("w.start") + F.col("w.print.at")).alias("line"),
+        F.when(single, F.lit(0)).otherwise(left).alias("left"), F.when(single, F.lit(0)).otherwise(right).alias("right"),
+    )
 
 
-def repeated_windows(docs: DataFrame, run: int = 2, min_chars: int = 40) -> DataFrame:
-    """doc_id, h and start of the windows that an earlier window equals, by doc_id, row hash and line."""
-    windows = _windows(docs, run, min_chars).filter("counts").drop("counts")
-    where = F.struct("doc_id", "h", (F.col("start") + F.col("place")).alias("line"))
+def repeated_windows(docs: DataFrame, min_chars: int = 40) -> DataFrame:
+    """doc_id, h, start and size of the windows that an earlier window equals, by doc_id, row hash and line."""
+    windows = _windows(docs, min_chars)
     # Two places at least: a fingerprint whose first and last place agree has no partner.
+    where = F.xxhash64("doc_id", "h", "line")
     prints = windows.groupBy("fingerprint").agg(F.min(where).alias("first"), F.max(where).alias("last"))
-    shared = prints.filter(~same(F.col("first"), F.col("last"))).select("fingerprint")
+    shared = prints.filter("first <> last").select("fingerprint")
     matched = checkpoint(split_join(windows, shared, "fingerprint", "left_semi"))
+    # From the fingerprint to both sides.
+    extent = ["fingerprint", "left", "right", "size"]
     here = F.struct("doc_id", "h", "start")
-    first = matched.groupBy("fingerprint", "place", "extent").agg(F.min(here).alias("first"))
-    later = split_join(matched, first, ["fingerprint", "place", "extent"])
-    return later.filter(~same(here, F.col("first"))).select("doc_id", "h", "start")
+    first = matched.groupBy(*extent).agg(F.min(here).alias("first"))
+    later = split_join(matched, first, extent)
+    return later.filter(~same(here, F.col("first"))).select("doc_id", "h", "start", "size")
 
 
-def deduplicate(docs: DataFrame, run: int = 2, min_chars: int = 40) -> DataFrame:
+def deduplicate(docs: DataFrame, min_chars: int = 40) -> DataFrame:
     """``docs`` with ``kept_text``, ``n_lines``, ``n_removed`` and ``n_runs``.
 
-    A line goes if it lies in a run of ``run`` or more lines, of ``min_chars`` characters in each window of ``run``, that
-    stands earlier: in a row of smaller doc_id (null first, ties by a hash of the row) or before in the same row. Lines
-    are cut at \\n and compared exactly; null text is empty and counts one empty line. Rows that repeat id and text are
-    one document and keep the same lines. Columns of those four names are replaced, others stay.
+    A line goes if it lies in a stretch of lines with ``min_chars`` characters or more together that stands earlier: in a row
+    of smaller doc_id (null first, ties by a hash of the row) or before in the same row. One long line is such a stretch, and
+    so are several short ones. Lines are cut at \\n. Empty lines are left out of the comparison; they go where the nearest
+    other lines on both sides go (or there is none on one side). n_runs counts the stretches of removed lines.
+
+    Null text is empty and counts one empty line. Rows that repeat id and text are one document and keep the same lines. Lines
+    and stretches are told apart by 64 bits or more. Columns of those four names are replaced, others stay.
     """
-    gone = repeated_windows(docs, run, min_chars).distinct()
-    by_document = gone.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(
-        F.sort_array(F.collect_list("start")).alias("_starts")
+    gone = repeated_windows(docs, min_chars)
+    spans = gone.groupBy(F.col("doc_id").alias("_id"), F.col("h").alias("_h")).agg(
+        F.collect_set(F.struct("start", "size")).alias("_spans")
     )
-    # Runs of starts, so that each line is looked up once: lines from the start of a run to the end of its last window.
-    empty = F.array().cast("array<struct<from:int,to:int>>")
-
-    def grow(acc: Column, s: Column) -> Column:
-        end = s + run
-        joins = (F.size(acc) > 0) & (F.element_at(acc, -1)["to"] >= s)
-        fresh = F.struct(s.alias("from"), end.alias("to"))
-        longer = F.struct(F.element_at(acc, -1)["from"].alias("from"), end.alias("to"))
-        return F.when(joins, F.array_append(F.slice(acc, 1, F.size(acc) - 1), longer)).otherwise(F.array_append(acc, fresh))
-
-    runs = by_document.select("_id", "_h", F.aggregate("_starts", empty, grow).alias("_runs"))
-    keyed = docs.withColumn("_row", row_hash())
-    joined = keyed.join(runs, same(F.col("doc_id").cast("long"), F.col("_id")) & (F.col("_row") == F.col("_h")), "left")
-    lines = F.split(F.coalesce(F.col("text"), F.lit("")), "\n", -1)
-    # The lines between one removed run and the next.
-    bounds = F.concat(F.array(F.struct(F.lit(0).alias("from"), F.lit(0).alias("to"))), F.col("_runs"))
-    ends = F.concat(F.transform("_runs", lambda r: r["from"]), F.array(F.size("_lines")))
-    between = F.transform(bounds, lambda r, i: F.slice("_lines", r["to"] + 1, F.get(ends, i) - r["to"]))
-    kept = F.when(F.col("_runs").isNull(), F.col("_lines")).otherwise(F.flatten(between))
-    cut = joined.withColumn("_lines", lines).withColumn("_kept", kept)
-    text = F.when(F.col("_runs").isNull(), F.col("text")).otherwise(F.array_join("_kept", "\n"))
+    keyed = docs.drop(*ADDED).withColumn("_row", row_hash())
+    joined = keyed.join(spans, same(F.col("doc_id").cast("long"), F.col("_id")) & (F.col("_row") == F.col("_h")), "left")
+    cut = joined.withColumn("_lines", _lines())
+    some, last = F.col("_spans").isNotNull(), F.size("_lines") - 1
+    # The non-empty lines that go, in order; each takes along the empty ones after it if the next one goes too or is missing.
+    each = F.flatten(F.transform("_spans", lambda s: F.sequence(s["start"], s["start"] + s["size"] - 1)))
+    cut = cut.withColumn("_gone", F.when(some, F.sort_array(F.array_distinct(each)))).withColumn("_filled", F.when(some, _filled("_lines")))
+
+    def places(g: Column, i: Column) -> Column:
+        begin = F.when(g == 0, 0).otherwise(F.get("_filled", g))
+        follows = F.get("_gone", i + 1) == g + 1
+        end = F.when(g == F.size("_filled") - 1, last).when(follows, F.get("_filled", g + 1) - 1).otherwise(F.get("_filled", g))
+        return F.sequence(begin, end)
+
+    cut = cut.withColumn("_out", F.flatten(F.transform("_gone", places)))
+    stay = F.array_except(F.sequence(F.lit(0), last), F.col("_out"))
+    kept = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
+    opens = F.filter("_out", lambda x, i: (i == 0) | (F.get("_out", i - 1) != x - 1))
     out = cut.withColumns({
-        "kept_text": text,
+        "kept_text": F.when(some, kept).otherwise(F.col("text")),
         "n_lines": F.size("_lines").cast("long"),
-        "n_removed": (F.size("_lines") - F.size("_kept")).cast("long"),
-        "n_runs": F.coalesce(F.size("_runs"), F.lit(0)).cast("long"),
+        "n_removed": F.when(some, F.size("_out")).otherwise(0).cast("long"),
+        "n_runs": F.when(some, F.size(opens)).otherwise(0).cast("long"),
     })
-    extra = ["kept_text", "n_lines", "n_removed", "n_runs"]
-    return out.select(*[c for c in docs.columns if c not in extra], *extra)
+    return out.select(*[c for c in docs.columns if c not in ADDED], *ADDED)
 
 
-def report(docs: DataFrame, run: int = 2, min_chars: int = 40) -> DataFrame:
-    """doc_id, n_lines, n_removed, n_runs and the digest of the text that stays."""
-    out = deduplicate(docs.select("doc_id", "text"), run, min_chars)
+def report(docs: DataFrame, min_chars: int = 40) -> DataFrame:
+    """doc_id, n_lines, n_removed, n_runs and the digest of the text that stays; nulls, ties, repeated rows and extra columns
+    as in :func:`deduplicate`."""
+    out = deduplicate(docs.select("doc_id", "text"), min_chars)
     digest = F.sha2(F.coalesce(F.col("kept_text"), F.lit("")), 256)
     return out.select(F.col("doc_id").cast("long").alias("doc_id"), "n_lines", "n_removed", "n_runs", digest.alias("kept_sha256"))
 
 
-def keep_first(docs: DataFrame, run: int = 2, min_chars: int = 40) -> DataFrame:
-    """``docs`` with repeated runs taken out of ``text``; rows of which nothing is left go."""
-    out = deduplicate(docs.select(*docs.columns), run, min_chars)
-    left = out.filter((F.col("n_removed") < F.col("n_lines")) | (F.col("n_removed") == 0))
-    return left.withColumn("text", F.col("kept_text")).select(*docs.columns)
+def keep_first(docs: DataFrame, min_chars: int = 40) -> DataFrame:
+    """``docs`` with repeated runs taken out of ``text``; rows of which nothing is left go. Columns stay as they are, also those
+    whose names :func:`deduplicate` adds."""
+    key = docs.select("doc_id", "text", F.struct(*docs.columns).alias("_whole"))
+    out = deduplicate(key, min_chars).filter((F.col("n_removed") < F.col("n_lines")) | (F.col("n_removed") == 0))
+    return out.select(*[F.col("kept_text").alias(c) if c == "text" else F.col("_whole")[c].alias(c) for c in docs.columns])

@@ -1,8 +1,9 @@
 """Substring deduplication by content-defined chunks.
 
 A gear hash rolls over the bytes; a chunk ends where the hash is the smallest within a fixed distance on both sides. That
-depends on the bytes around the place alone, so chunks of equal passages are equal again soon after an insertion, and none
-is shorter than that distance. Chunks are deduplicated by digest: the first, by document and place, stays.
+depends on the bytes around the place alone, so chunks of equal passages are equal again soon after an insertion. What is
+compared by digest are pieces of as many neighbouring chunks as make up a shortest length: the first of equal pieces, by
+document and place, stays. So whatever goes stands earlier as one piece of that length, never as chunks from here and there.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from laborlens.llm.spans import KEY, cut, keyed, packed
 
 #: Bytes that the rolling hash remembers, those that decide on cuts, distance within which a cut is the only one, and the
 #: longest chunk. Cuts inside a passage are the same everywhere from CUT_BYTES + NEAR after its start to NEAR before its end.
-GEAR_BYTES, CUT_BYTES, NEAR, LONGEST = 32, 12, 10, 1024
+GEAR_BYTES, CUT_BYTES, NEAR, LONGEST = 32, 12, 14, 1024
 
 _GEAR = (B.BYTE_VALUE >> np.uint64(32)).astype(np.uint32)
 
@@ -87,54 +88,79 @@ def boundaries(docs: B.Docs, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return edges, ends
 
 
-def _chunk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """doc_id, tag, place (start << 16 | length), digest in two parts; the first of equal chunks in a document only, and
+def pieces(docs: B.Docs, data: np.ndarray, shortest: int) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the pieces of all documents: from each chunk's start to the first end of a chunk that lies
+    ``shortest`` bytes on, and the one that closes the document. A document shorter than that is a piece as a whole."""
+    start, end = boundaries(docs, data)
+    owner = np.searchsorted(docs.starts, start, side="right") - 1
+    to = np.searchsorted(end, start + shortest)
+    long = to < len(end)
+    long[long] = owner[to[long]] == owner[long]
+    last = np.flatnonzero(np.r_[owner[1:] != owner[:-1], True])
+    back = np.searchsorted(start, end[last] - shortest, side="right") - 1
+    back = np.maximum(back, np.searchsorted(owner, owner[last]))
+    spans = np.r_[start[long] << 16 | (end[to[long]] - start[long]), start[back] << 16 | (end[last] - start[back])]
+    spans = np.unique(spans)
+    return spans >> 16, (spans >> 16) + (spans & 0xFFFF)
+
+
+def _pieces(shortest: int, whole: bool):
+    """doc_id, tag, place (start << 16 | length), digest in two parts; the first of equal pieces in a document only, and
     where the others stand as rows without a digest."""
-    for docs in B.documents(batches):
-        data = docs.joined()
-        if not docs.lengths.any():
-            continue
-        start, end = boundaries(docs, data)
-        owner = np.searchsorted(docs.starts, start, side="right") - 1
-        digest = B.Prefix(data).spans(start, end)
-        check = chunk_checks(data, start, end)
-        in_document = B.mix(digest + B.mix(owner.astype(np.uint64) + np.uint64(3)))
-        again = np.ones(len(start), bool)
-        again[np.unique(in_document, return_index=True)[1]] = False
-        take = pa.array(owner)
-        place = (start - docs.starts[owner]) << 16 | (end - start)
-        yield pa.RecordBatch.from_arrays(
-            [docs.rows.column(0).take(take), docs.rows.column(1).take(take), pa.array(place),
-             pa.array(digest.view(np.int64), mask=again), pa.array(check.astype(np.int32))],
-            [*KEY, "place", "digest", "check"],
-        )
-
-
-def repeated_chunks(docs: DataFrame) -> DataFrame:
-    """key, start, end and first (the doc_id where it stays) of the chunks that an earlier one equals."""
-    chunks = map_arrow(docs, _chunk, "doc_id long, tag int, place long, digest long, check int")
-    within = chunks.filter("digest is null").select(*KEY, "place", F.col("doc_id").alias("first"))
-    once = chunks.filter("digest is not null")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for docs in B.documents(batches):
+            data = docs.joined()
+            if not docs.lengths.any():
+                continue
+            start, end = pieces(docs, data, shortest)
+            if not whole:
+                start, end = start[end - start >= shortest], end[end - start >= shortest]
+            owner = np.searchsorted(docs.starts, start, side="right") - 1
+            digest = B.Prefix(data).spans(start, end)
+            check = chunk_checks(data, start, end)
+            in_document = B.mix(digest + B.mix(owner.astype(np.uint64) + np.uint64(3)))
+            again = np.ones(len(start), bool)
+            again[np.unique(in_document, return_index=True)[1]] = False
+            take = pa.array(owner)
+            place = (start - docs.starts[owner]) << 16 | (end - start)
+            yield pa.RecordBatch.from_arrays(
+                [docs.rows.column(0).take(take), docs.rows.column(1).take(take), pa.array(place),
+                 pa.array(digest.view(np.int64), mask=again), pa.array(check.astype(np.int32))],
+                [*KEY, "place", "digest", "check"],
+            )
+
+    return run
+
+
+def repeated_pieces(docs: DataFrame, shortest: int = 80, whole: bool = False) -> DataFrame:
+    """key, start, end and first (the doc_id where it stays) of the pieces that an earlier one equals."""
+    found = map_arrow(docs, _pieces(shortest, whole), "doc_id long, tag int, place long, digest long, check int")
+    within = found.filter("digest is null").select(*KEY, "place", F.col("doc_id").alias("first"))
+    once = found.filter("digest is not null")
     # A digest in a third of all documents is combined in each task before it moves; the join, which reads the owners from
     # a table, can split it.
     owners = once.groupBy("digest", "check").agg(F.min("doc_id").alias("first"), F.count("*").alias("n")).filter("n > 1")
     shared = once.join(stage(owners.drop("n")), ["digest", "check"]).select(*KEY, "place", "first")
-    found = shared.filter(~same(F.col("doc_id"), F.col("first"))).unionByName(within)
+    later = shared.filter(~same(F.col("doc_id"), F.col("first"))).unionByName(within)
     start = F.shiftright("place", 16)
-    return found.select(*KEY, start.alias("start"), (start + F.col("place").bitwiseAND(0xFFFF)).alias("end"), "first")
+    return later.select(*KEY, start.alias("start"), (start + F.col("place").bitwiseAND(0xFFFF)).alias("end"), "first")
 
 
 def deduplicate(docs: DataFrame, shortest: int = 80, with_text: bool = False, whole: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_bytes, n_removed, n_spans, kept_sha256 and shared_with.
 
-    Of equal chunks the first stays: that of the smallest doc_id and place. Others go where they make up runs of
-    ``shortest`` bytes or more, so that a phrase in common costs no document its text; with ``whole`` also where they make
-    up a whole document, however short. A passage goes without up to about 40 bytes at its ends, which its surroundings
-    cut. shared_with lists the doc_ids where
-    what was removed stays. Null text is empty. Rows of one id are one document: what they share among each other stays;
-    rows without an id keep what they share with rows that have none. Chunks are told apart by 95 bits. with_text adds
-    kept_text. Extra columns are ignored.
+    A piece is what lies between two cuts ``shortest`` bytes apart or little more. Of equal pieces the first stays: that of the
+    smallest doc_id and place. Bytes of the others go, so that everything that goes stands earlier within ``shortest`` equal
+    bytes or more, and a phrase in common costs no document its text. With ``whole`` a shorter document also goes if it equals
+    an earlier one. A passage goes without up to about 60 bytes at its ends, whose cuts its surroundings decide. shared_with
+    lists the doc_ids where what was removed stays.
+
+    Null text is empty. Rows of one id are one document: what they share among each other stays; rows without an id keep what
+    they share with rows that have none. Pieces are told apart by 95 bits. with_text adds kept_text. Extra columns are ignored.
     """
+    if not 0 < shortest <= 1 << 15:
+        raise ValueError("shortest: 1 to 32768 bytes")
     rows = keyed(docs)
-    out = cut(packed(rows), repeated_chunks(rows), shortest, with_text, whole)
+    out = cut(packed(rows), repeated_pieces(rows, shortest, whole), shortest, with_text, whole)
     return out.drop("tag")

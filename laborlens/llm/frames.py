@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import os
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -24,6 +28,21 @@ def scratch(spark: SparkSession) -> str:
     return spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir')}/_checkpoints"
 
 
+#: Shuffle files of a query go when it ends.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def without_leftovers(spark: SparkSession) -> Iterator[None]:
+    """What runs inside leaves no shuffle files behind, which would else stay until the driver collects its garbage."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+
+
 def checkpoint(df: DataFrame) -> DataFrame:
     """Cut the lineage with a reliable checkpoint in :func:`scratch`."""
     context = df.sparkSession.sparkContext
@@ -32,20 +51,22 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def split_join(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+def split_join(big: DataFrame, small: DataFrame, on, how: str = "inner", cut=checkpoint) -> DataFrame:
     """Join with the result of an aggregation on the same key, so that Spark can split a key that very many rows share.
 
-    It splits a join only where both sides come straight from a shuffle, which an aggregate's result doesn't; from a
-    checkpoint it does. The hint keeps the driver from building a broadcast for each of many small joins.
+    It splits a join only where both sides come straight from a shuffle, which an aggregate's result doesn't; from what
+    ``cut`` writes, a checkpoint or a table, it does. The hint keeps the driver from building a broadcast for each of many
+    small joins.
     """
-    return big.join(checkpoint(small).hint("merge"), on, how)
+    return big.join(cut(small).hint("merge"), on, how)
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Like :func:`checkpoint`, but a compressed table, for many rows; it goes when the driver ends."""
     spark = df.sparkSession
     path = f"{scratch(spark)}/staged-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with without_leftovers(spark):
+        df.write.parquet(path)
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     place.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(place)
     return spark.read.schema(df.schema).parquet(path)

@@ -12,13 +12,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from laborlens.llm import bytesops as B
 from laborlens.llm.components import connected_components
-from laborlens.llm.frames import checkpoint, map_arrow, split_join
-from laborlens.llm.spans import keyed, packed, unpack
+from laborlens.llm.frames import map_arrow, row_hash, split_join, stage
+from laborlens.llm.spans import unpack
 
 #: Bands and registers in a band. A pair of similarity 0.8 is missed with a chance of 3e-6, one of 0.85 with 7e-9.
 BANDS, ROWS = 32, 5
@@ -124,10 +125,10 @@ def _sketch(words: int):
             digest = sums[:, bounds[1:]] - sums[:, bounds[:-1]]
             yield pa.RecordBatch.from_arrays(
                 [
-                    docs.rows.column(0), pa.array(size), B.as_signed(digest[0].copy()), B.as_signed(digest[1].copy()),
-                    *(pa.array([r.tobytes() for r in x], pa.binary()) for x in (rows, shortened(rows))),
+                    *docs.rows.columns[:2], pa.array(size), B.as_signed(digest[0].copy()), B.as_signed(digest[1].copy()),
+                    pa.array([r.tobytes() for r in rows], pa.binary()),
                 ],
-                ["doc_id", "n_shingles", "d1", "d2", "registers", "short"],
+                ["doc_id", "h", "n_shingles", "d1", "d2", "registers"],
             )
 
     return run
@@ -139,14 +140,21 @@ def _bands(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             part = batch.slice(begin, 4096)
             rows = np.frombuffer(b"".join(part.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS)
             row, band = band_hashes(rows)
-            yield pa.RecordBatch.from_arrays([B.as_signed(band), part.column(0).take(pa.array(row))], ["band", "rep"])
+            yield pa.RecordBatch.from_arrays([B.as_signed(band), part.column(0).take(pa.array(row))], ["band", "node"])
+
+
+def _short(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        rows = np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint16).reshape(-1, REGISTERS)
+        short = pa.array([r.tobytes() for r in shortened(rows)], pa.binary())
+        yield pa.RecordBatch.from_arrays([*batch.columns[:2], short], ["node", "n_shingles", "short"])
 
 
 def _sets(words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = pa.array([unpack(x.as_py()) for x in batch.column(5)], pa.binary())
-            names = ["rep", "cluster", "blocks", "n_shingles", "d1", "text"]
+            names = ["node", "cluster", "blocks", "n_shingles", "d1", "text"]
             for docs in B.documents(iter([pa.RecordBatch.from_arrays([*batch.columns[:5], texts], names)])):
                 values, bounds = shingle_sets(docs, words)
                 parts = [values[a:b] for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -268,11 +276,11 @@ def _links(similarity: int, exact: bool):
 
 def _tiles(rows: DataFrame, group: str, content: str) -> DataFrame:
     """Rows with ``blocks``, the number of blocks of their group, dealt out so that any two of a group meet once."""
-    block = F.pmod(F.xxhash64("rep"), F.col("blocks").cast("long")).cast("int")
+    block = F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int")
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    dealt = rows.select(group, "rep", "n_shingles", content, block.alias("block"), other.alias("other")).select(
-        group, F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "rep", "n_shingles", content
-    )
+    dealt = rows.select(group, "node", "n_shingles", content, block.alias("block"), other.alias("other"))
+    i, j = F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j")
+    dealt = dealt.select(group, i, j, "block", "node", "n_shingles", content)
     return dealt.repartition(group, "i", "j").sortWithinPartitions(group, "i", "j")
 
 
@@ -280,50 +288,66 @@ def _blocks(rows: int) -> Column:
     return F.ceil(F.count("*") / rows).cast("int").alias("blocks")
 
 
-def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame:
-    """One row per row of ``docs``: doc_id, n_shingles, component_id and kept.
+def _grouped(docs: DataFrame, words: int, similarity: int) -> DataFrame:
+    """doc_id, h, n_shingles, root and least of each row: its group (null without shingles) and the smallest id in it.
 
-    Documents are linked when ``100 * intersection >= similarity * union`` of their sets of distinct word shingles, lower
-    case in A-Z. component_id is the smallest doc_id that links reach; kept where that is the row's own. Null and empty
-    texts have no shingles and are linked with nothing, like rows without an id, which are kept under a null component.
-    Documents with equal sets are one node, whatever their number, so copies are never paired. Rows of one id are one
-    document. Extra columns are ignored.
+    A node is a set of shingles, whatever rows have it, so that rows of one id with unlike texts are nodes of their own.
     """
-    rows = keyed(docs)
-    schema = "doc_id long, n_shingles long, d1 long, d2 long, registers binary, short binary"
-    sketches = map_arrow(rows.drop("tag"), _sketch(words), schema)
-    set_key = ["n_shingles", "d1", "d2"]
-    nodes = sketches.filter("n_shingles > 0 and doc_id is not null").groupBy(*set_key).agg(
-        F.min("doc_id").alias("rep"), F.first("registers").alias("registers"), F.first("short").alias("short")
-    )
-    nodes = checkpoint(nodes)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("h"), "text")
+    schema = "doc_id long, h long, n_shingles long, d1 long, d2 long, registers binary"
+    sketches = stage(map_arrow(rows, _sketch(words), schema))
+    node = F.xxhash64("n_shingles", "d1", "d2")
+    filled = sketches.filter("n_shingles > 0 and doc_id is not null")
+    nodes = stage(filled.groupBy(node.alias("node"), "n_shingles", "d1").agg(
+        F.min("doc_id").alias("rep"), F.first("registers").alias("registers")
+    ))
 
     # Candidates: nodes of one bucket whose registers are close enough.
-    bands = map_arrow(nodes.select("rep", "registers"), _bands, "band long, rep long")
+    bands = map_arrow(nodes.select("node", "registers"), _bands, "band long, node long")
     buckets = bands.groupBy("band").agg(F.count("*").alias("n"), _blocks(BUCKET_BLOCK)).filter("n > 1")
-    met = split_join(bands, buckets, "band").join(
-        nodes.select("rep", "n_shingles", "short").hint("merge"), "rep"
-    )
+    short = map_arrow(nodes.select("node", "n_shingles", "registers"), _short, "node long, n_shingles long, short binary")
+    met = split_join(bands, buckets.drop("n"), "band", cut=stage).join(short.hint("merge"), "node")
     near = map_arrow(_tiles(met, "band", "short"), _links(similarity, exact=False), "a long, b long")
-    clusters = checkpoint(connected_components(near).withColumnRenamed("component", "cluster"))
+    clusters = stage(connected_components(near).withColumnRenamed("component", "cluster"))
 
     # Their full sets, by cluster of candidates.
     sizes = clusters.groupBy("cluster").agg(_blocks(BLOCK))
-    members = split_join(clusters, sizes, "cluster").join(nodes.hint("merge"), F.col("node") == F.col("rep"))
-    members = members.select("rep", "cluster", "blocks", "n_shingles", "d1")
-    texts = members.join(packed(rows.filter("doc_id is not null")), F.col("rep") == F.col("doc_id"))
-    texts = texts.select("rep", "cluster", "blocks", "n_shingles", "d1", "packed")
-    sets = map_arrow(texts, _sets(words), "rep long, cluster long, blocks int, n_shingles long, shingles binary")
+    members = split_join(clusters, sizes, "cluster", cut=stage).join(nodes.drop("registers").hint("merge"), "node")
+    packed = map_arrow(rows.filter("doc_id is not null").select("doc_id", "text"), _pack, "doc_id long, packed binary")
+    texts = members.join(packed, F.col("rep") == F.col("doc_id"))
+    texts = texts.select("node", "cluster", "blocks", "n_shingles", "d1", "packed")
+    sets = map_arrow(texts, _sets(words), "node long, cluster long, blocks int, n_shingles long, shingles binary")
     links = map_arrow(_tiles(sets, "cluster", "shingles"), _links(similarity, exact=True), "a long, b long")
     groups = connected_components(links)
 
-    named = nodes.join(groups, F.col("rep") == F.col("node"), "left").select(
-        *set_key, F.coalesce("component", "rep").alias("component")
+    named = stage(
+        nodes.select("node", "rep").join(groups, "node", "left").select("node", "rep", F.coalesce("component", "node").alias("root"))
     )
-    found = sketches.drop("registers", "short").join(named, set_key, "left")
-    own = F.coalesce("component", "doc_id")
-    component = F.when(F.col("n_shingles") > 0, own).otherwise(F.col("doc_id"))
-    return found.select("doc_id", "n_shingles", component.alias("component_id")).withColumn(
+    least = named.groupBy("root").agg(F.min("rep").alias("least"))
+    named = split_join(named.drop("rep"), least, "root", cut=stage)
+    own = F.when((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull(), node)
+    found = sketches.drop("registers").withColumn("node", own)
+    return found.join(named, "node", "left").select("doc_id", "h", "n_shingles", "root", "least")
+
+
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    squeeze = zstandard.ZstdCompressor(level=1).compress
+    for batch in batches:
+        texts = [squeeze((t.as_py() or "").encode()) for t in batch.column(1)]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(texts, pa.binary())], ["doc_id", "packed"])
+
+
+def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame:
+    """One row per row of ``docs``: doc_id, n_shingles, component_id and kept.
+
+    Documents are linked when ``100 * intersection >= similarity * union`` of their sets of distinct word shingles, lower
+    case in A-Z. component_id is the smallest doc_id that links reach; kept where that is the row's own. Null and empty
+    texts have no shingles and are linked with nothing, like rows without an id, which are kept under a null component.
+    Documents with equal sets are one node, whatever their number, so copies are never paired. Rows of one id with different
+    texts are linked by their texts alone, each with its own component_id. Extra columns are ignored.
+    """
+    found = _grouped(docs, words, similarity)
+    return found.select("doc_id", "n_shingles", F.coalesce("least", "doc_id").alias("component_id")).withColumn(
         "kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True))
     )
 
@@ -331,8 +355,14 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: int = 80) -> Da
 def keep_one(docs: DataFrame, words: int = 5, similarity: int = 80) -> DataFrame:
     """``docs`` with one document of each group of near-duplicates, that of the smallest id; columns stay as they are.
 
-    Rows that repeat an id are one document, of which one row stays; rows without an id all stay.
+    Of several rows of that id in the group the one with the smallest hash of its text stays. Rows of one id with unlike texts
+    are in different groups, and one of each stays; rows that repeat both id and text are one. Rows without an id or without
+    words are linked with nothing and stay, repeats of an id and text apart.
     """
-    kept = near_duplicates(docs, words, similarity).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.filter("doc_id is null"))
+    found = _grouped(docs, words, similarity).filter("doc_id is not null")
+    first = found.filter("root is not null and doc_id = least").groupBy("root", "doc_id").agg(F.min("h").alias("h"))
+    alone = found.filter("root is null").select("doc_id", "h")
+    kept = first.select("doc_id", "h").unionByName(alone).distinct()
+    whole = docs.select(F.col("doc_id").cast("long").alias("doc_id"), row_hash().alias("h"), F.struct(*docs.columns).alias("row"))
+    named = whole.filter("doc_id is not null").join(kept, ["doc_id", "h"], "left_semi").dropDuplicates(["doc_id", "h"])
+    return named.select("row.*").unionByName(docs.filter("doc_id is null"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
@@ -86,6 +86,21 @@ def replace_periods(df: DataFrame, root: str, by: tuple[str, ...] = ("anno", "me
     )
 
 
+def replace_some(df: DataFrame, root: str, months: set[int], by: tuple[str, ...] = ("anno", "mes")) -> None:
+    """Replace exactly ``months`` (indexes) of a table stored by month; those of which ``df`` has no row go, all others stay.
+
+    The months written are counted by the job that writes them.
+    """
+    index = F.col("pidx") if by == ("pidx",) else P.pidx("anno", "mes")
+    found = Observation()
+    write_periods(df.observe(found, F.collect_set(index).alias("months")), root, by)
+    place = df.sparkSession._jvm.org.apache.hadoop.fs.Path
+    for m in sorted(months - set(found.get["months"])):
+        folder = f"pidx={m}" if by == ("pidx",) else f"anno={m // 12}/mes={m % 12 + 1}"
+        gone = place(f"{root}/{folder}")
+        gone.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(gone, True)
+
+
 def write_table(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 

@@ -20,7 +20,6 @@ from catalog.q_composites import (
     mass,
     mobile_cells,
     part_sql,
-    participation,
     registries,
     stock_long,
     wage_jobs,
@@ -203,7 +202,8 @@ def credit_by_firm(spark, sf):
     sql(part_sql("credit_firm", "seccion", "COUNT(DISTINCT firm_id)").replace("pt", "n_e"), "credit_firm"),
 )
 def distinct_firms(spark, sf):
-    return rounded(participation(spark, sf)["ee_sector"])
+    firms = tax_credit.with_shares(tax_credit.firm_cells(tax_credit.credit_by_firm(credit(spark, sf))))
+    return rounded(firms.filter("tabla = 'ee_sector'").select("anno", "mes", "seccion", F.col("n").alias("n_e"), "participacion"))
 
 
 def _two_panels(spark, sf):

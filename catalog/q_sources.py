@@ -10,18 +10,32 @@ from catalog.registry import R, query, rounded, sql
 from laborlens import schema as S
 from laborlens.functions import periods as P
 from laborlens.operators import firm_size
-from laborlens.sources import bundle, lookups, tables
+from laborlens.sources import bundle, drift, lookups, tables
 
 
 @query(
     "S01_open_table",
-    "SELECT l_returnflag, l_linestatus, COUNT(*) AS n, COUNT(DISTINCT l_suppkey) AS firms FROM lineitem GROUP BY ALL",
+    """SELECT l_returnflag, l_linestatus, COUNT(*) AS n, COUNT(DISTINCT l_suppkey) AS firms, CAST(SUM(l_suppkey) AS BIGINT) AS firm_sum,
+  MAX(CAST(l_linenumber AS VARCHAR)) AS last_line, COUNT(*) FILTER (year(l_shipdate) >= 1995) AS n_tax,
+  round(SUM(l_quantity), 4) + 0.0 AS quantity FROM lineitem GROUP BY ALL""",
 )
 def open_table(spark, sf):
-    df = tables.open_table(spark, f"{sf}/lineitem.parquet", merge_schema=True)
-    return df.groupBy("l_returnflag", "l_linestatus").agg(
-        F.count("*").alias("n"), F.countDistinct("l_suppkey").alias("firms")
+    """Months whose types drifted: ids LONG, then INT, then DOUBLE, line numbers INT, then text, a tax column later on only."""
+    root = tables.scratch_dir(spark)
+    lines = roles.table(spark, sf, "lineitem").withColumns(dict(zip(("anno", "mes"), roles._ship(), strict=True)))
+    kept = ["anno", "mes", "l_returnflag", "l_linestatus", "l_quantity"]
+    early = lines.filter("anno < 1994").select(*kept, "l_suppkey", "l_linenumber")
+    middle = lines.filter("anno = 1994").select(*kept, F.col("l_suppkey").cast("int").alias("l_suppkey"), "l_linenumber")
+    late = lines.filter("anno > 1994").select(
+        *kept, F.col("l_suppkey").cast("double").alias("l_suppkey"), F.col("l_linenumber").cast("string").alias("l_linenumber"), "l_tax"
     )
+    for part in (early, middle, late):
+        tables.write_periods(part, root)
+    return drift.open_unified(spark, root).groupBy("l_returnflag", "l_linestatus").agg(
+        F.count("*").alias("n"), F.countDistinct("l_suppkey").alias("firms"), F.sum("l_suppkey").cast("long").alias("firm_sum"),
+        F.max("l_linenumber").alias("last_line"), F.count("l_tax").alias("n_tax"),
+        (F.round(F.sum("l_quantity"), 4) + F.lit(0.0)).alias("quantity"),
+    )
 
 
 @query("S02_persons_lookup", sql("SELECT * FROM persons", "persons"))
@@ -183,10 +197,13 @@ def _read_all(spark, root, names, fmt):
 
 @query("S11_write_bundle", _BUNDLE_SQL)
 def write_bundle(spark, sf):
+    """Three tables of one panel from one pass, each in the order of its classes, and read back by name."""
     root = tables.scratch_dir(spark)
-    built = _bundle(spark, sf)
-    bundle.write_bundle(built, root)
-    return _read_all(spark, root, list(built), "parquet")
+    kinds = {"sexo": "sexo", "seccion": "seccion", "trabajadores": "worker_id"}
+    classes = [F.struct(F.lit(t).alias("tabla"), F.col(c).cast("string").alias("clase")) for t, c in kinds.items()]
+    rows = roles.panel(spark, sf).select(F.explode(F.array(*classes)).alias("r")).select("r.*")
+    bundle.write_long(rows.groupBy("tabla", "clase").agg(F.count("*").alias("n")), root, ["clase"])
+    return bundle.read_long(spark, root, list(kinds)).select("tabla", "clase", "n")
 
 
 @query("S12_read_bundle", _BUNDLE_SQL)

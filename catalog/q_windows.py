@@ -11,14 +11,14 @@ from catalog.q_composites import (
     heads,
     indicators_fixed,
     part_sql,
-    participation,
+    credit,
     public_tables,
     ssi_rue,
     total_base,
     wage_indices,
 )
 from catalog.registry import R, query, rounded, sql
-from laborlens.operators import clean, firm_size, indicators, public_jobs, wage_index
+from laborlens.operators import clean, firm_size, indicators, public_jobs, tax_credit, wage_index
 from laborlens.sources import tables
 
 
@@ -119,7 +119,9 @@ def main_jobs(spark, sf):
     sql(part_sql("credit_class", "sexo, nacionalidad", "SUM(puestos_de_trabajo)"), "credit_class"),
 )
 def share_of_month(spark, sf):
-    return rounded(participation(spark, sf)["pt_sx_nc"])
+    by_class = tax_credit.credit_by_class(credit(spark, sf), unique_key=True)
+    long = tax_credit.with_shares(tax_credit.job_cells(by_class)).filter("tabla = 'pt_sx_nc'")
+    return rounded(long.select("anno", "mes", "sexo", "nacionalidad", F.col("n").alias("pt"), "participacion"))
 
 
 @query(

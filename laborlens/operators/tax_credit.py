@@ -9,6 +9,8 @@ from pyspark.sql import Window as W
 from laborlens import schema as S
 from laborlens.functions import periods as P
 from laborlens.functions import scalars as X
+from laborlens.operators import distinct
+from laborlens.operators.stocks import roll_up
 from laborlens.sources.tables import eligible, keep_first
 
 JOB_CLASSES = [
@@ -65,34 +67,58 @@ def share(df: DataFrame, value: str, name: str, by=("anno", "mes")) -> DataFrame
     return df.withColumn(name, X.ratio(value, total))
 
 
-def participation(df: DataFrame, classes: list[str], value, name: str) -> DataFrame:
-    grouped = df.groupBy("anno", "mes", *classes).agg(value.alias(name))
-    return share(grouped, name, "participacion")
+# Published tables of jobs, and breakdowns of firms, with their classes.
+JOB_TABLES = {"pt_sx_nc": ["sexo", "nacionalidad"], "pt_tamano": ["tamano_empresa_movil"], "pt_sector": ["seccion"]}
+FIRM_SETS = {"tamano": ["tamano_empresa_movil"], "sector": ["seccion"]}
+MEASURES = ["n", "monto_clp", "monto_usd"]
 
 
-def amount_participation(df: DataFrame, classes: list[str], clp: str, usd: str) -> DataFrame:
-    grouped = df.groupBy("anno", "mes", *classes).agg(
-        F.sum(clp).alias("monto_clp"), F.sum(usd).alias("monto_usd")
-    )
-    grouped = share(grouped, "monto_clp", "participacion_clp")
-    return share(grouped, "monto_usd", "participacion_usd")
+def job_cells(by_class: DataFrame) -> DataFrame:
+    """Jobs of the three job tables: tabla, pidx, classes and the measures, of which the amounts are null."""
+    rolled = roll_up(by_class, JOB_TABLES, ["puestos_de_trabajo"])
+    none = F.lit(None).cast("double")
+    return rolled.withColumnRenamed("puestos_de_trabajo", "n").withColumns({"monto_clp": none, "monto_usd": none})
+
+
+def firm_cells(by_firm: DataFrame) -> DataFrame:
+    """The four firm tables, of the same columns: firms by size and by section, counted exactly from bitmaps that roll up, and
+    labour cost and credit by size, from the same grouping."""
+    sums = ["cl_clp", "ct_clp", "cl_usd", "ct_usd"]
+    parts = distinct.partials(by_firm, ["pidx", *FIRM_CLASSES], "firm_id", sums)
+    rolled = distinct.roll_up(parts, FIRM_SETS, ["pidx"], FIRM_CLASSES, sums, "n_e")
+
+    def row(table: str, n=None, clp=None, usd=None):
+        values = zip(MEASURES, (n, clp, usd), ("long", "double", "double"), strict=True)
+        return F.struct(F.lit(table).alias("tabla"), *[(F.col(v) if v else F.lit(None)).cast(t).alias(m) for m, v, t in values])
+
+    size = F.array(row("ee_tamano", "n_e"), row("cl_tamano", None, "cl_clp", "cl_usd"), row("ct_tamano", None, "ct_clp", "ct_usd"))
+    rows = F.when(F.col("tabla") == "tamano", size).otherwise(F.array(row("ee_sector", "n_e")))
+    return rolled.select("pidx", *FIRM_CLASSES, F.explode(rows).alias("r")).select("r.tabla", "pidx", *FIRM_CLASSES, *[f"r.{m}" for m in MEASURES])
+
+
+def with_shares(cells: DataFrame) -> DataFrame:
+    """Cells of any tables with the share of each in its table's month, dated."""
+    names = {"n": "participacion", "monto_clp": "participacion_clp", "monto_usd": "participacion_usd"}
+    for m in MEASURES:
+        cells = share(cells, m, names[m], ("tabla", "pidx"))
+    return cells.withColumns({"anno": P.anno_of("pidx"), "mes": P.mes_of("pidx")}).drop("pidx")
+
+
+def participation_long(by_class: DataFrame, by_firm: DataFrame) -> DataFrame:
+    """All seven published tables as one: tabla, anno, mes, classes (null where a table has none), n, amounts and shares.
+
+    Each of the two inputs is grouped once for all of its tables, and one window gives all shares.
+    """
+    return with_shares(job_cells(by_class).unionByName(firm_cells(by_firm), allowMissingColumns=True))
 
 
 def participation_tables(by_class: DataFrame, by_firm: DataFrame) -> dict[str, DataFrame]:
-    """The seven published tables."""
-
-    def dated(df: DataFrame) -> DataFrame:
-        return df.withColumns({"anno": P.anno_of("pidx"), "mes": P.mes_of("pidx")})
-
-    jobs, firms = dated(by_class), dated(by_firm)
-    n_jobs, n_firms = F.sum("puestos_de_trabajo"), F.countDistinct("firm_id")
-    size, section = ["tamano_empresa_movil"], ["seccion"]
-    return {
-        "pt_sx_nc": participation(jobs, ["sexo", "nacionalidad"], n_jobs, "pt"),
-        "pt_tamano": participation(jobs, size, n_jobs, "pt"),
-        "pt_sector": participation(jobs, section, n_jobs, "pt"),
-        "ee_tamano": participation(firms, size, n_firms, "n_e"),
-        "ee_sector": participation(firms, section, n_firms, "n_e"),
-        "cl_tamano": amount_participation(firms, size, "cl_clp", "cl_usd"),
-        "ct_tamano": amount_participation(firms, size, "ct_clp", "ct_usd"),
+    """The seven published tables by name, each with its own classes and measures."""
+    jobs, firms = with_shares(job_cells(by_class)), with_shares(firm_cells(by_firm))
+    count, amounts = ["n", "participacion"], ["monto_clp", "participacion_clp", "monto_usd", "participacion_usd"]
+    sets = {
+        **{t: (jobs, c, count) for t, c in JOB_TABLES.items()},
+        **{f"ee_{t}": (firms, c, count) for t, c in FIRM_SETS.items()},
+        **{t: (firms, FIRM_SETS["tamano"], amounts) for t in ("cl_tamano", "ct_tamano")},
     }
+    return {t: df.filter(F.col("tabla") == t).select("anno", "mes", *c, *m) for t, (df, c, m) in sets.items()}

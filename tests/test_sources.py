@@ -135,3 +135,95 @@ def test_chain_takes_administrative_names_and_leaves_no_stale_month(spark, sf, t
     out = run((1998, 1))
     assert tables.open_table(spark, f"{root}/enriched").agg(F.min("anno")).first()[0] == 1998
     assert out.agg(F.min("anno")).first()[0] >= 1998
+
+
+def test_drifted_types_are_read_as_one_table(spark, tmp_path):
+    from laborlens.sources import drift
+
+    root = str(tmp_path / "drift")
+    tables.write_periods(spark.sql("SELECT 2020 anno, 1 mes, CAST(5 AS BIGINT) id, DATE '2020-01-02' d, 'a' c"), root)
+    tables.write_periods(spark.sql("SELECT 2020 anno, 2 mes, CAST(6 AS INT) id, TIMESTAMP_NTZ '2020-02-03 04:00:00' d, 7 c"), root)
+    tables.write_periods(spark.sql("SELECT 2020 anno, 3 mes, CAST(7.5 AS DOUBLE) id, CAST(NULL AS DATE) d, 'x' c, true late"), root)
+    tables.write_periods(spark.sql("SELECT 2020 anno, 4 mes, CAST(8 AS BIGINT) id, DATE '2020-04-05' d, 'y' c"), root)
+    # Two files of one month that differ.
+    spark.sql("SELECT CAST(1 AS INT) id").write.mode("append").parquet(f"{root}/anno=2020/mes=5")
+    spark.sql("SELECT 'z' c, CAST(2 AS BIGINT) id").write.mode("append").parquet(f"{root}/anno=2020/mes=5")
+    df = drift.open_unified(spark, root)
+    assert {n: t for n, t in df.dtypes if n not in ("anno", "mes")} == {"id": "double", "d": "timestamp_ntz", "c": "string", "late": "boolean"}
+    rows = {(r.mes, r.id, str(r.d)[:10], r.c, r.late) for r in df.collect()}
+    assert rows == {
+        (1, 5.0, "2020-01-02", "a", None), (2, 6.0, "2020-02-03", "7", None), (3, 7.5, "None", "x", True),
+        (4, 8.0, "2020-04-05", "y", None), (5, 1.0, "None", None, None), (5, 2.0, "None", "z", None),
+    }
+    plan = df.filter("mes = 4 and c = 'y'").select("id")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") <= 4 and plan.count("PartitionFilters: [isnotnull(mes") == plan.count("FileScan parquet")
+    assert dict(drift.open_unified(spark, root, {"id": "decimal(20,1)"}).dtypes)["id"] == "decimal(20,1)"
+
+
+def test_common_types():
+    from pyspark.sql import types as T
+
+    from laborlens.sources.drift import common_type as wider
+
+    kinds = {
+        ("int", "bigint"): "bigint", ("bigint", "double"): "double", ("float", "int"): "double", ("boolean", "int"): "int",
+        ("decimal(10,2)", "int"): "decimal(12,2)", ("decimal(10,2)", "double"): "double", ("decimal(38,30)", "bigint"): "double",
+        ("date", "timestamp"): "timestamp", ("date", "int"): "string", ("string", "double"): "string", ("void", "date"): "date",
+    }
+    for (a, b), want in kinds.items():
+        x, y = (T.NullType() if k == "void" else T._parse_datatype_string(k) for k in (a, b))
+        assert wider(x, y).simpleString() == wider(y, x).simpleString() == want
+    try:
+        wider(T.ArrayType(T.IntegerType()), T.StringType())
+    except ValueError:
+        return
+    raise AssertionError
+
+
+def test_long_table_is_written_once_and_in_order(spark, tmp_path):
+    """Any number of tables from one evaluation of the source; files follow the published order."""
+    root, key = str(tmp_path / "long"), "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    count = spark.sparkContext.accumulator(0)
+    source = spark.range(150_000).selectExpr("CASE id % 3 WHEN 0 THEN 'a b' WHEN 1 THEN 'c' END AS tabla", "id * 7919 % 150011 AS v", "sha2(string(id), 256) AS s")
+
+    def seen(batches):
+        for b in batches:
+            count.add(b.num_rows)
+            yield b
+
+    spark.conf.set(key, "200KB")
+    try:
+        bundle.write_long(source.mapInArrow(seen, source.schema), root, ["v"])
+    finally:
+        spark.conf.unset(key)
+    assert count.value == 150_000
+    assert bundle.names(spark, root) == ["a b", "c"]
+    for name in ("a b", "c"):
+        one = bundle.read_long(spark, root, [name])
+        parts = one.select("v", F.col("_metadata.file_name").alias("f"), F.monotonically_increasing_id().alias("i")).collect()
+        assert len({r.f for r in parts}) > 1
+        values = [r.v for r in sorted(parts, key=lambda r: (r.f, r.i))]
+        assert values == sorted(values) and len(values) == 50_000
+    again = bundle.split(bundle.read_long(spark, root), ["c"])["c"]
+    assert again.count() == 50_000 and again.columns == ["v", "s"]
+    try:
+        bundle.read_long(spark, root, ["c", "d"])
+    except ValueError as e:
+        assert "d" in str(e)
+        return
+    raise AssertionError
+
+
+def test_distinct_counts_roll_up(spark):
+    from laborlens.operators import distinct
+
+    rows = spark.range(40_000).selectExpr("id * 37 % 9001 * 10 AS f", "int(id % 5) AS a", "nullif(id % 4, 0) AS b", "id % 3 AS pidx")
+    rows = rows.unionByName(spark.sql("SELECT CAST(NULL AS BIGINT) f, 1 a, 1L b, 0L pidx"))
+    sets = {"total": [], "a": ["a"], "ab": ["a", "b"]}
+    got = distinct.count_distinct(rows, "f", sets, ["pidx"]).collect()
+    for name, cols in sets.items():
+        want = rows.groupBy("pidx", *cols).agg(F.countDistinct("f").alias("n")).collect()
+        mine = sorted(str((r.pidx, *(r[c] for c in cols), r.n_distinct)) for r in got if r.tabla == name)
+        assert mine == sorted(str(tuple(r)) for r in want)
+    numbered = distinct.dense(rows.withColumn("f", F.col("f") * 1_000_003), "f").collect()
+    assert len({r.numero for r in numbered}) == len(numbered) == 9001 and max(r.numero for r in numbered) < 9001 + 32_768 * 8

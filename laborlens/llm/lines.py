@@ -38,46 +38,45 @@ def _windows(docs: DataFrame, min_chars: int) -> DataFrame:
     )
 
     def needed(chars: Column) -> Column:
-        """How many of these lines have the characters together; null if they don't."""
+        """How many of these lines have the characters together, and how many characters these are."""
         start = F.struct(F.lit(0).alias("sum"), F.lit(0).alias("n"))
-        end = F.aggregate(
-            chars, start,
-            lambda a, x: F.when(a["sum"] >= min_chars, a).otherwise(F.struct((a["sum"] + x).alias("sum"), (a["n"] + 1).alias("n"))),
-        )
-        return F.when(end["sum"] >= min_chars, end["n"])
+        more = lambda a, x: F.struct((a["sum"] + x).alias("sum"), (a["n"] + 1).alias("n"))
+        return F.aggregate(chars, start, lambda a, x: F.when(a["sum"] >= min_chars, a).otherwise(more(a, x)))
 
-    # A line has one character at least, so no window has more than min_chars lines.
+    # A line has one character at least, so no window has more than min_chars lines. A long line is a window by itself.
     def onward(s: Column) -> Column:
-        n = needed(F.slice("chars", s + 1, min_chars))
-        return F.struct(s.alias("start"), F.when(F.get("chars", s) >= min_chars, 1).otherwise(n).alias("size"))
+        end = needed(F.slice("chars", s + 1, min_chars))
+        size = F.when(F.get("chars", s) >= min_chars, 1).otherwise(F.when(end["sum"] >= min_chars, end["n"]))
+        return F.struct(s.alias("start"), size.alias("size"))
 
     def back(e: Column) -> Column:
         begin = F.greatest(e - (min_chars - 1), F.lit(0))
-        n = needed(F.reverse(F.slice("chars", begin + 1, e - begin + 1)))
-        n = F.when(F.get("chars", e) < min_chars, n)
-        return F.struct((e - n + 1).alias("start"), n.alias("size"))
-
-    def selected(w: Column) -> Column:
-        alone = F.struct(F.get("hashes", w["start"]).alias("value"), F.lit(0).alias("at"))
+        end = needed(F.reverse(F.slice("chars", begin + 1, e - begin + 1)))
+        last = F.get("chars", e)
+        # Without its last line it must still be long enough, or it is the window onward from its start.
+        size = F.when(last < min_chars, F.when(end["sum"] - last >= min_chars, end["n"]))
+        return F.struct((e - size + 1).alias("start"), size.alias("size"))
+
+    def match(w: Column) -> Column:
+        """A window with its fingerprint and what lies on both sides of it."""
+        first = F.get("hashes", w["start"])
         least = F.array_min(F.transform(
             F.sequence(F.lit(0), w["size"] - 1), lambda d: F.struct(F.get("hashes", w["start"] + d).alias("value"), d.alias("at"))
         ))
-        return F.when(w["size"] == 1, alone).otherwise(least)
+        at = F.when(w["size"] == 1, 0).otherwise(least["at"])
+        left = F.xxhash64(F.slice("hashes", w["start"] + 1, at))
+        right = F.xxhash64(F.slice("hashes", w["start"] + at + 2, w["size"] - at - 1))
+        return F.struct(
+            w["start"].alias("start"), w["size"].alias("size"), F.get("hashes", w["start"] + at).alias("fingerprint"),
+            (w["start"] + at).alias("line"),
+            F.when(w["size"] == 1, F.lit(0).cast("long")).otherwise(left).alias("left"),
+            F.when(w["size"] == 1, F.lit(0).cast("long")).otherwise(right).alias("right"),
+        )
 
     places = F.sequence(F.lit(0), F.size("hashes") - 1)
-    all_of = F.array_distinct(F.concat(F.transform(places, onward), F.transform(places, back)))
-    found = rows.withColumn("windows", F.filter(all_of, lambda w: w["size"].isNotNull()))
-    found = found.select("doc_id", "h", "hashes", F.explode(F.transform("windows", lambda w: F.struct(
-        w["start"].alias("start"), w["size"].alias("size"), selected(w).alias("print")
-    ))).alias("w"))
-    left = F.xxhash64(F.slice("hashes", F.col("w.start") + 1, F.col("w.print.at")))
-    right = F.xxhash64(F.slice("hashes", F.col("w.start") + F.col("w.print.at") + 2, F.col("w.size") - F.col("w.print.at") - 1))
-    single = F.col("w.size") == 1
-    return found.select(
-        "doc_id", "h", "w.start", "w.size", F.col("w.print.value").alias("fingerprint"),
-        (F.col("w.start") + F.col("w.print.at")).alias("line"),
-        F.when(single, F.lit(0)).otherwise(left).alias("left"), F.when(single, F.lit(0)).otherwise(right).alias("right"),
-    )
+    found = F.filter(F.concat(F.transform(places, onward), F.transform(places, back)), lambda w: w["size"].isNotNull())
+    found = rows.select("doc_id", "h", "hashes", found.alias("windows"))
+    return found.select("doc_id", "h", F.explode(F.transform("windows", match)).alias("w")).select("doc_id", "h", "w.*")
 
 
 def repeated_windows(docs: DataFrame, min_chars: int = 40) -> DataFrame:
@@ -129,13 +128,15 @@ def deduplicate(docs: DataFrame, min_chars: int = 40) -> DataFrame:
     stay = F.array_except(F.sequence(F.lit(0), last), F.col("_out"))
     kept = F.array_join(F.transform(stay, lambda i: F.get("_lines", i)), "\n")
     opens = F.filter("_out", lambda x, i: (i == 0) | (F.get("_out", i - 1) != x - 1))
-    out = cut.withColumns({
-        "kept_text": F.when(some, kept).otherwise(F.col("text")),
-        "n_lines": F.size("_lines").cast("long"),
-        "n_removed": F.when(some, F.size("_out")).otherwise(0).cast("long"),
-        "n_runs": F.when(some, F.size(opens)).otherwise(0).cast("long"),
-    })
-    return out.select(*[c for c in docs.columns if c not in ADDED], *ADDED)
+    result = F.struct(
+        F.when(some, kept).otherwise(F.col("text")).alias("kept_text"), F.size("_lines").cast("long").alias("n_lines"),
+        F.when(some, F.size("_out")).otherwise(0).cast("long").alias("n_removed"),
+        F.when(some, F.size(opens)).otherwise(0).cast("long").alias("n_runs"),
+    )
+    # Exploded, so that a filter on the result is not moved into the functions above, which it would evaluate for each line.
+    others = [c for c in docs.columns if c not in ADDED]
+    out = cut.select(*[cut[c] for c in others], F.explode(F.array(result)).alias("_result"))
+    return out.select(*others, *[F.col("_result")[c].alias(c) for c in ADDED])
 
 
 def report(docs: DataFrame, min_chars: int = 40) -> DataFrame:

@@ -290,10 +290,9 @@ def latest_total(spark, sf):
 # --- order and set operations ---------------------------------------------------------
 
 
-@query("O01_order_by_period", sql("SELECT * FROM fx_long WHERE tabla = 'sector' AND indicador = 't_rot' ORDER BY anno, mes, seccion", "fx_long"))
+@query("O01_order_by_period", sql("SELECT * FROM fx_long", "fx_long"))
 def order_by_period(spark, sf):
-    long = rounded(indicators_fixed(spark, sf))
-    return long.filter("tabla = 'sector' AND indicador = 't_rot'").orderBy("anno", "mes", "seccion")
+    return reports.in_order(rounded(indicators_fixed(spark, sf)), S.CLASSES)
 
 
 @query(

@@ -532,7 +532,8 @@ def fixed_long(spark, sf):
 
 
 def turnover(spark, sf, fill_flows=True):
-    cells = flows.turnover_cells(jobs(spark, sf), periods=roles.periods(spark, sf))
+    """Stock and flows of all breakdowns from stored cells, as in the monthly chain."""
+    cells = tables.stage(flows.turnover_cells(jobs(spark, sf), periods=roles.periods(spark, sf)))
     return flows.roll_up_turnover(cells, fill_flows=fill_flows)
 
 
@@ -558,28 +559,30 @@ def d08_from_tables(spark, sf):
     return rounded(indicators.indicators(stock, wide))
 
 
-def total_base(spark, sf):
-    """Stock and flows by section, wide."""
-    stock = stock_long(spark, sf).filter("tabla = 'sector'").select("pidx", "seccion", "pt")
-    flow = fixed_long(spark, sf).filter("tabla = 'sector'").select("pidx", "seccion", "pt_ent_12", "pt_sal_12")
-    return indicators.join_stock_flows(stock, flow, ["pidx", "seccion"])
+def stock_and_flow_tables(spark, sf):
+    """Stock and flows of all breakdowns as two long tables, from one stored table of cells."""
+    base, keys = turnover(spark, sf), ["tabla", "pidx", *S.CLASSES]
+    stock = base.filter("pt is not null").select(*keys, "pt")
+    return stock, base.filter("pt_ent_12 is not null or pt_sal_12 is not null").select(*keys, "pt_ent_12", "pt_sal_12")
 
 
-def national_stock(spark, sf):
-    return stock_long(spark, sf).filter("tabla = 'total'").select("pidx", "pt")
+def total_base(spark, sf):
+    """Stock and flows of all breakdowns side by side, and the national stock a year later."""
+    stock, flow = stock_and_flow_tables(spark, sf)
+    base = indicators.join_stock_flows(stock, flow, ["tabla", "pidx", *S.CLASSES])
+    return base, indicators.shifted_total(stock.filter("tabla = 'total'"))
 
 
 @query(
     "D08b_incidence",
     sql(
-        f"""SELECT CAST(pidx AS INT) AS pidx, seccion, pt, pt_ent_12, pt_sal_12, pt_total_12, {', '.join(R(c) for c in INC_COLS)}
-FROM fx_inc WHERE tabla = 'sector'""",
+        f"""SELECT tabla, CAST(pidx AS INT) AS pidx, {ALL}, pt, pt_ent_12, pt_sal_12, pt_total_12, {', '.join(R(c) for c in INC_COLS)}
+FROM fx_inc""",
         "fx_inc",
     ),
 )
 def d08b(spark, sf):
-    total = indicators.shifted_total(national_stock(spark, sf))
-    return rounded(indicators.incidence(total_base(spark, sf), total))
+    return rounded(indicators.incidence(*total_base(spark, sf)))
 
 
 # --- reconciliation --------------------------------------------------------------------------------
@@ -1074,9 +1077,7 @@ _CUADROS = [
 ]
 
 
-@query(
-    "D17_bulletin_tables",
-    sql(
+BULLETIN_SQL = sql(
         " UNION ALL ".join(
             f"""SELECT '{name}' AS cuadro, anno, mes, CAST({clase} AS VARCHAR) AS clase, indicador, valor
 FROM fx_long WHERE tabla = '{source}' AND indicador IN ({_quoted(ind)}) AND valor IS NOT NULL"""
@@ -1088,19 +1089,24 @@ FROM (UNPIVOT (SELECT pidx, CAST(pt AS DOUBLE) AS pt,
   FROM (SELECT pidx FROM jobs WHERE ep = 1 UNION SELECT pidx_t FROM entries WHERE ep = 1 UNION SELECT pidx_t FROM exits WHERE ep = 1)
   LEFT JOIN (SELECT pidx, COUNT(*) AS pt FROM jobs WHERE ep = 1 GROUP BY pidx) USING (pidx)) ON pt, var1_pt, var12_pt INTO NAME indicador VALUE valor)""",
         "fx_long", "jobs", "entries", "exits",
-    ),
-)
+    )
+
+
+@query("D17_bulletin_tables", BULLETIN_SQL)
 def d17(spark, sf):
     """Seven tables from the classes' breakdowns, the eighth from that by public employer, of one pass."""
+    return rounded(reports.bulletin(bulletin_source(spark, sf)))
+
+
+def bulletin_source(spark, sf):
     classes = [*S.CLASSES, "ep"]
-    cells = flows.turnover_cells(jobs(spark, sf, classes), classes, roles.periods(spark, sf))
-    rolled = flows.roll_up_turnover(cells, S.BREAKDOWNS | {"ep": ["ep"]})
-    return rounded(reports.bulletin(indicators.indicators_of(rolled)))
+    cells = tables.stage(flows.turnover_cells(jobs(spark, sf, classes), classes, roles.periods(spark, sf)))
+    return indicators.indicators_of(flows.roll_up_turnover(cells, S.BREAKDOWNS | {"ep": ["ep"]}))
 
 
 cte(
-    "ssi_wide",
-    """SELECT pidx, subsector_institucional AS grupo, pt, var12_pt, inc12_pt FROM public_inc WHERE tabla = 'ssi'""",
+    "public_wide",
+    "SELECT * FROM public_inc",
     "public_inc",
 )
 
@@ -1108,18 +1114,18 @@ cte(
 @query(
     "D18_group_summary",
     sql(
-        """SELECT grupo, round_even(CAST(last(pt ORDER BY pidx) AS DOUBLE), 0) + 0.0 AS nivel_actual,
+        f"""SELECT tabla, {PUB}, round_even(CAST(last(pt ORDER BY pidx) AS DOUBLE), 0) + 0.0 AS nivel_actual,
   round_even(CAST(first(pt ORDER BY pidx) AS DOUBLE), 0) + 0.0 AS nivel_12_meses,
   round_even(last(var12_pt ORDER BY pidx), 1) + 0.0 AS var_anual,
   round_even(last(inc12_pt ORDER BY pidx), 2) + 0.0 AS incidencia
-FROM ssi_wide WHERE pidx IN ((SELECT MAX(pidx) FROM ssi_wide), (SELECT MAX(pidx) - 12 FROM ssi_wide))
-GROUP BY grupo""",
-        "ssi_wide",
+FROM public_wide WHERE pidx IN ((SELECT MAX(pidx) FROM public_wide), (SELECT MAX(pidx) - 12 FROM public_wide))
+GROUP BY tabla, {PUB}""",
+        "public_wide",
     ),
 )
 def d18(spark, sf):
-    long = public_jobs.public_indicators(public_tables(spark, sf)).filter("tabla = 'ssi'")
-    return rounded(reports.group_summary(long, "subsector_institucional"), 6)
+    long = tables.stage(public_jobs.public_indicators(public_tables(spark, sf)))
+    return rounded(reports.group_summary(long, ["tabla", *S.PUBLIC_CLASSES]), 6)
 
 
 @query(

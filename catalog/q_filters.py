@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog import q_composites, roles  # noqa: F401  (defines CTEs)
+from catalog import roles
+from catalog.q_composites import BULLETIN_SQL, bulletin_source
 from catalog.registry import query, rounded, sql
 from laborlens.functions import periods as P
 from laborlens.functions import scalars as X
@@ -146,18 +147,17 @@ def drop_missing(spark, sf):
 
 @query(
     "F11_bulletin_filter",
-    sql(
-        "SELECT anno, mes, fecha, sexo, indicador, valor FROM fx_long WHERE tabla = 'sx' AND valor IS NOT NULL AND indicador IN ("
-        + ", ".join(f"'{i}'" for i in reports.BY_CLASS) + ")",
-        "fx_long",
-    ),
+    BULLETIN_SQL,
 )
 def bulletin_filter(spark, sf):
-    from catalog.q_composites import indicators_fixed
-
-    long = rounded(indicators_fixed(spark, sf)).filter("tabla = 'sx'")
-    rows = long.select("anno", "mes", "fecha", "sexo", "indicador", "valor")
-    return reports.bulletin_table(rows, reports.BY_CLASS, "sexo")
+    """The eight publication tables one by one, each with its own indicators, classes and order."""
+    long, out = tables.stage(rounded(bulletin_source(spark, sf))), None
+    for name, (source, column, indicators, public) in reports.BULLETIN.items():
+        rows = reports.bulletin_table(long.filter(F.col("tabla") == source), indicators, column, public)
+        group = F.col(column).cast("string") if column else F.lit(None).cast("string")
+        part = rows.select(F.lit(name).alias("cuadro"), "anno", "mes", group.alias("clase"), "indicador", "valor")
+        out = part if out is None else out.unionByName(part)
+    return out
 
 
 @query(

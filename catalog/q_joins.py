@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 
 from catalog import roles
 from catalog.q_composites import (
+    ALL,
     audited,
     both_sources,
     compared_sql,
@@ -15,7 +16,6 @@ from catalog.q_composites import (
     heads,
     jobs,
     mass,
-    national_stock,
     public_tables,
     total_base,
 )
@@ -236,26 +236,25 @@ def null_safe_classes(spark, sf):
 @query(
     "J15_stock_and_flows",
     sql(
-        "SELECT CAST(pidx AS INT) AS pidx, seccion, pt, pt_ent_12, pt_sal_12 FROM fx_base WHERE tabla = 'sector'",
+        f"SELECT tabla, CAST(pidx AS INT) AS pidx, {ALL}, pt, pt_ent_12, pt_sal_12 FROM fx_base",
         "fx_base",
     ),
 )
 def stock_and_flows(spark, sf):
-    return total_base(spark, sf)
+    return total_base(spark, sf)[0]
 
 
 @query(
     "J16_shifted_total",
     sql(
-        """SELECT CAST(b.pidx AS INT) AS pidx, seccion, b.pt, pt_ent_12, pt_sal_12, t.pt AS pt_total_12 FROM fx_base b
-LEFT JOIN (SELECT pidx + 12 AS pidx, pt FROM stock_long WHERE tabla = 'total') t ON b.pidx = t.pidx
-WHERE tabla = 'sector'""",
+        f"""SELECT b.tabla, CAST(b.pidx AS INT) AS pidx, {ALL}, b.pt, pt_ent_12, pt_sal_12, t.pt AS pt_total_12 FROM fx_base b
+LEFT JOIN (SELECT pidx + 12 AS pidx, pt FROM stock_long WHERE tabla = 'total') t ON b.pidx = t.pidx""",
         "fx_base", "stock_long",
     ),
 )
 def shifted_total(spark, sf):
-    total = indicators.shifted_total(national_stock(spark, sf))
-    return total_base(spark, sf).join(P.by_month(total), "pidx", "left")
+    base, total = total_base(spark, sf)
+    return base.join(P.by_month(total), "pidx", "left")
 
 
 @query("J17_two_sources_inner", sql(f"SELECT * FROM ({compared_sql()}) WHERE comparacion = 'sexo'", "fx_long"))
@@ -298,15 +297,14 @@ def last_record_per_key(spark, sf):
 @query(
     "J20_breakdown_and_total",
     sql(
-        """SELECT d.pidx, d.sexo, d.pt, t.pt AS pt_tot FROM public_long d
-LEFT JOIN (SELECT pidx, pt FROM public_long WHERE tabla = 'total') t ON d.pidx = t.pidx WHERE d.tabla = 'sx'""",
+        """SELECT d.*, t.pt AS pt_tot FROM public_long d
+LEFT JOIN (SELECT pidx, pt FROM public_long WHERE tabla = 'total') t ON d.pidx = t.pidx""",
         "public_long",
     ),
 )
 def breakdown_and_total(spark, sf):
     tables = public_tables(spark, sf)
-    parts = tables.filter("tabla = 'sx'").select("pidx", "sexo", "pt")
-    return public_jobs.with_total(parts, tables.filter("tabla = 'total'"))
+    return public_jobs.with_total(tables, tables.filter("tabla = 'total'"))
 
 
 @query(

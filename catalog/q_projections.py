@@ -12,12 +12,12 @@ from catalog.q_composites import (
     RATE_COLS,
     long_sql,
     mobile_cells,
-    national_stock,
     public_tables,
     total_base,
     wage_indices,
 )
 from catalog.registry import R, query, rounded, sql
+from laborlens import schema as S
 from laborlens.operators import clean, flows, indicators, persons, public_jobs, reshape, wage_index
 
 
@@ -57,25 +57,25 @@ def minimal_join_side(spark, sf):
 
 
 def _sector_rates(spark, sf):
-    return indicators.rates(total_base(spark, sf))
+    return indicators.rates(total_base(spark, sf)[0])
 
 
 @query(
     "P04_columns_by_pattern",
     sql(
-        f"SELECT CAST(pidx AS INT) AS pidx, seccion, pt, pt_ent_12, pt_sal_12, {', '.join(R(c) for c in RATE_COLS)} FROM fx_rates WHERE tabla = 'sector'",
+        f"SELECT tabla, CAST(pidx AS INT) AS pidx, {ALL}, pt, pt_ent_12, pt_sal_12, {', '.join(R(c) for c in RATE_COLS)} FROM fx_rates",
         "fx_rates",
     ),
 )
 def columns_by_pattern(spark, sf):
     df = _sector_rates(spark, sf)
-    return rounded(df.select("pidx", "seccion", *reshape.indicator_columns(df)))
+    return rounded(df.select("tabla", "pidx", *S.CLASSES, *reshape.indicator_columns(df)))
 
 
 @query(
     "P05_to_long",
     sql(
-        long_sql("fx_rates", ["pt", "pt_ent_12", "pt_sal_12", *RATE_COLS], "seccion", " WHERE tabla = 'sector'"),
+        long_sql("fx_rates", ["pt", "pt_ent_12", "pt_sal_12", *RATE_COLS], f"tabla, {ALL}"),
         "fx_rates",
     ),
 )
@@ -94,26 +94,25 @@ def flows_to_wide(spark, sf):
 @query(
     "P07_to_wide",
     sql(
-        f"""SELECT make_date(CAST(pidx // 12 AS INT), CAST(pidx % 12 + 1 AS INT), 1) AS fecha, sexo AS grupo,
-  CAST(pt AS DOUBLE) AS pt, {R('var12_pt')}, {R('inc12_pt')} FROM public_inc WHERE tabla = 'sx'""",
+        f"""SELECT make_date(CAST(pidx // 12 AS INT), CAST(pidx % 12 + 1 AS INT), 1) AS fecha, tabla, {', '.join(S.PUBLIC_CLASSES)},
+  CAST(pt AS DOUBLE) AS pt, {R('var12_pt')}, {R('inc12_pt')} FROM public_inc""",
         "public_inc",
     ),
 )
 def to_wide(spark, sf):
-    long = public_jobs.public_indicators(public_tables(spark, sf)).filter("tabla = 'sx'")
-    return rounded(reshape.to_wide(long, "sexo", ["pt", "var12_pt", "inc12_pt"]))
+    long = public_jobs.public_indicators(public_tables(spark, sf))
+    return rounded(reshape.to_wide(long, ["tabla", *S.PUBLIC_CLASSES], ["pt", "var12_pt", "inc12_pt"]))
 
 
 @query(
     "P08_append_rotation_change",
     sql(
-        long_sql("fx_all", [*INC_COLS, "inc_rot_12", "inc_var_trl"], "seccion", " WHERE tabla = 'sector'"),
+        long_sql("fx_all", [*INC_COLS, "inc_rot_12", "inc_var_trl"], f"tabla, {ALL}"),
         "fx_all",
     ),
 )
 def append_rotation_change(spark, sf):
-    total = indicators.shifted_total(national_stock(spark, sf))
-    inc = indicators.incidence(total_base(spark, sf), total).select("pidx", "seccion", *INC_COLS)
+    inc = indicators.incidence(*total_base(spark, sf)).select("tabla", "pidx", *S.CLASSES, *INC_COLS)
     long = reshape.to_long(inc)
     return rounded(indicators.append_rotation_change(long, indicators.rotation_incidence_change(long)))
 

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from catalog import roles
 from catalog.q_composites import (
+    ALL,
     COND_COLS,
     RATE_COLS,
     heads,
@@ -18,6 +19,7 @@ from catalog.q_composites import (
     wage_indices,
 )
 from catalog.registry import R, query, rounded, sql
+from laborlens import schema as S
 from laborlens.operators import clean, firm_size, indicators, public_jobs, tax_credit, wage_index
 from laborlens.sources import tables
 
@@ -86,26 +88,24 @@ def moving_size(spark, sf):
 @query(
     "W06_rates",
     sql(
-        f"SELECT CAST(pidx AS INT) AS pidx, seccion, pt, pt_ent_12, pt_sal_12, {', '.join(R(c) for c in RATE_COLS)} FROM fx_rates WHERE tabla = 'sector'",
+        f"SELECT tabla, CAST(pidx AS INT) AS pidx, {ALL}, pt, pt_ent_12, pt_sal_12, {', '.join(R(c) for c in RATE_COLS)} FROM fx_rates",
         "fx_rates",
     ),
 )
 def rates(spark, sf):
-    return rounded(indicators.rates(total_base(spark, sf)))
+    return rounded(indicators.rates(total_base(spark, sf)[0]))
 
 
 @query(
     "W07_rotation_incidence_change",
     sql(
-        f"""SELECT make_date(CAST(pidx // 12 AS INT), CAST(pidx % 12 + 1 AS INT), 1) AS fecha, seccion,
-  {R('inc_rot')}, {R('inc_rot_12')}, {R('inc_var_trl')} FROM fx_all WHERE tabla = 'sector'""",
+        f"""SELECT make_date(CAST(pidx // 12 AS INT), CAST(pidx % 12 + 1 AS INT), 1) AS fecha, tabla, {ALL},
+  {R('inc_rot')}, {R('inc_rot_12')}, {R('inc_var_trl')} FROM fx_all""",
         "fx_all",
     ),
 )
 def rotation_incidence_change(spark, sf):
-    long = indicators_fixed(spark, sf).filter("tabla = 'sector'")
-    long = long.select("anno", "mes", "fecha", "seccion", "indicador", "valor")
-    return rounded(indicators.rotation_incidence_change(long))
+    return rounded(indicators.rotation_incidence_change(indicators_fixed(spark, sf)))
 
 
 @query("W08_main_jobs", sql("SELECT worker_id, firm_id, pidx, monto, dias FROM main_jobs", "main_jobs"))
@@ -127,28 +127,27 @@ def share_of_month(spark, sf):
 @query(
     "W10_public_variations",
     sql(
-        f"""SELECT tabla, pidx, sexo, nacionalidad, pt, {R('var12_pt')}, {R('var1_pt')} FROM public_var WHERE tabla = 'sx_nc'""",
+        f"SELECT tabla, pidx, {', '.join(S.PUBLIC_CLASSES)}, pt, {R('var12_pt')}, {R('var1_pt')} FROM public_var",
         "public_var",
     ),
 )
 def public_variations(spark, sf):
-    rows = public_tables(spark, sf).filter("tabla = 'sx_nc'").select("tabla", "pidx", "sexo", "nacionalidad", "pt")
-    return rounded(public_jobs.variations(rows, ["sexo", "nacionalidad"]))
+    rows = public_tables(spark, sf).filter("tabla <> 'total'")
+    return rounded(public_jobs.variations(rows, ["tabla", *S.PUBLIC_CLASSES]))
 
 
 @query(
     "W11_public_incidences",
     sql(
-        f"""SELECT pidx, sexo, pt, {R('var12_pt')}, {R('var1_pt')}, {R('inc12_pt', 'inc_var_12')}, {R('inc1_pt', 'inc_var_01')}
-FROM public_inc WHERE tabla = 'sx'""",
+        f"""SELECT tabla, pidx, {', '.join(S.PUBLIC_CLASSES)}, pt, {R('var12_pt')}, {R('var1_pt')}, {R('inc12_pt', 'inc_var_12')},
+  {R('inc1_pt', 'inc_var_01')} FROM public_inc""",
         "public_inc",
     ),
 )
 def public_incidences(spark, sf):
-    all_tables = public_tables(spark, sf)
-    rows = all_tables.filter("tabla = 'sx'").select("pidx", "sexo", "pt")
-    grown = public_jobs.variations(rows, ["sexo"])
-    return rounded(public_jobs.incidences(grown, all_tables.filter("tabla = 'total'"), ["sexo"]))
+    all_tables, by = public_tables(spark, sf), ["tabla", *S.PUBLIC_CLASSES]
+    grown = public_jobs.variations(all_tables.filter("tabla <> 'total'"), by)
+    return rounded(public_jobs.incidences(grown, all_tables.filter("tabla = 'total'"), by))
 
 
 @query(

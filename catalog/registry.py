@@ -22,35 +22,6 @@ def query(key: str, sql: str | None = None):
     return add
 
 
-# Dates leave the queries as ISO text, so that any reader of the results sees the same value.
-DATE_COLUMNS = {
-    ("fecha",): [
-        "D08_indicators_fixed", "D08_indicators_mobile", "D08_indicators_from_tables",
-        "D11_public_indicators", "D13_migration_rates", "A13_migration_counts", "O01_order_by_period",
-        "F11_bulletin_filter", "F15_last_and_year_before", "P05_to_long", "P07_to_wide",
-        "P08_append_rotation_change", "P09_column_order", "X03_period_keys", "X19_recode_indicators",
-        "X29_date_from_name", "S03_month_files", "S10_parameters", "W07_rotation_incidence_change",
-    ],
-    ("fecha_nac", "fecha_def_cor_rc"): [
-        "D07_enrich", "J01_dates_left", "P03_minimal_join_side", "S02_persons_lookup", "S07_write_table",
-    ],
-    ("nac", "def"): ["X01_parse_date"],
-    ("mas", "menos"): ["X05_month_shift"],
-}
-
-
-def dates_as_text() -> None:
-    for cols, keys in DATE_COLUMNS.items():
-        for key in keys:
-            QUERIES[key] = _text_query(QUERIES[key], cols)
-            texts = ", ".join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in cols)
-            ORACLES[key] = f"SELECT * REPLACE ({texts})\nFROM ({ORACLES[key]})"
-
-
-def _text_query(fn, cols):
-    return lambda spark, sf: fn(spark, sf).withColumns({c: F.col(c).cast("string") for c in cols})
-
-
 def rounded(df: DataFrame, decimals: int = 6, skip: tuple[str, ...] = ()) -> DataFrame:
     """Doubles to a fixed number of decimals (sums depend on order); -0.0 becomes 0.0."""
     return df.select(

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import Window as W
 
 from laborlens.functions import periods as P
 from laborlens.functions import scalars as X
@@ -82,20 +81,12 @@ def shifted_total(stock: DataFrame) -> DataFrame:
 def own_total(df: DataFrame) -> DataFrame:
     """``pt_total_12`` from the 'total' rows of the long table itself.
 
-    Each total row sends a copy twelve months on, and the rows of that month
-    read it in a window by month: cells move, the panel is not read again.
+    They are a branch of their own, one row a month, that all cells look up, so a
+    month's cells never meet in one task. ``df`` is evaluated for both: it should
+    start from stored cells, as in the monthly chain.
     """
-    here = F.struct(F.col("pidx"), F.lit(False).alias("copy"))
-    later = F.struct((F.col("pidx") + 12).alias("pidx"), F.lit(True).alias("copy"))
-    rows = F.array(here, F.when(F.col("tabla") == "total", later))
-    others = [c for c in df.columns if c != "pidx"]
-    spread = (
-        df.select(F.explode(rows).alias("e"), *others)
-        .filter("e is not null")
-        .select("e.pidx", "e.copy", *others)
-    )
-    total = F.max(F.when(F.col("copy"), F.col("pt"))).over(W.partitionBy("pidx"))
-    return spread.withColumn("pt_total_12", total).filter(~F.col("copy")).drop("copy")
+    total = shifted_total(df.filter("tabla = 'total'"))
+    return df.join(P.by_month(total), "pidx", "left")
 
 
 def incidence(df: DataFrame, total_shifted: DataFrame | None = None) -> DataFrame:

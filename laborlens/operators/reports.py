@@ -45,6 +45,11 @@ def bulletin_table(
     return long.filter(keep).orderBy(*order)
 
 
+def in_order(long: DataFrame, classes: list[str]) -> DataFrame:
+    """A long indicator table in the order of publication: table, month, classes (unknown first), indicator."""
+    return long.orderBy("tabla", "anno", "mes", *classes, "indicador")
+
+
 def bulletin(long: DataFrame, catalogue: dict | None = None) -> DataFrame:
     """All bulletin tables from one long table, in one pass: cuadro, anno, mes, clase (as text), indicador, valor.
 
@@ -71,10 +76,10 @@ def last_and_year_before(df: DataFrame) -> DataFrame:
     return df.join(P.by_month(two), "fecha", "left_semi")
 
 
-def group_summary(long: DataFrame, group: str) -> DataFrame:
-    """Level now and a year before, yearly growth and incidence of each group."""
+def group_summary(long: DataFrame, group: str | list[str]) -> DataFrame:
+    """Level now and a year before, yearly growth and incidence of each group (of one column, or of all breakdowns by a list)."""
     wide = to_wide(long, group, ["pt", "var12_pt", "inc12_pt"])
-    now = last_and_year_before(wide).groupBy("grupo")
+    now = last_and_year_before(wide).groupBy(*(["grupo"] if isinstance(group, str) else group))
     return now.agg(
         F.bround(F.max_by("pt", "fecha"), 0).alias("nivel_actual"),
         F.bround(F.min_by("pt", "fecha"), 0).alias("nivel_12_meses"),

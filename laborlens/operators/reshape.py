@@ -58,10 +58,11 @@ def flows_to_wide(mobile: DataFrame, fill: int | None = None) -> DataFrame:
     return wide if fill is None else wide.na.fill(fill, ["pt_ent_12", "pt_sal_12"])
 
 
-def to_wide(long: DataFrame, group: str, indicators: list[str]) -> DataFrame:
-    """(fecha, grupo) by indicator."""
+def to_wide(long: DataFrame, group: str | list[str], indicators: list[str]) -> DataFrame:
+    """(fecha, grupo) by indicator; with a list, of several breakdowns at once, its columns in place of grupo."""
+    keys = [F.col(group).alias("grupo")] if isinstance(group, str) else [F.col(c) for c in group]
     return (
-        long.groupBy("fecha", F.col(group).alias("grupo"))
+        long.groupBy("fecha", *keys)
         .pivot("indicador", indicators)
         .agg(F.first("valor"))
     )

@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from laborlens import schema as S
 from laborlens.functions import periods as P
 from laborlens.functions import scalars as X
+from laborlens.sources.tables import stage
 
 ACCURACY = 10_000
 MARGIN = 10 / ACCURACY
@@ -17,14 +18,74 @@ RANGES = 1024
 
 
 def bracket(value: str) -> list[Column]:
-    """Aggregates ``exact_median`` needs: count and two values around the median."""
+    """Aggregates ``exact_median`` needs: count, extremes, and two values around the median."""
     around = [0.5 - MARGIN, 0.5 + MARGIN]
     return [
         F.count(value).alias("_n"),
+        F.min(value).alias("_min"),
+        F.max(value).alias("_max"),
         F.percentile_approx(value, around, ACCURACY).alias("_q"),
     ]
 
 
+def _counted(df: DataFrame, bounds: DataFrame, value: str, by: str) -> DataFrame:
+    """Values inside each month's bracket with their number and range, and what lies below as one block (range -1)."""
+    v = F.col("_v")
+    counts = (
+        df.select(by, F.col(value).alias("_v"))
+        .join(P.by_month(bounds.select(by, "_n", "_lo", "_hi")), by)
+        .filter(v <= F.col("_hi"))
+        .groupBy(by, "_n", "_lo", "_hi", F.when(v >= F.col("_lo"), v).alias("_v"))
+        .agg(F.count("*").alias("_k"))
+    )
+    step = (F.col("_hi") - F.col("_lo")) / RANGES
+    place = F.when(step > 0, F.least(F.floor((v - F.col("_lo")) / step), F.lit(RANGES - 1))).otherwise(0)
+    return counts.withColumn("_range", F.when(v.isNull(), -1).otherwise(place).cast("int"))
+
+
+def _halves() -> tuple[Column, Column]:
+    """Ranks (from 0) of the one or two values in the middle."""
+    return F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+
+
+def _refined(df: DataFrame, bounds: DataFrame, counts: DataFrame, value: str, by: str) -> DataFrame | None:
+    """New brackets for the months whose middle lies outside theirs, or None.
+
+    What lies on the side where the middle is is counted by ranges of equal width, one number each; the range that holds the
+    middle is the new bracket. Months are few, so their verdict comes to the driver.
+    """
+    first, second = _halves()
+    seen = counts.groupBy(by).agg(F.sum("_k").alias("_upto"), F.sum(F.when(F.col("_range") < 0, F.col("_k"))).alias("_below"))
+    joined = bounds.join(P.by_month(seen), by, "left").filter("_n > 0")
+    below, upto = F.coalesce("_below", F.lit(0)), F.coalesce("_upto", F.lit(0))
+    side = F.when(first < below, "low").when(second >= upto, "high")
+    missed = joined.withColumn("_side", side).filter("_side is not null")
+    missed = missed.select(
+        by, "_n", "_min", "_max", first.alias("_first"), second.alias("_second"),
+        F.when(F.col("_side") == "low", F.col("_min")).otherwise(F.least("_hi", "_lo")).cast("double").alias("_from"),
+        F.when(F.col("_side") == "low", F.greatest("_lo", "_hi")).otherwise(F.col("_max")).cast("double").alias("_to"),
+    )
+    rows = missed.collect()
+    if not rows:
+        return None
+    missed = df.sparkSession.createDataFrame(rows, missed.schema)
+    v = F.col("_v")
+    step = (F.col("_to") - F.col("_from")) / RANGES
+    place = F.when(v < F.col("_from"), -1).when(step > 0, F.least(F.floor((v - F.col("_from")) / step), F.lit(RANGES - 1))).otherwise(0)
+    wide = df.select(by, F.col(value).alias("_v")).join(P.by_month(missed), by).filter(v <= F.col("_to"))
+    sums = wide.groupBy(by, place.cast("int").alias("_range")).agg(
+        F.count("*").alias("_s"), F.min("_v").alias("_least"), F.max("_v").alias("_most")
+    )
+    # RANGES + 1 rows a month at most.
+    end = F.sum("_s").over(W.partitionBy(by).orderBy("_range"))
+    hit = sums.withColumn("_end", end).join(P.by_month(missed), by)
+    hit = hit.filter((F.col("_end") - F.col("_s") <= F.col("_second")) & (F.col("_first") < F.col("_end")))
+    return hit.groupBy(by).agg(
+        F.first("_n").alias("_n"), F.first("_min").alias("_min"), F.first("_max").alias("_max"),
+        F.min("_least").alias("_lo"), F.max("_most").alias("_hi"),
+    )
+
+
 def exact_median(
     df: DataFrame, summary: DataFrame, value: str, by: str = "pidx", name: str = "mediana"
 ) -> DataFrame:
@@ -35,29 +96,26 @@ def exact_median(
     Values inside the bracket (about 0.2 % of the rows) are counted one by one,
     smaller ones as a block. Counts are summed over a fixed number of ranges of
     the bracket, whose running sum names the one or two ranges that hold the
-    median, and only the values of those are ranked, each range by itself. The
-    result is exact, as the sketch's error is bounded; should a bracket miss
-    all the same, the job fails rather than give another value.
+    median, and only the values of those are ranked, each range by itself.
+    Where a bracket misses all the same, the side on which the median lies is cut
+    into ranges, and the range that holds it is the next bracket, for those months
+    alone. Both passes over ``df`` run here; their results are small tables.
     """
-    carried = [c for c in summary.columns if c not in (by, "_q")]
-    bounds = summary.withColumns({"_lo": F.col("_q")[0], "_hi": F.col("_q")[1]}).drop("_q")
-    v = F.col("_v")
-    counts = (
-        df.select(by, F.col(value).alias("_v"))
-        .join(P.by_month(bounds), by)
-        .filter(v.isNull() | (v <= F.col("_hi")))
-        .groupBy(by, "_n", "_lo", "_hi", F.when(v >= F.col("_lo"), v).alias("_v"))
-        .agg(F.count(v).alias("_k"))
-    )
-    step = (F.col("_hi") - F.col("_lo")) / RANGES
-    place = F.when(step > 0, F.least(F.floor((v - F.col("_lo")) / step), F.lit(RANGES - 1))).otherwise(0)
-    counts = counts.withColumn("_range", F.when(v.isNull(), -1).otherwise(place).cast("int"))
-    first, second = F.floor((F.col("_n") - 1) / 2), F.floor(F.col("_n") / 2)
+    summary = stage(summary)
+    carried = [c for c in summary.columns if c not in (by, "_q", "_min", "_max")]
+    bounds = summary.select(by, "_n", "_min", "_max", F.col("_q")[0].alias("_lo"), F.col("_q")[1].alias("_hi"))
+    counts = stage(_counted(df, bounds, value, by))
+    while (again := _refined(df, bounds, counts, value, by)) is not None:
+        again = stage(again)
+        counts = stage(counts.join(P.by_month(again.select(by)), by, "left_anti").unionByName(_counted(df, again, value, by)))
+        bounds = bounds.join(P.by_month(again.select(by)), by, "left_anti").unionByName(again)
+    first, second = _halves()
     # RANGES + 1 rows a month at most reach this window.
     months = W.partitionBy(by).orderBy("_range")
     sums = counts.groupBy(by, "_n", "_range").agg(F.sum("_k").alias("_s")).withColumn("_end", F.sum("_s").over(months))
     start = F.col("_end") - F.col("_s")
     wanted = sums.filter((start <= second) & (first < F.col("_end"))).select(by, "_range", start.alias("_before"))
+    v = F.col("_v")
     w = W.partitionBy(by, "_range").orderBy(v.asc_nulls_first())
     ranked = counts.join(P.by_month(wanted), [by, "_range"])
     ranked = ranked.withColumn("_to", F.col("_before") + F.sum("_k").over(w)).withColumn("_from", F.col("_to") - F.col("_k"))
@@ -65,13 +123,11 @@ def exact_median(
     def at(rank: Column) -> Column:
         return F.max(F.when((F.col("_from") <= rank) & (rank < F.col("_to")), v))
 
-    missed = (F.col("_n") > 0) & (F.col("_a").isNull() | F.col("_b").isNull())
-    failed = F.raise_error(F.lit("median outside its bracket")).cast("double")
     middle = ranked.groupBy(by).agg(at(first).alias("_a"), at(second).alias("_b"))
     return (
         summary.select(by, *carried)
         .join(P.by_month(middle), by, "left")
-        .withColumn(name, F.when(missed, failed).otherwise((F.col("_a") + F.col("_b")) / 2))
+        .withColumn(name, (F.col("_a") + F.col("_b")) / 2)
         .drop("_a", "_b", "_n")
     )
 

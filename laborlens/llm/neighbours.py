@@ -202,8 +202,8 @@ def _rank(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, membe
 def search(vectors: DataFrame, queries: Column, k: int = 20, probing: Probing = Probing()) -> DataFrame:
     """The ``k`` best candidates found for each row that ``queries`` selects: query_id, rank, vec_id, score.
 
-    ``vectors`` has vec_id and embedding, all of one length. Score is the inner product in double precision; ties go to
-    the smaller vec_id; a row is no candidate of its own. Vectors that are null, zero or hold null or non-finite
+    ``vectors`` has vec_id and embedding; a shorter embedding counts as having zeros at its end. Score is the inner product in
+    double precision; ties go to the smaller vec_id; a row is no candidate of its own. Vectors that are null, zero or hold null or non-finite
     components take no part; repeated rows count once; an empty table gives an empty result; extra columns are ignored.
     Equal vectors are one candidate that stands for its k+1 smallest ids, which is all a result can hold of them. Large
     buckets are dealt out in blocks, each of which meets all queries that visit the bucket. A query whose buckets hold
@@ -214,6 +214,9 @@ def search(vectors: DataFrame, queries: Column, k: int = 20, probing: Probing =
     clean = vectors.filter(_usable(F.col("embedding"))).select(
         F.col("vec_id").cast("long").alias("vec_id"), double.alias("v"), queries.alias("asks")
     ).filter("vec_id is not null")
+    shortest, longest = clean.agg(F.min(F.size("v")), F.max(F.size("v"))).first()
+    if shortest != longest:
+        clean = clean.withColumn("v", F.concat("v", F.array_repeat(F.lit(0.0), longest - F.size("v"))))
     order = Window.partitionBy("v").orderBy("vec_id")
     lowest = clean.withColumn("nth", F.dense_rank().over(order)).filter(F.col("nth") <= k + 1)
     classes = checkpoint(lowest.groupBy("v").agg(F.sort_array(F.collect_set("vec_id")).alias("ids")))

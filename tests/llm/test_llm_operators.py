@@ -210,6 +210,17 @@ def test_neighbours_awkward(spark):
     assert neighbours.search(one, F.col("vec_id") % 20 == 0).collect() == []
 
 
+def test_neighbours_of_unequal_lengths(spark):
+    """A shorter vector has zeros at its end; empty ones take no part."""
+    rng = np.random.RandomState(3)
+    rows = [(i, rng.randn(4 + i % 3).tolist()) for i in range(30)] + [(40, [])]
+    full = np.array([v + [0.0] * (6 - len(v)) for _, v in rows[:30]])
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = neighbours.search(vectors, F.lit(True), k=3).orderBy("query_id", "rank").collect()
+    want = [(q, r, int(v)) for q in range(30) for r, v in enumerate([v for v in np.argsort(-(full @ full[q])) if v != q][:3], 1)]
+    assert [(r.query_id, r.rank, r.vec_id) for r in got] == want
+
+
 def test_neighbours_all_if_fewer(spark):
     """A table of 15 rows gives each query all 14 others, though the buckets of most don't hold them all."""
     x = np.random.RandomState(15).randn(15, 16)
@@ -255,6 +266,33 @@ def test_line_dedup(documents, awkward):
     assert {(r.n, r.d) for r in twice.filter("doc_id in (9, 15)").collect()} == {(2, 1)}
 
 
+def test_lone_and_short_lines(spark):
+    """A long line that stands earlier goes, wherever it stands; short ones go in runs; empty ones follow their neighbours."""
+    long, verse = "one line of more than forty characters in all", "a\n\nbb\nccc\n" * 8
+    rows = [
+        (1, f"first\n{long}\nx"), (2, long), (3, f"y\n\n{long}\n\nz"), (4, f"intro\n{verse}end"), (5, f"other\n{verse}close"),
+        (6, f"{long}\n{long}"), (7, "short\nlines"), (8, "short\nlines"), (9, "\n\n"), (10, "\n\n"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("n_lines", F.lit("clash"))
+    kept = {r.doc_id: r.text for r in lines.keep_first(docs).collect()}
+    assert kept == {
+        1: rows[0][1], 3: "y\n\n\nz", 4: kept[4],
+        5: "other\nclose", 7: rows[6][1], 8: rows[7][1], 9: "\n\n", 10: "\n\n",
+    }
+    assert lines.keep_first(docs).columns == docs.columns
+    want = plainly.line_dedup(rows)
+    assert {r.doc_id: (r.n_lines, r.n_removed, r.kept_sha256) for r in lines.report(docs).collect()} == want
+
+
+def test_rows_of_one_id_with_unlike_texts_stay(spark):
+    one, other = " ".join(f"a{i}" for i in range(80)), " ".join(f"b{i}" for i in range(80))
+    rows = [(1, one), (1, other), (2, one + " more"), (3, other), (4, one), (4, one), (5, ""), (None, one), (None, one)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("root", F.lit("clash"))
+    kept = minhash.keep_one(docs)
+    assert multiset(kept.select("doc_id", "text").collect()) == multiset([(1, one), (1, other), (5, ""), (None, one), (None, one)])
+    assert kept.columns == docs.columns
+
+
 def test_minhash(documents, awkward):
     for df, n, percent in ((documents, 3, 85), (awkward, 3, 85), (documents, 5, 80)):
         got = {r.doc_id: (r.n_shingles, r.component_id) for r in minhash.near_duplicates(df, n, percent).collect()}

@@ -1146,5 +1146,5 @@ FROM l GROUP BY periodo""",
 def d19(spark, sf):
     panel = roles.panel(spark, sf).select("anno", "mes", "seccion", "monto")
     chosen = reports.selected_months(panel, (1996, 2000), [3, 6, 9])
-    sums = chosen.groupBy("periodo", "seccion").agg(F.round(F.sum("monto"), 2).alias("valor"))
+    sums = tables.stage(chosen.groupBy("periodo", "seccion").agg(F.round(F.sum("monto"), 2).alias("valor")))
     return rounded(reports.latest_total_and_leader(sums, "seccion", "valor"), 2)

@@ -23,6 +23,20 @@ def test_no_products_and_no_python(spark, sf, name):
     assert not re.search("CartesianProduct|BroadcastNestedLoopJoin|Python|Pandas", text)
 
 
+@pytest.mark.parametrize("name", [
+    "P04_columns_by_pattern", "P05_to_long", "P07_to_wide", "P08_append_rotation_change", "J15_stock_and_flows", "J16_shifted_total",
+    "J20_breakdown_and_total", "W06_rates", "W07_rotation_incidence_change", "W10_public_variations", "W11_public_incidences",
+    "O01_order_by_period", "F11_bulletin_filter", "D08_indicators_fixed", "D08b_incidence", "D14_wage_index", "D17_bulletin_tables",
+    "D18_group_summary", "D19_latest_total_and_leader",
+])
+def test_two_passes_at_most(spark, sf, name):
+    """All breakdowns, and the largest table read twice at most; cells are never gathered by month alone."""
+    text = plan(QUERIES[name](spark, sf))
+    assert len(re.findall(r"FileScan parquet[^\n]*lineitem", text)) <= 2
+    if name == "D08_indicators_fixed":
+        assert not re.search(r"hashpartitioning\(pidx#\d+, \d+\)", text)
+
+
 def stored_jobs(spark, sf):
     """Jobs as they lie in storage, so that plans start at a scan."""
     return tables.stage(Q.jobs(spark, sf)), tables.stage(roles.periods(spark, sf))

@@ -479,3 +479,24 @@ def test_persons_without_an_id_stay_apart(spark):
 def test_codes_round_half_away(spark):
     df = spark.createDataFrame([("17.6",), ("16.5",), ("17.0",), ("-1.5",), ("x",), (None,)], "c string")
     assert values(df.select(X.int_code("c").alias("c")), "c") == [(18,), (17,), (17,), (-2,), (None,), (None,)]
+
+
+def test_median_survives_a_bracket_that_misses(spark, monkeypatch):
+    """A bracket on the wrong side, above or below, is moved to the range that holds the median, for that month alone."""
+    import random
+    import statistics
+
+    rng = random.Random(11)
+    data = {p: [rng.lognormvariate(0, 2) for _ in range(501 + p)] for p in range(1, 5)} | {5: [4.0] * 30, 6: [None]}
+    rows = [(w, 1, p, v, 30) for p, vs in data.items() for w, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "worker_id long, firm_id long, pidx int, monto double, dias int")
+    want = {p: statistics.median(vs) if vs[0] is not None else None for p, vs in data.items()}
+    honest = wage_index.bracket
+
+    def wrong(value):
+        low = F.when(F.col("pidx") % 2 == 0, F.array(F.lit(1e-9), F.lit(2e-9))).otherwise(F.array(F.lit(900.0), F.lit(901.0)))
+        return [*honest(value)[:3], F.first(low).alias("_q")]
+
+    monkeypatch.setattr(wage_index, "bracket", wrong)
+    got = dict(values(wage_index.wage_mass(df, unique_key=True), "pidx", "salario_mediano"))
+    assert {p: v and round(v, 9) for p, v in got.items()} == {p: v and round(v, 9) for p, v in want.items()}

@@ -17,6 +17,7 @@ are closed at a number of ids, so that files have a bounded size unless a single
 
 from __future__ import annotations
 
+import re
 import struct
 from collections.abc import Iterator
 
@@ -31,27 +32,46 @@ from laborlens.llm.frames import map_arrow, row_hash
 from laborlens.llm.packing import Tokens
 
 MAGIC = b"DAC1"
-#: Ids after which a segment ends with its document, bits of a bitmap between entries of its directory, the widest chunk.
-SEGMENT_IDS, RANK_BITS, WIDEST = 1 << 23, 256, 16
+#: Ids after which a segment ends with its document, bits of a bitmap between entries of its directory, the widths of chunks.
+SEGMENT_IDS, RANK_BITS, WIDTHS = 1 << 22, 256, (4, 8, 12, 16)
 #: Global positions in a cell by which positions and files find each other.
 CELL_BITS = 22
 
+#: White space on which the two libraries' patterns might not agree.
+_ODD_SPACE = re.compile("[\x0b\x0c\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
 _TOKENS: dict[str, Tokens] = {}
 
 
+def text_ids(tokens: Tokens, texts: list[str]) -> list[bytes]:
+    """Ids of each text, little-endian unsigned 32 bits, as the ``tokenizers`` library gives them.
+
+    ``tiktoken`` makes them from the same vocabulary, whole texts at a time, which needs no memory of words; texts that name a
+    special token or hold unusual white space go through ``tokenizers`` itself.
+    """
+    odd = [i for i, t in enumerate(texts) if _ODD_SPACE.search(t) or any(s in t for s in tokens.special)]
+    out = dict(zip(odd, tokens._ids([texts[i] for i in odd]), strict=True))
+    return [out[i] if i in out else np.array(tokens.fast(t), "<u4").tobytes() for i, t in enumerate(texts)]
+
+
 def level_widths(ids: np.ndarray) -> list[int]:
     """Chunk widths that take the fewest bits for ``ids``, bitmaps and directories counted."""
-    bits = int(ids.max(initial=0)).bit_length() or 1
+    most = int(ids.max(initial=0))
+    bits = max(4, -(-most.bit_length() // 4) * 4)
     # longer[s]: ids that need more than s bits; all of them stand in the first level.
-    edges = np.left_shift(np.uint64(1), np.arange(bits, dtype=np.uint64))
-    longer = [int((ids.astype(np.uint64) >= e).sum()) for e in edges]
+    if most < 1 << 20:
+        below = np.cumsum(np.bincount(ids, minlength=1))
+        longer = {s: int(below[-1] - below[min((1 << s) - 1, most)]) for s in range(4, bits, 4)}
+    else:
+        longer = {s: int((ids >= np.uint32(1 << s)).sum()) for s in range(4, bits, 4)}
     longer[0] = len(ids)
     best: dict[int, tuple[float, list[int]]] = {bits: (0.0, [])}
-    for s in range(bits - 1, -1, -1):
+    for s in range(bits - 4, -1, -4):
         options = []
-        for w in range(1, min(WIDEST, bits - s) + 1):
-            mark = 1 + 32 / RANK_BITS if s + w < bits else 0
-            options.append((longer[s] * (w + mark) + best[s + w][0], [w, *best[s + w][1]]))
+        for w in WIDTHS:
+            if s + w <= bits:
+                mark = 1 + 32 / RANK_BITS if s + w < bits else 0
+                options.append((longer[s] * (w + mark) + best[s + w][0], [w, *best[s + w][1]]))
         best[s] = min(options)
     return best[0][1]
 
@@ -62,31 +82,43 @@ def _padded(data: bytes) -> bytes:
 
 def _packed(chunks: np.ndarray, width: int) -> bytes:
     """The low ``width`` bits of each chunk, end to end."""
-    if width == 8:
-        return chunks.astype(np.uint8).tobytes()
-    if width == 16:
-        return chunks.astype("<u2").tobytes()
-    out, shifts = [], np.arange(width, dtype=np.uint32)
-    for begin in range(0, len(chunks), 1 << 18):
-        part = chunks[begin : begin + (1 << 18)].astype(np.uint32)
-        out.append(np.packbits(((part[:, None] >> shifts) & 1).astype(np.uint8).ravel(), bitorder="little").tobytes())
-    return b"".join(out)
+    if width in (8, 16):
+        return chunks.astype(np.uint8 if width == 8 else "<u2").tobytes()
+    n = width // 4
+    halves = np.zeros(len(chunks) * n + (len(chunks) * n & 1), np.uint8)
+    for k in range(n):
+        halves[k : len(chunks) * n : n] = (chunks >> np.uint32(4 * k)) & np.uint32(15)
+    return (halves[0::2] | halves[1::2] << np.uint8(4)).tobytes()
+
+
+def _unpacked(packed: np.ndarray, width: int, n: int) -> np.ndarray:
+    if width in (8, 16):
+        return packed.view(np.uint8 if width == 8 else "<u2")[:n]
+    halves = np.empty(2 * len(packed), np.uint8)
+    halves[0::2] = packed & np.uint8(15)
+    halves[1::2] = packed >> np.uint8(4)
+    k = width // 4
+    out = halves[0 : n * k : k].astype(np.uint16)
+    for i in range(1, k):
+        out |= halves[i : n * k : k].astype(np.uint16) << np.uint16(4 * i)
+    return out
 
 
 def encode(ids: np.ndarray, doc_ids: list, counts: list[int], task: int = 0, number: int = 0) -> bytes:
     """The bytes of a segment: ``ids`` (unsigned 32 bits) of all documents end to end, ``counts`` of them a document."""
     widths = level_widths(ids)
     out = [MAGIC, struct.pack("<5Q", task, number, len(doc_ids), len(ids), len(widths))]
-    rest, first = ids.astype(np.uint32), 0
+    rest, first = ids.astype(np.uint32, copy=False), 0
     for width in widths:
-        chunks = rest & np.uint32((1 << width) - 1)
-        more = (rest >> np.uint32(width)) > 0
+        more = rest >= np.uint32(1 << width)
         bitmap = np.packbits(more, bitorder="little")
-        ones = np.r_[0, np.cumsum(more, dtype=np.int64)]
-        directory = ones[: len(more) : RANK_BITS].astype("<u4")
-        out.append(struct.pack("<4Q", first, width, len(rest), int(ones[-1])))
-        out += [_padded(_packed(chunks, width)), _padded(bitmap.tobytes()), _padded(directory.tobytes())]
-        rest = (rest >> np.uint32(width))[more]
+        blocks = np.arange(0, len(bitmap), RANK_BITS // 8)
+        ones = np.add.reduceat(np.bitwise_count(bitmap), blocks, dtype=np.int64) if len(blocks) else np.zeros(0, np.int64)
+        directory = (np.cumsum(ones) - ones).astype("<u4")
+        out.append(struct.pack("<4Q", first, width, len(rest), int(ones.sum())))
+        chunks = _packed(rest & np.uint32((1 << width) - 1), width)
+        out += [_padded(chunks), _padded(bitmap.tobytes()), _padded(directory.tobytes())]
+        rest = rest[more] >> np.uint32(width)
         first += width
     out.append(np.array([0 if d is None else d for d in doc_ids], "<i8").tobytes())
     out.append(bytes(d is not None for d in doc_ids))
@@ -160,15 +192,12 @@ class Segment:
         return out
 
     def all(self) -> np.ndarray:
-        """All ids in order."""
-        out, who = np.zeros(self.n_ids, np.uint32), np.arange(self.n_ids)
-        for first, width, n, packed, bitmap, _ in self.levels:
-            if width in (8, 16):
-                chunks = packed.view(np.uint8 if width == 8 else "<u2")[:n].astype(np.uint32)
-            else:
-                chunks = self._chunks(packed, width, np.arange(n))
-            out[who] |= chunks << np.uint32(first)
-            who = who[np.unpackbits(bitmap, count=n, bitorder="little").astype(bool)]
+        """All ids in order: each level's chunks, spread over the ids that go on in it."""
+        out = np.zeros(0, np.uint32)
+        for first, width, n, packed, bitmap, _ in reversed(self.levels):
+            longer, out = out, _unpacked(packed, width, n).astype(np.uint32)
+            if len(longer):
+                out[np.unpackbits(bitmap, count=n, bitorder="little").view(bool)] |= longer << np.uint32(width)
         return out
 
 
@@ -199,9 +228,8 @@ def write(
             return pa.RecordBatch.from_arrays([pa.array([data], pa.binary())], ["segment"])
 
         for group in B.documents(batches):
-            for owner, ids in zip(
-                group.rows.column(0).to_pylist(), _TOKENS[tokenizer].encode([t.decode() for t in group.texts]), strict=True
-            ):
+            found = text_ids(_TOKENS[tokenizer], [t.decode() for t in group.texts])
+            for owner, ids in zip(group.rows.column(0).to_pylist(), found, strict=True):
                 owners.append(owner)
                 parts.append(ids + last)
                 fill += len(ids) // 4 + 1

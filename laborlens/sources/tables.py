@@ -106,11 +106,13 @@ def write_table(df: DataFrame, path: str) -> None:
 
 
 def stage(df: DataFrame, by: list[str] | None = None) -> DataFrame:
-    """The same rows, computed once and kept as a table in the shared scratch folder.
+    """The same rows, computed once and kept as a table in the shared scratch folder until the driver ends.
 
     For results that several readers use, and to cut lineage between stages.
     """
     path = scratch_dir(df.sparkSession)
+    place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).deleteOnExit(place)
     if by:
         df.hint("rebalance", *by).write.partitionBy(*by).parquet(path)
     else:

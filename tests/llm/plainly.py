@@ -6,6 +6,10 @@ import math
 import re
 import zlib
 
+import numpy as np
+
+from laborlens.llm import bytesops
+
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -170,6 +174,78 @@ def base_scores(rows):
     ]
 
 
+def word_hash(word):
+    """The 64-bit hash by which the language model knows a word."""
+    data = np.frombuffer(word.encode() + b" ", np.uint8)
+    return int(bytesops.Prefix(data).spans(np.array([0]), np.array([len(data) - 1]))[0])
+
+
+def maxent_scores(rows, held, settings):
+    """(doc_id, score) of each row by the two softmaxes, trained by one update over all training words; loops and dicts only."""
+    m = 1 << 64
+
+    def mix(h):
+        for factor in (0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53):
+            h = (h ^ h >> 33) * factor % m
+        return h ^ h >> 33
+
+    width, own, end, begin = settings.CLASSES, settings.OWN, int(settings.END), int(settings.BEGIN)
+    shared = width - own
+    texts = [[word_hash(w.decode()) for w in words(t, lower=True)] + [end] for _, t in rows]
+    count = collections.Counter(w for (i, _), ws in zip(rows, texts, strict=True) if not held(i) for w in ws)
+    size = settings.feature_rows(sum(count.values()))
+    first = sorted(count, key=lambda w: (-count[w], w))[: width * own]
+    place = {w: (r % width, r // width) for r, w in enumerate(first)}
+
+    def leaf(w):
+        return place.get(w) or (w % (width * shared) // shared, own + w % shared)
+
+    mass = {(c, s): 0.5 for c in range(width) for s in range(width)}
+    for w, n in count.items():
+        mass[leaf(w)] += n if w in place else n + 0.5
+    weights = {("class", "always"): [math.log(sum(mass[c, s] for s in range(width))) for c in range(width)]}
+    for c in range(width):
+        weights["slot", c, "always"] = [math.log(mass[c, s]) for s in range(width)]
+
+    def events(ws):
+        """The features on and the outcome, of the class and of the slot, for each word."""
+        for i, w in enumerate(ws):
+            one, two = ws[i - 1] if i else begin, ws[i - 2] if i > 1 else begin
+            seen = [mix((one + 11) % m), mix((mix((one + 22) % m) + two) % m), mix((two + 33) % m)]
+            c, s = leaf(w)
+            salted = [mix(h ^ mix(c + 77)) for h in seen]
+            yield w, [
+                ([("class", "always")] + [("class", k, h % size) for k, h in enumerate(seen)], c),
+                ([("slot", c, "always")] + [("slot", k, h % size) for k, h in enumerate(salted)], s),
+            ]
+
+    def softmax(on):
+        z = [math.exp(sum(weights[f][j] for f in on if f in weights)) for j in range(width)]
+        return [x / sum(z) for x in z]
+
+    gradient = collections.defaultdict(lambda: [0.0] * width)
+    for (i, _), ws in zip(rows, texts, strict=True):
+        for _, steps in events(ws) if not held(i) else []:
+            for on, outcome in steps:
+                p = softmax(on)
+                for f in on:
+                    for j in range(width):
+                        gradient[f][j] += p[j] - (j == outcome)
+    for f, g in gradient.items():
+        energy = settings.ENERGY + sum(x * x for x in g) / width
+        weights[f] = [w - settings.STEP * x / energy**0.5 for w, x in zip(weights.get(f, [0.0] * width), g, strict=True)]
+
+    def score(ws):
+        total = 0.0
+        for w, steps in events(ws):
+            share = 1 if w in place else (count[w] + 0.5) / mass[leaf(w)]
+            # A shared slot counts one unseen word besides its own.
+            total += math.log10(share) + sum(math.log10(softmax(on)[outcome]) for on, outcome in steps)
+        return total
+
+    return [(i, score(ws)) for (i, _), ws in zip(rows, texts, strict=True)]
+
+
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 

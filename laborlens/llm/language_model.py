@@ -33,8 +33,9 @@ SHARED = CLASSES - OWN
 FEWEST_FEATURES, MOST_FEATURES = 1 << 12, 1 << 18
 #: Tokens of a gradient update, the step, and the squared gradient that a row starts with: rows seen seldom move little.
 BATCH, STEP, ENERGY = 8192, 0.3, 4.0
-#: Rows of weights that travel together.
-SLAB = 1024
+#: Rows of weights that travel together, and tokens that a training task has for each hashed row: what tasks send grows with
+#: the number of tokens then, and not with that of rows besides.
+SLAB, TOKENS_A_ROW = 1024, 64
 #: Most frequent tokens whose counts every task holds; the counts of all others are joined.
 FREQUENT = 1 << 17
 END, BEGIN = np.uint64(0xE17D5EED), np.uint64(0xBE61A5EED)
@@ -66,7 +67,7 @@ class Model:
     #: Tokens whose counts are held, sorted, and the counts.
     token: np.ndarray
     n: np.ndarray
-    #: Hashed rows of each template.
+    #: Hashed rows of each template, a power of two.
     features: int
 
     @property
@@ -93,7 +94,7 @@ class Model:
 
     def _rows(self, hashes: np.ndarray, base: int, always: np.ndarray) -> np.ndarray:
         out = np.empty((len(hashes), 4), np.int32)
-        out[:, :3] = hashes % np.uint64(self.features)
+        out[:, :3] = hashes & np.uint64(self.features - 1)
         out[:, 3] = always
         return out + (base + self.features * np.arange(4)).astype(np.int32)
 
@@ -136,21 +137,28 @@ def contexts(tokens: np.ndarray, first: np.ndarray) -> np.ndarray:
     return out
 
 
-def _log_softmax(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    z = weights[rows[:, 0]]
-    for k in range(1, rows.shape[1]):
-        z += weights[rows[:, k]]
+def _softmax(weights: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of the weights that are on, less the largest of each token; their exponentials; and the sums of these."""
+    z = weights.take(rows[:, 0], axis=0)
+    for column in rows.T[1:]:
+        z += weights[column[0]] if _constant(column) else weights.take(column, axis=0)
     z -= z.max(axis=1, keepdims=True)
-    z -= np.log(np.exp(z).sum(axis=1, keepdims=True))
-    return z
+    e = np.exp(z)
+    return z, e, e.sum(axis=1, keepdims=True)
+
+
+def _constant(column: np.ndarray) -> bool:
+    return column[0] == column[-1] and bool((column == column[0]).all())
 
 
 def log_probability(weights: np.ndarray, model: Model, context: np.ndarray, leaf: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of a leaf in its context."""
     class_, slot = np.divmod(leaf, CLASSES)
-    every = np.arange(len(leaf))
-    out = _log_softmax(weights, model.class_rows(context))[every, class_]
-    return out + _log_softmax(weights, model.slot_rows(context, class_))[every, slot]
+    out = np.zeros(len(leaf))
+    for rows, outcome in ((model.class_rows(context), class_), (model.slot_rows(context, class_), slot)):
+        z, _, total = _softmax(weights, rows)
+        out += z[np.arange(len(leaf)), outcome] - np.log(total[:, 0])
+    return out
 
 
 class _Trainer:
@@ -161,20 +169,27 @@ class _Trainer:
 
     def learn(self, rows: np.ndarray, target: np.ndarray) -> None:
         """One update: the gradient of each row that is on, scaled by what its gradients were so far."""
-        gradient = np.exp(_log_softmax(self.weights, rows))
+        _, gradient, total = _softmax(self.weights, rows)
+        gradient /= total
         gradient[np.arange(len(target)), target] -= 1
         for column in rows.T:
+            if _constant(column):
+                self._move(column[:1], gradient.sum(axis=0, keepdims=True), len(column))
+                continue
             order = np.argsort(column, kind="stable")
             sorted_ = column[order]
             begin = np.flatnonzero(np.r_[True, sorted_[1:] != sorted_[:-1]])
             which, times = sorted_[begin], np.diff(np.r_[begin, len(column)])
-            total, once = gradient[order[begin]], times == 1  # most rows are on once in an update
+            total, once = gradient.take(order[begin], axis=0), times == 1  # most rows are on once in an update
             if not once.all():
                 often = order[np.repeat(~once, times)]
-                total[~once] = np.add.reduceat(gradient[often], np.cumsum(times[~once]) - times[~once], axis=0)
-            self.energy[which] += (total**2).mean(axis=1)
-            self.weights[which] -= STEP * total / np.sqrt(self.energy[which])[:, None]
-            self.seen[which] += times
+                total[~once] = np.add.reduceat(gradient.take(often, axis=0), np.cumsum(times[~once]) - times[~once], axis=0)
+            self._move(which, total, times)
+
+    def _move(self, which: np.ndarray, total: np.ndarray, times: np.ndarray | int) -> None:
+        self.energy[which] += (total**2).mean(axis=1)
+        self.weights[which] -= total * (STEP / np.sqrt(self.energy[which]))[:, None]
+        self.seen[which] += times
 
 
 def _train(weights, shared) -> callable:
@@ -228,9 +243,10 @@ def train(documents: DataFrame, model: Model, rounds: int = 1) -> np.ndarray:
     """Weights of both softmaxes; each round starts from the averages of the round before."""
     context = documents.sparkSession.sparkContext
     weights, known = model.start(), context.broadcast(model)
+    texts = documents.select("text").coalesce(max(1, -(-model.total // (TOKENS_A_ROW * model.features))))
     for _ in range(rounds):
         shared = context.broadcast(weights)
-        slabs = map_arrow(documents.select("text"), _train(shared, known), "slab long, mean binary, seen binary")
+        slabs = map_arrow(texts, _train(shared, known), "slab long, mean binary, seen binary")
         slabs = slabs.repartition("slab").sortWithinPartitions("slab", "seen", "mean")
         averaged = map_arrow(slabs, _average, "slab long, mean binary, seen binary").collect()  # model.rows rows in all
         for row in averaged:
